@@ -179,3 +179,14 @@ def yearly_contributions(operations: DataFrame, as_of: _dt.date) -> DataFrame:
             & ((F.year("fecaig") == year) | (F.year("feopen") == year)))
     return operations.filter(cond).groupBy("copser", "idcoec", "idprig", "xcoemp").agg(
         F.sum("cacv7j").alias("APORTACION_ANUAL"))
+
+
+def days_overdrawn(balances: DataFrame, as_of: _dt.date) -> DataFrame:
+    """Per account overdrawn yesterday: days since its last non-negative day
+    in the window (accounts without one are dropped)."""
+    od = overdrawn_accounts(balances, as_of).select(
+        "copemk", *ACCOUNT_KEY, F.col("fevaig").alias("FECHA_DESCUBIERTO"), F.col("cavt20").alias("SALDO_HOY"))
+    lp = last_positive_day(balances, as_of)
+    j = od.join(lp, ["copemk", *ACCOUNT_KEY], "inner")
+    return j.select("copemk", "idprig", "FECHA_DESCUBIERTO", "SALDO_HOY", "MAX_DIA_SALDO_POSITIVO",
+                    F.datediff("FECHA_DESCUBIERTO", "MAX_DIA_SALDO_POSITIVO").alias("NUM_DIAS_DESCUBIERTO"))

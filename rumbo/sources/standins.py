@@ -102,7 +102,7 @@ class StandinSources:
             F.when(F.col("c_acctbal") > 5000, 1).otherwise(0).alias("inz120"),
             F.when(F.col("c_nationkey") < 5, 1).otherwise(0).alias("inz121"),
             F.lit(0).alias("inz122"),
-            F.round(F.abs(F.col("c_acctbal")) / 10, 2).alias("imlimk"),
+            (F.abs(F.col("c_acctbal")) / 10).alias("imlimk"),
             F.lit(10000).alias("cosiig"), _null("date").alias("feigfi"), _null("date").alias("ffigco"),
             date_key("day").alias("extractiondate"),
             F.when(F.col("day") == newest_day, F.lit("LATEST")).otherwise(F.lit("HISTORIC")).alias("snapshot"),
@@ -159,7 +159,7 @@ class StandinSources:
         li = self.t.lineitem
         return li.select(F.lit(4).alias("copser"), F.lit("0001").alias("idcoec"),
                          _pad("l_orderkey").alias("idprig"), F.lit(0).alias("xcoemp"),
-                         F.round(F.col("l_extendedprice") / 100, 2).alias("cacv7j"),
+                         (F.col("l_extendedprice") / 100).alias("cacv7j"),
                          F.col("l_linenumber").alias("cox1b7"),
                          _shift("l_shipdate").alias("fecaig"),
                          F.date_sub(_shift("l_shipdate"), 40).alias("feopen"))
@@ -176,7 +176,7 @@ class StandinSources:
         o = self.t.orders.filter(_priority_digit() == "1")
         return o.select(
             F.col("o_custkey").alias("copemk"), F.lit(93010).alias("copser"),
-            F.round(F.col("o_totalprice") / 100, 2).alias("imlppm"),
+            (F.col("o_totalprice") / 100).alias("imlppm"),
             F.add_months(_shift("o_orderdate"), 12).alias("feclpp"),
             F.when(F.col("o_orderstatus") == "O", 1).when(F.col("o_orderstatus") == "P", 2)
             .otherwise(3).alias("inanom"),
@@ -190,7 +190,7 @@ class StandinSources:
         o = self.t.orders.filter(_priority_digit() == "2")
         return o.select(
             F.col("o_custkey").alias("copemk"),
-            F.round(F.col("o_totalprice") / 1000, 2).alias("cacv0d"),
+            (F.col("o_totalprice") / 1000).alias("cacv0d"),
             F.when(F.col("o_orderstatus") == "P", "D ").otherwise("C ").alias("titar3"),
             F.when(F.col("o_orderstatus") == "F", 50.0).otherwise(100.0).alias("porcpa"),
             *_std())
@@ -351,7 +351,7 @@ class StandinSources:
         """CRPROPEN: model scores, source A."""
         s = self._daily_event_stats()
         return s.select(F.col("user_id").alias("idpers"), code_label("event_type", MODEL_A).alias("idmode"),
-                        F.round(F.col("vmax") / 500, 4).alias("nupropen"),
+                        (F.col("vmax") / 500).alias("nupropen"),
                         date_key("day").alias("extractiondate"))
 
     @cached_property
@@ -359,7 +359,7 @@ class StandinSources:
         """BGMD_IN_MATRIZ_PROPENSIONES: model scores, source B."""
         s = self._daily_event_stats()
         return s.select(F.col("user_id").alias("co_cliente"), code_label("event_type", MODEL_B).alias("modelid"),
-                        F.round(F.col("vmax") / 400, 4).alias("probabilidad"),
+                        (F.col("vmax") / 400).alias("probabilidad"),
                         date_key("day").alias("sessionid"))
 
     @cached_property
@@ -369,7 +369,7 @@ class StandinSources:
             F.avg("value").alias("vavg"))
         def rows(models, use, factor):
             return base.select(code_label("event_type", models).alias("idmode"), F.lit(use).alias("iduso"),
-                               F.round(F.col("vavg") * factor, 4).alias("nupropenmin"),
+                               (F.col("vavg") * factor).alias("nupropenmin"),
                                date_key("day").alias("extractiondate"), F.lit("LATEST").alias("snapshot"))
         return (rows(MODEL_A, "MEDICION", 3 / 500).unionByName(rows(MODEL_B, "MEDICION", 3 / 400))
                 .unionByName(rows(MODEL_A, "ENTRENAMIENTO", 0.0)))
@@ -411,7 +411,7 @@ class StandinSources:
             F.when(F.col("l_linenumber") <= 2, "0606").when(F.col("l_linenumber") <= 4, "0406")
             .otherwise("0101").alias("qcspc1"),
             F.lit(3).alias("qcopc3"),
-            F.round(F.col("l_extendedprice") / 1000, 2).alias("qmnopd"),
+            (F.col("l_extendedprice") / 1000).alias("qmnopd"),
             F.lit("LATEST").alias("snapshot"))
 
     @cached_property
@@ -423,7 +423,7 @@ class StandinSources:
             F.col("o_custkey").alias("copemk"),
             F.when(F.col("o_orderstatus") == "P", 2).otherwise(1).alias("codsi7"),
             F.when(d == "1", 4).when(d == "2", 7).when(d == "3", 8).when(d == "4", 5).otherwise(9).alias("colnng"),
-            F.round(F.col("o_totalprice") / 1000, 2).alias("imd2c0"),
+            (F.col("o_totalprice") / 1000).alias("imd2c0"),
             F.when(F.col("o_totalprice") > 200000, 25).otherwise(26).alias("cosgri"),
             F.add_months(_shift("o_orderdate"), 12).alias("feprnz"),
             F.when(F.col("o_orderstatus") == "F", "0019").when(F.col("o_orderstatus") == "O", "0500")
