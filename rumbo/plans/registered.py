@@ -8,6 +8,7 @@ tables.  All read whole tables: no id subsets, samples or row caps.
 from __future__ import annotations
 
 import datetime as _dt
+import os
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +21,7 @@ from ..functions import (account_hash, add_months, classify_text, code_label, co
 from ..operators import accounts, agg, control, dedupe, insurance, joins, people, scoring
 from ..sources.standins import AS_OF, StandinSources
 from ..sources.testdata import TestTables
+from ..sources.warehouse import standin_warehouse
 from . import core, insurance as ins_plan, overdraft, web_interest, youth
 
 ORDERS_AS_OF = _dt.date(2001, 8, 1)      # newest order day of the raw test tables
@@ -38,8 +40,13 @@ def register(fn: Query) -> Query:
     return fn
 
 
-def _src(spark, sf_dir) -> StandinSources:
-    return StandinSources(spark, sf_dir)
+def _src(spark, sf_dir):
+    """Banking tables for ``sf_dir``: the stand-in warehouse (written once per
+    session under the checkpoint folder), or the live derivation when
+    ``RUMBO_STANDINS=live``."""
+    if os.environ.get("RUMBO_STANDINS", "warehouse") == "live":
+        return StandinSources(spark, sf_dir)
+    return standin_warehouse(spark, sf_dir)
 
 
 # ---------------------------------------------------------------- journeys
