@@ -84,7 +84,12 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def _signature(sf_dir: str) -> str:
+    """Data set + stand-in code version: a changed rule never reads a stale build."""
     h = hashlib.sha1(os.path.abspath(sf_dir).encode())
+    here = os.path.dirname(os.path.abspath(__file__))
+    for f in ("standins.py", "warehouse.py", "testdata.py"):
+        with open(os.path.join(here, f), "rb") as fh:
+            h.update(fh.read())
     if os.path.isdir(sf_dir):
         for f in sorted(os.listdir(sf_dir)):
             st = os.stat(os.path.join(sf_dir, f))
