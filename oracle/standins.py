@@ -249,6 +249,47 @@ SELECT o_custkey AS copemk, CASE WHEN o_orderstatus = 'P' THEN 2 ELSE 1 END AS c
        {_std(CLOSED_IF_F)}
 FROM orders"""
 
+VIEWS["account_domiciliations"] = f"""
+SELECT o_custkey AS copemk,
+       CASE {PRIO} WHEN '1' THEN '10600' WHEN '2' THEN '11594' WHEN '3' THEN '11229' ELSE '10300' END AS copser,
+       CASE WHEN o_orderstatus = 'O' THEN '702' ELSE '701' END AS coddmc,
+       CASE WHEN o_orderstatus = 'F' THEN '20231231' ELSE '20240130' END AS extractiondate
+FROM orders"""
+
+
+def _board(process_date: str, factor: str) -> str:
+    return f"""
+SELECT c_custkey AS co_codpers_mt, c_custkey AS co_cliente, c_acctbal * {factor} AS im_saldfinmestotvolrecur_mt,
+       CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN '1' ELSE '0' END AS in_tensegurauto_mt,
+       '0' AS in_tensegurvehisegurauto_mt,
+       CASE WHEN c_acctbal > 6000 THEN '1' ELSE '0' END AS in_tensegursaludindem_mt,
+       '0' AS in_tensegursaludreemb_mt,
+       CASE WHEN c_nationkey = 5 THEN '1' ELSE '0' END AS in_tensegursaludasistsanit_mt,
+       CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN '1' ELSE '0' END AS in_tensegurotrsegurdecenoprimunic_mt,
+       '0' AS in_tensegurotrsegurdeceprimunic_mt, '{process_date}' AS process_date
+FROM customer"""
+
+
+VIEWS["monthly_board"] = _board("20231231", "0.5") + " UNION ALL " + _board("20240131", "1.0")
+
+VIEWS["monthly_accounts"] = f"""
+SELECT o_custkey AS copemk,
+       CASE {PRIO} WHEN '1' THEN '105' WHEN '2' THEN '151' WHEN '3' THEN '200' ELSE '135' END AS co1504,
+       CASE WHEN o_orderstatus = 'F' THEN '20231231' ELSE '20240131' END AS extractiondate
+FROM orders"""
+
+VIEWS["contracting_events"] = f"""
+SELECT o_custkey AS co_cliente,
+       CASE {PRIO} WHEN '1' THEN '115594' WHEN '2' THEN '11660' ELSE '10000' END AS co_producto_ursus,
+       CASE WHEN o_orderstatus = 'P' THEN '1' ELSE '0' END AS co_empresa_cont,
+       strftime({SHIFT}, '%Y%m%d') AS dt
+FROM orders"""
+
+VIEWS["payroll_amounts"] = f"""
+SELECT o_custkey AS copemk, CASE WHEN o_orderstatus = 'O' THEN '32000' ELSE '31000' END AS copser,
+       o_totalprice / 100 AS imulig, 'LATEST' AS snapshot
+FROM orders WHERE {PRIO} = '5'"""
+
 # CTEs other CTEs depend on.
 DEPENDS = {
     "account_balance": ["daily_balance"],

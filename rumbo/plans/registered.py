@@ -22,7 +22,7 @@ from ..operators import accounts, agg, control, dedupe, insurance, joins, people
 from ..sources.standins import AS_OF, StandinSources
 from ..sources.testdata import TestTables
 from ..sources.warehouse import standin_warehouse
-from . import core, insurance as ins_plan, overdraft, web_interest, youth
+from . import core, drafts, insurance as ins_plan, overdraft, web_interest, youth
 
 ORDERS_AS_OF = _dt.date(2001, 8, 1)      # newest order day of the raw test tables
 DAILY_LOAD_AS_OF = AS_OF - _dt.timedelta(days=1)
@@ -95,6 +95,16 @@ def home_insurance_expiry(spark, sf_dir):
     return ins_plan.home_insurance_expiry(_src(spark, sf_dir), AS_OF)
 
 
+@register
+def young_retention_draft(spark, sf_dir):
+    return drafts.young_retention_draft(_src(spark, sf_dir), BIRTHDAY_DRAFT_AS_OF)
+
+
+@register
+def home_insurance_draft(spark, sf_dir):
+    return drafts.home_insurance_draft(_src(spark, sf_dir), AS_OF)
+
+
 # ---------------------------------------------------------- scans / control
 @register
 def latest_snapshot(spark, sf_dir):

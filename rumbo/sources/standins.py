@@ -430,3 +430,59 @@ class StandinSources:
             .otherwise("C511").alias("idcoas"),
             F.when(d == "4", "43530").when(d == "3", "46100").otherwise("10000").alias("copser"),
             *_std(_closed_if_f()))
+
+    # -- tables read by the draft journeys ----------------------------------------
+    @cached_property
+    def account_domiciliations(self) -> DataFrame:
+        """IGV0_CP_AHCAD_DOM: account domiciliations (older extraction for closed orders)."""
+        o, d = self.t.orders, _priority_digit()
+        return o.select(
+            F.col("o_custkey").alias("copemk"),
+            F.when(d == "1", "10600").when(d == "2", "11594").when(d == "3", "11229").otherwise("10300").alias("copser"),
+            F.when(F.col("o_orderstatus") == "O", "702").otherwise("701").alias("coddmc"),
+            F.when(F.col("o_orderstatus") == "F", "20231231").otherwise("20240130").alias("extractiondate"))
+
+    @cached_property
+    def monthly_board(self) -> DataFrame:
+        """BGTTB_TABLON_CLIENTES_MES_TT: monthly customer board, two monthly loads."""
+        c = self.t.customer
+        def load(process_date: str, factor: float) -> DataFrame:
+            return c.select(
+                F.col("c_custkey").alias("co_codpers_mt"), F.col("c_custkey").alias("co_cliente"),
+                (F.col("c_acctbal") * factor).alias("im_saldfinmestotvolrecur_mt"),
+                F.when(F.col("c_mktsegment") == "AUTOMOBILE", "1").otherwise("0").alias("in_tensegurauto_mt"),
+                F.lit("0").alias("in_tensegurvehisegurauto_mt"),
+                F.when(F.col("c_acctbal") > 6000, "1").otherwise("0").alias("in_tensegursaludindem_mt"),
+                F.lit("0").alias("in_tensegursaludreemb_mt"),
+                F.when(F.col("c_nationkey") == 5, "1").otherwise("0").alias("in_tensegursaludasistsanit_mt"),
+                F.when(F.col("c_mktsegment") == "HOUSEHOLD", "1").otherwise("0").alias("in_tensegurotrsegurdecenoprimunic_mt"),
+                F.lit("0").alias("in_tensegurotrsegurdeceprimunic_mt"),
+                F.lit(process_date).alias("process_date"))
+        return load("20231231", 0.5).unionByName(load("20240131", 1.0))
+
+    @cached_property
+    def monthly_accounts(self) -> DataFrame:
+        """IGV0_CP_AHCAD_M: monthly account data."""
+        o, d = self.t.orders, _priority_digit()
+        return o.select(
+            F.col("o_custkey").alias("copemk"),
+            F.when(d == "1", "105").when(d == "2", "151").when(d == "3", "200").otherwise("135").alias("co1504"),
+            F.when(F.col("o_orderstatus") == "F", "20231231").otherwise("20240131").alias("extractiondate"))
+
+    @cached_property
+    def contracting_events(self) -> DataFrame:
+        """BGTMD_PB150_INICIOCONTRATACIONPRODUCTO_D: product contracting starts, daily."""
+        o, d = self.t.orders, _priority_digit()
+        return o.select(
+            F.col("o_custkey").alias("co_cliente"),
+            F.when(d == "1", "115594").when(d == "2", "11660").otherwise("10000").alias("co_producto_ursus"),
+            F.when(F.col("o_orderstatus") == "P", "1").otherwise("0").alias("co_empresa_cont"),
+            date_key(_shift("o_orderdate")).alias("dt"))
+
+    @cached_property
+    def payroll_amounts(self) -> DataFrame:
+        """IGV0_NOM_CONTCOM: payroll services with amount (low-priority orders)."""
+        o = self.t.orders.filter(_priority_digit() == "5")
+        return o.select(F.col("o_custkey").alias("copemk"),
+                        F.when(F.col("o_orderstatus") == "O", "32000").otherwise("31000").alias("copser"),
+                        (F.col("o_totalprice") / 100).alias("imulig"), F.lit("LATEST").alias("snapshot"))

@@ -14,9 +14,9 @@ from __future__ import annotations
 
 import hashlib
 import os
+import time
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import ensure_checkpoint_dir
@@ -49,11 +49,16 @@ LAYOUT: dict[str, list[str]] = {
     "web_hits": ["dt", "fe_adobe_extraction_dia"],
     "receipts": ["snapshot"],
     "policies": ["snapshot"],
+    "account_domiciliations": ["extractiondate"],
+    "monthly_board": ["process_date"],
+    "monthly_accounts": ["extractiondate"],
+    "contracting_events": [],
+    "payroll_amounts": ["snapshot"],
 }
-WRITE_SPREAD = 4
 # Unpartitioned tables sorted on their filter column so row-group min/max
 # statistics let Parquet skip most of the file.
-SORT_BY = {"catalogue": ["extractiondate"], "programme": ["fevaig"], "plan_operations": ["idprig"]}
+SORT_BY = {"catalogue": ["extractiondate"], "programme": ["fevaig"], "plan_operations": ["idprig"],
+           "contracting_events": ["dt"]}
 
 
 class WarehouseSources:
@@ -98,6 +103,7 @@ def _signature(sf_dir: str) -> str:
 
 
 _BUILT: dict[tuple[int, str], WarehouseSources] = {}
+BUILD_SECONDS: dict[str, float] = {}
 
 
 def standin_warehouse(spark: SparkSession, sf_dir: str, root: str | None = None) -> WarehouseSources:
@@ -114,18 +120,15 @@ def standin_warehouse(spark: SparkSession, sf_dir: str, root: str | None = None)
         path = f"{root}/{name}"
         if _exists(spark, f"{path}/_SUCCESS"):
             continue
-        if parts:
-            # Cluster rows by partition value, split each value over up to
-            # WRITE_SPREAD tasks with a deterministic salt (a hot day holding a
-            # third of the rows is written by several tasks; a retried task
-            # recomputes the same salt, so no row is lost or duplicated).
-            salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(WRITE_SPREAD))
-            out = df.repartition(*[F.col(c) for c in parts], salt)
-        else:
-            out = df.repartition(max(1, spark.sparkContext.defaultParallelism // 2))
+        # REBALANCE clusters rows by partition value; AQE then splits a hot
+        # value (a day holding a third of the rows) over several tasks and
+        # merges small ones, so files stay near the advisory size.
+        out = df.hint("rebalance", *parts) if parts else df.hint("rebalance")
         if name in SORT_BY:
             out = out.sortWithinPartitions(*SORT_BY[name])
+        t0 = time.perf_counter()
         out.write.mode("overwrite").partitionBy(*parts).parquet(path)
+        BUILD_SECONDS[name] = round(time.perf_counter() - t0, 3)
     wh = WarehouseSources(spark, root, schemas)
     _BUILT[key] = wh
     return wh
