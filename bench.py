@@ -37,7 +37,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     repeats = int(os.environ.get("BENCH_REPEATS", "3"))
     keys = [k for k in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if k]
-    spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "16")),
+    spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", os.environ.get("BENCH_CPUS", "8"))),
                           app="rumbo-bench")
     t0 = time.perf_counter()            # stand-in warehouse, written once per data set
     standin_warehouse(spark, sf_dir)

@@ -7,6 +7,8 @@ CTEs they need through :func:`with_standins`.
 
 from __future__ import annotations
 
+import os
+
 from rumbo.sources.standins import (BRAND_TAX_IDS, MODEL_A, MODEL_B, ORDER_SHIFT_DAYS,
                                     RECEIPT_TEXT_BY_TYPE, RECEIPT_TEXT_DEFAULT, SEGMENT_PRODUCT)
 
@@ -300,7 +302,15 @@ DEPENDS = {
 
 
 def with_standins(names: list[str], body: str, extra_ctes: list[tuple[str, str]] = ()) -> str:
-    """``WITH <stand-in CTEs>, <extra CTEs> <body>``."""
+    """``WITH <stand-in CTEs>, <extra CTEs> <body>``.
+
+    With ``RUMBO_ORACLE_MATERIALIZED=1`` the stand-ins are expected as tables
+    (benchmark of the oracle on a materialised warehouse) and only the extra
+    CTEs are emitted.
+    """
+    if os.environ.get("RUMBO_ORACLE_MATERIALIZED") == "1":
+        ctes = [f"{n} AS ({q})" for n, q in extra_ctes]
+        return ("WITH " + ",\n".join(ctes) + "\n" + body) if ctes else body
     order: list[str] = []
     for n in names:
         for d in DEPENDS.get(n, []) + [n]:

@@ -37,6 +37,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("RUMBO_DRIVER_MEMORY", "8g"))
+        # small local inputs: let a few-MB table still split over every core
+        .config("spark.sql.files.openCostInBytes", str(1024 * 1024))
     )
     for k, v in {**RECOMMENDED_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
