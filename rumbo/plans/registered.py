@@ -35,9 +35,12 @@ Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
 
-def register(fn: Query) -> Query:
-    REGISTRY[fn.__name__] = fn
-    return fn
+def register(fn: Query | None = None, *, name: str | None = None):
+    """Register ``fn`` under its own name or ``name``."""
+    def deco(f: Query) -> Query:
+        REGISTRY[name or f.__name__] = f
+        return f
+    return deco(fn) if fn is not None else deco
 
 
 def _src(spark, sf_dir):
@@ -383,13 +386,13 @@ def policy_threshold_flags(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- scalars
-@register
+@register(name="account_hash")
 def account_hash_key(spark, sf_dir):
     c = _src(spark, sf_dir).contracts
     return c.select("copemk", "copser", "idprig", account_hash("copser", "xcoemp", "idprig").alias("C5"))
 
 
-@register
+@register(name="language_label")
 def language_label_map(spark, sf_dir):
     c = _src(spark, sf_dir).customers_daily
     return c.select("id_cliente", "fecha_derivado", "id_idioma_preferencia",
