@@ -11,11 +11,19 @@ Parquet partition pruning and row-group skipping act statically.
 
 from __future__ import annotations
 
+import os
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# How a newest value reaches the consumers: "subquery" (default) keeps it as
+# a lazy scalar subquery, run asynchronously when the query starts and used
+# for runtime partition pruning; "literal" collects the one-row aggregate
+# once while the plan is built (static pruning, one blocking job per value;
+# measured slower on the test data).
+NEWEST_MODE = os.environ.get("RUMBO_NEWEST_MODE", "subquery")
+
 
 def newest(df: DataFrame, column: str, where: Column | None = None,
            alias: str | None = None) -> DataFrame:
@@ -29,9 +37,27 @@ def newest_value(df: DataFrame, column: str, where: Column | None = None):
     return newest(df, column, where).first()[0]
 
 
+def scalar(one_row: DataFrame, mode: str | None = None) -> Column:
+    """The single value of a one-row, one-column frame as a Column.
+
+    ``literal``: one small job now, the value becomes a literal (foldable, so
+    partition filters on it prune statically).  ``subquery``: a scalar
+    subquery evaluated when the consuming query runs.
+    """
+    if (mode or NEWEST_MODE) == "literal":
+        value = one_row.first()[0]
+        return F.lit(value).cast(one_row.schema.fields[0].dataType)
+    return one_row.scalar()
+
+
+def newest_scalar(df: DataFrame, column: str, where: Column | None = None, mode: str | None = None) -> Column:
+    """``max(column)`` (over ``where`` rows) as a Column, see :func:`scalar`."""
+    return scalar(newest(df, column, where), mode)
+
+
 def keep_newest(df: DataFrame, column: str, control: DataFrame | None = None,
                 control_col: str | None = None, where: Column | None = None,
-                mode: str = "subquery") -> DataFrame:
+                mode: str | None = None) -> DataFrame:
     """Rows of ``df`` whose ``column`` equals the newest value.
 
     ``control`` defaults to ``newest(df, column, where)`` (the newest value of
@@ -41,11 +67,9 @@ def keep_newest(df: DataFrame, column: str, control: DataFrame | None = None,
         control = newest(df, column, where, alias="__newest")
         control_col = "__newest"
     control_col = control_col or control.columns[-1]
-    if mode == "subquery":
-        return df.filter(F.col(column) == control.select(control_col).scalar())
-    if mode == "literal":
-        value = control.first()[control_col]
-        return df.filter(F.col(column) == F.lit(value))
+    mode = mode or NEWEST_MODE
+    if mode in ("subquery", "literal"):
+        return df.filter(F.col(column) == scalar(control.select(control_col), mode))
     # The control side is one row: broadcasting it is always bounded.
     ctl = control.select(F.col(control_col).alias("__newest"))
     return df.join(F.broadcast(ctl), F.col(column) == F.col("__newest"), "left_semi")

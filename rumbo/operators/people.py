@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .. import params as P
 from ..functions import (add_months, empty_if_null, flag, if_null, language_label, live_contract,
                          snapshot_is)
-from . import dedupe
+from . import control, dedupe
 
 CUSTOMER_COLUMNS = [
     "tfno_movil", "tenencia_email", "nombre", "edad_cliente", "entidad", "fecha_nacimiento",
@@ -96,7 +96,7 @@ def youth_accounts(balances: DataFrame, contracts: DataFrame) -> DataFrame:
     Output ``(Persona, tt, copser, idprig)`` plus product-family 0/1 flags.
     The newest day is taken over the whole balance table, as the rule did.
     """
-    newest = balances.agg(F.max("fevaig")).scalar()
+    newest = control.newest_scalar(balances, "fevaig")
     a = balances.filter((F.col("xcoemp") == P.ENTITY) & F.col("feigfi").isNull()
                         & (F.col("fevaig") == newest) & F.col("ffigco").isNull()
                         & (F.col("cosiig") == P.STATUS_ACTIVE) & F.col("copser").isin(*P.YOUTH_PRODUCTS)
@@ -119,8 +119,8 @@ def programme_rows(programme: DataFrame, passing: bool) -> DataFrame:
     """Programme evaluations of the newest run: all three criteria met
     (``passing``) or any of four failed."""
     key = F.trim("clvpro") == P.PROGRAMME_KEY
-    newest_ext = programme.filter(key).agg(F.max("extractiondate")).scalar()
-    newest_eval = programme.filter(key).agg(F.max("fevaig")).scalar()
+    newest_ext = control.newest_scalar(programme, "extractiondate", key)
+    newest_eval = control.newest_scalar(programme, "fevaig", key)
     if passing:
         crit = (F.col("marin3") == "S") & (F.col("marin5") == "S") & (F.col("marin6") == "S")
     else:
@@ -133,7 +133,7 @@ def programme_rows(programme: DataFrame, passing: bool) -> DataFrame:
 
 def digital_profiles(customers: DataFrame) -> DataFrame:
     """Customers with every contact permission on the newest derivation day."""
-    newest = customers.agg(F.max("fecha_derivado")).scalar()
+    newest = control.newest_scalar(customers, "fecha_derivado")
     cond = ((F.col("fecha_derivado") == newest) & F.col("telefono_movil_1").isNotNull()
             & (F.col("ds_email") == "SI") & (F.col("ind_cr_electronica") == "S")
             & (F.col("ind_disp_moviles") == "S") & (F.col("ind_telemarketing") == "S")

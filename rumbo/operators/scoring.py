@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 
 from .. import params as P
 from ..functions import snapshot_is
-from . import dedupe, joins
+from . import control, dedupe, joins
 
 
 def newest_threshold_date(thresholds: DataFrame) -> Column:
-    """Scalar subquery: newest extraction of the LATEST threshold table."""
-    return thresholds.filter(snapshot_is(P.SNAPSHOT_LATEST)).agg(F.max("extractiondate")).scalar()
+    """Newest extraction of the LATEST threshold table (see ``control.scalar``)."""
+    return control.newest_scalar(thresholds, "extractiondate", snapshot_is(P.SNAPSHOT_LATEST))
 
 
 def propensity_flags(scores: DataFrame, thresholds: DataFrame, *, id_col: str, model_col: str,
@@ -53,9 +53,9 @@ WEB_COLUMNS = ["id_cliente", "co_canal", "tl_familia", "tl_seccion0_pagename", "
 
 
 def web_day(web_hits: DataFrame, as_of: _dt.date) -> Column:
-    """Scalar subquery: newest extraction day of the web hits not after ``as_of``."""
-    return web_hits.filter(F.col("fe_adobe_extraction_dia") <= as_of.strftime("%Y%m%d")).agg(
-        F.max("fe_adobe_extraction_dia")).scalar()
+    """Newest extraction day of the web hits not after ``as_of``."""
+    return control.newest_scalar(web_hits, "fe_adobe_extraction_dia",
+                                 F.col("fe_adobe_extraction_dia") <= as_of.strftime("%Y%m%d"))
 
 
 def web_interest(web_hits: DataFrame, as_of: _dt.date, family: str,

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import params as P
 from ..functions import add_months, snapshot_is
-from ..operators import accounts, dedupe, people
+from ..operators import accounts, control, dedupe, people
 
 
 def customer_core(src, as_of: _dt.date, dt: int | None = None, dedupe_details: bool = False) -> DataFrame:
@@ -21,8 +21,8 @@ def customer_core(src, as_of: _dt.date, dt: int | None = None, dedupe_details: b
     ``dedupe_details`` keeps one per customer.
     """
     cust = src.customers_daily
-    part = F.lit(dt) if dt is not None else cust.filter(
-        F.col("dt") <= int(as_of.strftime("%Y%m"))).agg(F.max("dt")).scalar()
+    part = F.lit(dt) if dt is not None else control.newest_scalar(
+        cust, "dt", F.col("dt") <= int(as_of.strftime("%Y%m")))
     latest = people.latest_customers(cust, part).filter(F.col("fecha_fallecimiento").isNull())
     managers = people.manager_contacts(src.managers, src.manager_contacts)
     det1 = src.customer_attrs.filter(snapshot_is(P.SNAPSHOT_LATEST) & (F.col("xcoemp") == P.ENTITY)).select(

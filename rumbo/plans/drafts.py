@@ -33,7 +33,7 @@ def control_dates(src, labels: list[str]) -> DataFrame:
 
 
 def _newest(ctl: DataFrame, label: str):
-    return control.control_entry(ctl, label).scalar()
+    return control.scalar(control.control_entry(ctl, label))
 
 
 def _managers(src) -> DataFrame:

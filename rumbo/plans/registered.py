@@ -322,7 +322,8 @@ def score_pivot(spark, sf_dir):
 @register
 def yearly_contributions(spark, sf_dir):
     c = accounts.yearly_contributions(_src(spark, sf_dir).plan_operations, AS_OF)
-    return c.select("idprig", "APORTACION_ANUAL",
+    # amounts have 4 decimals: rounding to 4 makes the float sum order-independent
+    return c.select("idprig", F.round("APORTACION_ANUAL", 4).alias("APORTACION_ANUAL"),
                     flag(F.col("APORTACION_ANUAL") < P.CONTRIBUTION_LIMIT).alias("IND_APORTACION_MENOR_7000"))
 
 

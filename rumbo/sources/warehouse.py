@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import threading
 import time
 
 from pyspark.sql import DataFrame, SparkSession
@@ -107,14 +108,20 @@ def _signature(sf_dir: str) -> str:
 
 
 _BUILT: dict[tuple[int, str], WarehouseSources] = {}
+_LOCK = threading.Lock()
 BUILD_SECONDS: dict[str, float] = {}
 
 
 def standin_warehouse(spark: SparkSession, sf_dir: str, root: str | None = None) -> WarehouseSources:
     """Write (once) and open the stand-in warehouse for the tables in ``sf_dir``."""
     key = (id(spark), os.path.abspath(sf_dir))
-    if key in _BUILT and root is None:
-        return _BUILT[key]
+    with _LOCK:
+        if key in _BUILT and root is None:
+            return _BUILT[key]
+        return _build(spark, sf_dir, root, key)
+
+
+def _build(spark: SparkSession, sf_dir: str, root: str | None, key) -> WarehouseSources:
     root = root or f"{ensure_checkpoint_dir(spark).rstrip('/')}/standin-warehouse/{_signature(sf_dir)}"
     src = StandinSources(spark, sf_dir)
     schemas = {}
