@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import params as P
-from ..functions import add_months, flag, home_receipt_label, insurer_name, live_contract, snapshot_is, tax_id_of
+from ..functions import add_months, flag, home_receipt_label, insurer_name, snapshot_is, tax_id_of
 
 
 def expiring_receipts(receipts: DataFrame, as_of: _dt.date, month_end: str = "clamp") -> DataFrame:

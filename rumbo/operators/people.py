@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import params as P
-from ..functions import (add_months, empty_if_null, flag, if_null, language_label, live_contract,
-                         snapshot_is)
+from ..functions import add_months, empty_if_null, flag, if_null, language_label, snapshot_is
 from . import control, dedupe
 
 CUSTOMER_COLUMNS = [
@@ -145,7 +144,3 @@ def live_payroll(payroll: DataFrame) -> DataFrame:
     return payroll.filter(snapshot_is(P.SNAPSHOT_LATEST) & (F.col("xcoemp") == P.ENTITY)
                           & F.col("ffigco").isNull() & (F.col("cosiig") == P.STATUS_ACTIVE))
 
-
-__all__ = ["clean_customers", "latest_customers", "manager_contacts", "milestone_birthdays",
-           "birthday_by_parts", "youth_accounts", "programme_rows", "digital_profiles", "live_payroll",
-           "live_contract"]

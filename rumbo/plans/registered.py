@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import params as P
-from ..functions import (account_hash, add_months, classify_text, code_label, concat_key, flag,
+from ..functions import (account_hash, add_months, code_label, concat_key, flag,
                          home_receipt_label, insurer_name, language_label, last_chars,
                          strip_leading_zeros, tax_id_of)
 from ..operators import accounts, agg, control, dedupe, insurance, joins, people, scoring
@@ -431,5 +431,3 @@ def scalar_functions(spark, sf_dir):
         (F.year(d) - F.lit(1990)).alias("f_minus"),
     )
 
-
-__all__ = ["REGISTRY", "register", "classify_text"]

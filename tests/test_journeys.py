@@ -93,3 +93,33 @@ def test_home_insurance_cases(spark):
     bank = Bank(spark, receipts=receipts, policies=policies, person_board=people)
     got = sorted(tuple(r) for r in insurance.home_insurance_expiry(bank, AS_OF).collect())
     assert got == [(101, dt.date(2024, 3, 31), 0, 0, 0, 0), (107, dt.date(2024, 3, 31), 1, 1, 0, 1)]
+
+
+def test_young_retention_cases(spark):
+    from rumbo.plans import youth
+    born, other = dt.date(1998, 3, 1), dt.date(1998, 3, 2)       # turns 26 on as_of + 30 days, or not
+    accounts = [(1, "00000000001A", 11594), (1, "00000000001B", 10300), (2, "000000000002", 11239),
+                (3, "000000000003", 11239), (4, "000000000004", 11594), (5, "000000000005", 10600),
+                (6, "000000000006", 11594)]
+    balances = [bal(c, i, D30, 10.0, copser=p) for c, i, p in accounts] + [bal(1, "00000000001A", D29, 5.0, copser=11594)]
+    contracts = [holder(c, i, copser=p) for c, i, p in accounts]
+    people = [dict(person(c, cotpmk=2 if c == 6 else 1), fenac9=other if c == 2 else born,
+                   casfpt=123456 if c == 1 else 1000) for c in range(1, 7)]
+    prog = lambda c, m1="S", day=dt.date(2024, 1, 20): dict(
+        copemk=c, fevaig=day, marin1=m1, marin2="S", marin3="S", marin5="S", marin6="S", clvpro="HIBD2 ",
+        extractiondate=day.strftime("%Y%m%d"))
+    programme = [prog(1), prog(3, m1="N"), prog(5, day=dt.date(2024, 1, 10))]
+    digital = dict(telefono_movil_1="600000000", ds_email="SI", ind_cr_electronica="S", ind_disp_moviles="S",
+                   ind_telemarketing="S", ind_correspondencia_internet=1, dt=202401)
+    customers = [dict(digital, id_cliente=4, fecha_derivado=D30), dict(digital, id_cliente=5, fecha_derivado=D30),
+                 dict(digital, id_cliente=1, fecha_derivado=D30, ds_email="NO")]
+    payroll = [dict(copemk=1)]
+    bank = Bank(spark, account_balance=balances, contracts=contracts, person_board=people, programme=programme,
+                customers_daily=customers, payroll_contracts=payroll)
+    got = sorted(tuple(r) for r in youth.young_retention(bank, AS_OF).collect())
+    assert got == [
+        # holder 1: ON + easy account, passing programme row, payroll; not all ON/young
+        (1, "JR000002", born, 1234.56, "S", "S", "S", "S", "S", 1, 0, 2, 1, 0, 1, 0),
+        # holder 5: only an easy account, so the digital-profile exclusion does not apply
+        (5, "JR000002", born, 10.0, None, None, None, None, None, 0, 1, 1, 0, 0, 1, 0),
+    ]

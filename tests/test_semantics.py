@@ -4,7 +4,6 @@ import datetime as dt
 import hashlib
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from rumbo import functions as R
 from rumbo.operators import agg, control, dedupe, joins
