@@ -39,6 +39,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.driver.memory", os.environ.get("RUMBO_DRIVER_MEMORY", "8g"))
         # small local inputs: let a few-MB table still split over every core
         .config("spark.sql.files.openCostInBytes", str(1024 * 1024))
+        # no Python call-site capture per Column call (error context only);
+        # it costs a JVM round trip per function call while plans are built
+        .config("spark.python.sql.dataFrameDebugging.enabled", os.environ.get("RUMBO_DF_DEBUG", "false"))
     )
     for k, v in {**RECOMMENDED_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
