@@ -67,11 +67,18 @@ def natural_persons(person_board: DataFrame, active_only: bool = False) -> DataF
 
 
 def last_positive_day(balances: DataFrame, as_of: _dt.date,
-                      days: int = P.OVERDRAFT_HISTORY_DAYS) -> DataFrame:
-    """Newest day with a non-negative balance in the last ``days`` days, per account."""
+                      days: int = P.OVERDRAFT_HISTORY_DAYS, accounts: DataFrame | None = None) -> DataFrame:
+    """Newest day with a non-negative balance in the last ``days`` days, per account.
+
+    ``accounts`` (rows with the account key) restricts the history to those
+    accounts before aggregating: the window holds every account's days, the
+    consumers only need yesterday's overdrawn ones.
+    """
     hist = balances.filter(snapshot_is(P.SNAPSHOT_HISTORIC)
                            & (F.col("extractiondate") >= day_key(as_of, days))
                            & (F.col("cavt20") >= 0) & live_contract())
+    if accounts is not None:
+        hist = hist.join(accounts.select(*ACCOUNT_KEY).distinct(), ACCOUNT_KEY, "left_semi")
     return hist.groupBy("copemk", *ACCOUNT_KEY).agg(F.max("fevaig").alias("MAX_DIA_SALDO_POSITIVO"))
 
 
@@ -132,14 +139,27 @@ def total_balance_cover(trigger: DataFrame, contracts: DataFrame, balances: Data
         flag(F.sum("cavt20") > 0).alias("IND_SALDO_TOTAL_CUENTAS_CUBRE_DESCUBIERTO"))
 
 
-def best_credit_card_limit(cards: DataFrame) -> DataFrame:
+def _only(df: DataFrame, holders: DataFrame | None, key: str = "copemk") -> DataFrame:
+    """Rows of ``df`` whose ``key`` is among ``holders`` (first column), if given.
+
+    Used before per-holder aggregations whose result is only joined to a small
+    trigger: the semi join (broadcast by AQE when the trigger is small) drops
+    the other holders' rows before the shuffle.
+    """
+    if holders is None:
+        return df
+    ids = holders.select(F.col(holders.columns[0]).alias("__h")).distinct()
+    return df.join(ids, df[key] == ids["__h"], "left_semi")
+
+
+def best_credit_card_limit(cards: DataFrame, holders: DataFrame | None = None) -> DataFrame:
     """Max available limit over live credit cards owned 100 %, per holder."""
     cond = (snapshot_is(P.SNAPSHOT_LATEST) & (F.col("cacv0d") > 0) & live_contract()
             & (F.trim("titar3") == P.CARD_TYPE_CREDIT) & (F.col("porcpa") == P.CARD_OWNERSHIP_FULL))
-    return cards.filter(cond).groupBy("copemk").agg(F.max("cacv0d").alias("MAX_LIMITE_DISPONIBLE_TARJ_CRED"))
+    return _only(cards.filter(cond), holders).groupBy("copemk").agg(F.max("cacv0d").alias("MAX_LIMITE_DISPONIBLE_TARJ_CRED"))
 
 
-def preapproved_loans(loans: DataFrame) -> DataFrame:
+def preapproved_loans(loans: DataFrame, holders: DataFrame | None = None) -> DataFrame:
     """Live pre-approved loans per (holder, amount, payroll code): validity and flag.
 
     Grouped as the rule was written, so a holder with several amounts or
@@ -148,36 +168,40 @@ def preapproved_loans(loans: DataFrame) -> DataFrame:
     cond = (snapshot_is(P.SNAPSHOT_LATEST) & live_contract()
             & (F.trim("coelpp") == P.LOAN_STATE) & (F.trim("coespq") == P.LOAN_SUBSTATE)
             & (F.trim("cdtcls") != P.LOAN_EXCLUDED_CLASS) & (F.col("copser") == P.LOAN_PRODUCT))
-    g = loans.filter(cond).groupBy("copemk", "imlppm", "inanom").agg(F.max("feclpp").alias("VIGENCIA_LPP"))
+    g = _only(loans.filter(cond), holders).groupBy("copemk", "imlppm", "inanom").agg(F.max("feclpp").alias("VIGENCIA_LPP"))
     return g.select("copemk", F.col("imlppm").alias("IMPORTE_LPP"), "VIGENCIA_LPP",
                     flag(F.col("inanom").isin(*P.PAYROLL_ADVANCE_CODES)).alias("IND_ANTICIPO_NOMINA"))
 
 
 def owners_of(product_contracts: DataFrame, contracts: DataFrame, holder_codes: DataFrame,
-              extra: DataFrame | None = None, extra_key: Sequence[str] = ()) -> DataFrame:
-    """Holders of live product accounts (``LEFT JOIN`` to holder contracts).
+              holders: DataFrame | None = None) -> DataFrame:
+    """``(copemk, copser, idcoec, idprig, xcoemp)`` per live product account and holder.
 
-    Accounts with no holder contract give a NULL holder (kept, as written).
-    ``extra`` is joined on ``extra_key`` (e.g. yearly contributions per plan).
+    A ``LEFT JOIN`` to holder contracts: accounts without a holder contract
+    give a NULL holder (kept, as written).  With ``holders`` only those
+    holders' rows are produced (NULL-holder rows can never match a holder, so
+    they are not produced either).
     """
-    live = product_contracts.filter(snapshot_is(P.SNAPSHOT_LATEST) & live_contract()).select(
-        "copser", "idcoec", "idprig", "xcoemp")
-    hc = holder_contracts(contracts, holder_codes).select(
+    key = ["copser", "idcoec", "idprig", "xcoemp"]
+    live = product_contracts.filter(snapshot_is(P.SNAPSHOT_LATEST) & live_contract()).select(*key)
+    hc = _only(holder_contracts(contracts, holder_codes), holders).select(
         F.col("copemk"), F.col("copser").alias("__s"), F.col("idprig").alias("__p"), F.col("xcoemp").alias("__e"))
-    j = live.join(hc, (live.copser == hc.__s) & (live.idprig == hc.__p) & (live.xcoemp == hc.__e), "left")
-    cols = [F.col("copemk")]
-    if extra is not None:
-        j = j.join(extra, list(extra_key), "left")
-        cols += [c for c in extra.columns if c not in extra_key]
-    return j.select(*cols)
+    how = "left" if holders is None else "inner"
+    j = live.join(hc, (live.copser == hc.__s) & (live.idprig == hc.__p) & (live.xcoemp == hc.__e), how)
+    return j.select("copemk", *key)
 
 
-def yearly_contributions(operations: DataFrame, as_of: _dt.date) -> DataFrame:
-    """Sum of contribution operations dated in the run year, per plan account."""
+def yearly_contributions(operations: DataFrame, as_of: _dt.date, accounts: DataFrame | None = None) -> DataFrame:
+    """Sum of contribution operations dated in the run year, per plan account
+    (optionally only for the given plan accounts)."""
     year = as_of.year
     cond = ((F.col("xcoemp") == P.ENTITY) & F.col("cox1b7").isin(*P.CONTRIBUTION_OPERATION_TYPES)
             & ((F.year("fecaig") == year) | (F.year("feopen") == year)))
-    return operations.filter(cond).groupBy("copser", "idcoec", "idprig", "xcoemp").agg(
+    ops = operations.filter(cond)
+    if accounts is not None:
+        key = ["copser", "idcoec", "idprig", "xcoemp"]
+        ops = ops.join(accounts.select(*key).distinct(), key, "left_semi")
+    return ops.groupBy("copser", "idcoec", "idprig", "xcoemp").agg(
         F.sum("cacv7j").alias("APORTACION_ANUAL"))
 
 
@@ -186,7 +210,7 @@ def days_overdrawn(balances: DataFrame, as_of: _dt.date) -> DataFrame:
     in the window (accounts without one are dropped)."""
     od = overdrawn_accounts(balances, as_of).select(
         "copemk", *ACCOUNT_KEY, F.col("fevaig").alias("FECHA_DESCUBIERTO"), F.col("cavt20").alias("SALDO_HOY"))
-    lp = last_positive_day(balances, as_of)
+    lp = last_positive_day(balances, as_of, accounts=od)
     j = od.join(lp, ["copemk", *ACCOUNT_KEY], "inner")
     return j.select("copemk", "idprig", "FECHA_DESCUBIERTO", "SALDO_HOY", "MAX_DIA_SALDO_POSITIVO",
                     F.datediff("FECHA_DESCUBIERTO", "MAX_DIA_SALDO_POSITIVO").alias("NUM_DIAS_DESCUBIERTO"))

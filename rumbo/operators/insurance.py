@@ -41,13 +41,17 @@ def own_policies(policies: DataFrame) -> DataFrame:
                            & (F.col("codsi7") == P.POLICY_OWN_COMPANY))
 
 
-def policy_flags(policies: DataFrame) -> DataFrame:
+def policy_flags(policies: DataFrame, persons: DataFrame | None = None) -> DataFrame:
     """Per holder: max of the premium-threshold flags and a home-policy marker.
 
     Pre-aggregated per holder before joining, so a holder with many policies
-    adds one row to the join (max distributes over the join).
+    adds one row to the join (max distributes over the join).  ``persons``
+    (first column) restricts the policies to those holders first.
     """
     p = own_policies(policies)
+    if persons is not None:
+        who = persons.select(F.col(persons.columns[0]).alias("__p")).distinct()
+        p = p.join(who, p.copemk == who["__p"], "left_semi")
     amt, br = F.col("imd2c0"), F.col("colnng")
     return p.groupBy(F.col("copemk").alias("Persona")).agg(
         F.max(flag(br == P.POLICY_BRANCH_HOME)).alias("SEGURO_HOGAR"),

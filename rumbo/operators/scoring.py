@@ -20,7 +20,7 @@ def newest_threshold_date(thresholds: DataFrame) -> Column:
 
 def propensity_flags(scores: DataFrame, thresholds: DataFrame, *, id_col: str, model_col: str,
                      score_col: str, date_col: str, models: Sequence[str], out_id: str,
-                     flag_name: str, use: str = P.MODEL_USE) -> DataFrame:
+                     flag_name: str, use: str = P.MODEL_USE, ids: DataFrame | None = None) -> DataFrame:
     """``(out_id, 1 AS flag_name)`` for customers with a score at or above the
     threshold of the same model, both taken at the threshold table's newest date.
 
@@ -29,6 +29,9 @@ def propensity_flags(scores: DataFrame, thresholds: DataFrame, *, id_col: str, m
     """
     when = newest_threshold_date(thresholds)
     s = scores.filter(F.col(date_col) == when)
+    if ids is not None:       # only the trigger's customers, before the distinct
+        who = ids.select(F.col(ids.columns[0]).alias("__i")).distinct()
+        s = s.join(who, s[id_col] == who["__i"], "left_semi")
     t = thresholds.filter((F.col("iduso") == use) & (F.col("extractiondate") == when))
     ids = joins.passing_ids(s, t, id_col=id_col, model_col=model_col, score_col=score_col,
                             thr_model_col="idmode", thr_col="nupropenmin", models=models, out_col=out_id)
@@ -36,16 +39,16 @@ def propensity_flags(scores: DataFrame, thresholds: DataFrame, *, id_col: str, m
 
 
 def propensity_a(scores_a: DataFrame, thresholds: DataFrame, models: Sequence[str], out_id: str,
-                 flag_name: str) -> DataFrame:
+                 flag_name: str, ids: DataFrame | None = None) -> DataFrame:
     return propensity_flags(scores_a, thresholds, id_col="idpers", model_col="idmode", score_col="nupropen",
-                            date_col="extractiondate", models=models, out_id=out_id, flag_name=flag_name)
+                            date_col="extractiondate", models=models, out_id=out_id, flag_name=flag_name, ids=ids)
 
 
 def propensity_b(scores_b: DataFrame, thresholds: DataFrame, models: Sequence[str], out_id: str,
-                 flag_name: str) -> DataFrame:
+                 flag_name: str, ids: DataFrame | None = None) -> DataFrame:
     return propensity_flags(scores_b, thresholds, id_col="co_cliente", model_col="modelid",
                             score_col="probabilidad", date_col="sessionid", models=models,
-                            out_id=out_id, flag_name=flag_name)
+                            out_id=out_id, flag_name=flag_name, ids=ids)
 
 
 WEB_COLUMNS = ["id_cliente", "co_canal", "tl_familia", "tl_seccion0_pagename", "tl_seccion1_pagename",

@@ -21,7 +21,7 @@ def home_insurance_expiry(src, as_of: _dt.date, month_end: str = "clamp") -> Dat
     """
     trig = insurance.expiring_receipts(src.receipts, as_of, month_end)
     excluded = insurance.already_insured(trig, src.policies)
-    flags = insurance.policy_flags(src.policies).withColumnRenamed("Persona", "__p")
+    flags = insurance.policy_flags(src.policies, persons=trig.select("Persona")).withColumnRenamed("Persona", "__p")
     a = joins.anti(trig, excluded, ["Persona"])
     a = a.filter(F.col("RAMO").isNotNull() & (F.length("Concepto") >= P.RECEIPT_MIN_TEXT))
     a = a.join(accounts.natural_persons(src.person_board, active_only=True),

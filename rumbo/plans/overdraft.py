@@ -27,12 +27,13 @@ def overdraft_master(src, as_of: _dt.date, compare_abs: bool = False) -> DataFra
     a = a.join(holders, accounts.CONTRACT_KEY, "inner")
     a = a.join(accounts.natural_persons(src.person_board),
                a.CODIGO_PERSONA == F.col("copemk"), "left_semi")
-    lp = accounts.last_positive_day(bal, as_of).withColumnRenamed("copemk", "CODIGO_PERSONA")
+    lp = accounts.last_positive_day(bal, as_of, accounts=a).withColumnRenamed("copemk", "CODIGO_PERSONA")
     # NUM_DIAS_DESCUBIERTO IS NOT NULL keeps only accounts with a positive day.
     a = a.join(lp, ["CODIGO_PERSONA", *accounts.ACCOUNT_KEY], "inner")
     a = a.withColumn("NUM_DIAS_DESCUBIERTO", F.datediff("FECHA_DESCUBIERTO", "MAX_DIA_SALDO_POSITIVO"))
-    loans = accounts.preapproved_loans(src.loans).withColumnRenamed("copemk", "__lc")
-    cards = accounts.best_credit_card_limit(src.cards).withColumnRenamed("copemk", "__cc")
+    who = a.select("CODIGO_PERSONA")
+    loans = accounts.preapproved_loans(src.loans, who).withColumnRenamed("copemk", "__lc")
+    cards = accounts.best_credit_card_limit(src.cards, who).withColumnRenamed("copemk", "__cc")
     j = (a.join(loans, a.CODIGO_PERSONA == loans.__lc, "left")
          .join(cards, a.CODIGO_PERSONA == cards.__cc, "left"))
     amount = -F.col("SALDO_HOY") if compare_abs else F.col("SALDO_HOY")
@@ -52,12 +53,13 @@ def overdraft_journey(src, as_of: _dt.date, compare_abs: bool = False) -> DataFr
     worst = dedupe.worst_row_per_key(trig, ["ID_URSUS"], "IMPORTE_DESCUBIERTO",
                                      [F.col("CODIGO_CUENTA").asc_nulls_first(), F.col("idcoec").asc_nulls_first()])
     cover = accounts.total_balance_cover(trig, src.contracts, src.account_balance).withColumnRenamed("copemk", "__tc")
-    cards = accounts.best_credit_card_limit(src.cards).withColumnRenamed("copemk", "__cc")
-    loans = accounts.preapproved_loans(src.loans).withColumnRenamed("copemk", "__lc")
+    who = trig.select("ID_URSUS")      # the day's new overdrafts: every enrichment is reduced to them first
+    cards = accounts.best_credit_card_limit(src.cards, who).withColumnRenamed("copemk", "__cc")
+    loans = accounts.preapproved_loans(src.loans, who).withColumnRenamed("copemk", "__lc")
     prop_a = scoring.propensity_a(src.scores_a, src.model_thresholds, [P.OVERDRAFT_MODEL_SCORES_A],
-                                  "__pa", "PROPENSION_LPP_SAS")
+                                  "__pa", "PROPENSION_LPP_SAS", ids=who)
     prop_b = scoring.propensity_b(src.scores_b, src.model_thresholds, [P.OVERDRAFT_MODEL_SCORES_B],
-                                  "__pb", "PROPENSION_LPP_BD")
+                                  "__pb", "PROPENSION_LPP_BD", ids=who)
     w = worst
     j = (w.join(cover, w.ID_URSUS == cover.__tc, "left")
          .join(cards, w.ID_URSUS == cards.__cc, "left")

@@ -12,13 +12,14 @@ from ..functions import flag
 from ..operators import accounts, scoring
 
 
-def _interest(src, as_of: _dt.date, family: str, excluded: tuple, owners: DataFrame,
-              models_a, models_b) -> DataFrame:
+def _interest(src, as_of: _dt.date, family: str, excluded: tuple, owners_for, models_a, models_b) -> DataFrame:
     hits = scoring.web_interest(src.web_hits, as_of, family, excluded)
     hits = hits.join(accounts.natural_persons(src.person_board, active_only=True),
                      hits.id_cliente == F.col("copemk"), "left_semi")
-    prop_a = scoring.propensity_a(src.scores_a, src.model_thresholds, models_a, "__pa", "PROPENSION_SAS")
-    prop_b = scoring.propensity_b(src.scores_b, src.model_thresholds, models_b, "__pb", "PROPENSION_BD")
+    who = hits.select("id_cliente")     # one web day's customers: enrichments are reduced to them first
+    owners = owners_for(who)
+    prop_a = scoring.propensity_a(src.scores_a, src.model_thresholds, models_a, "__pa", "PROPENSION_SAS", ids=who)
+    prop_b = scoring.propensity_b(src.scores_b, src.model_thresholds, models_b, "__pb", "PROPENSION_BD", ids=who)
     return (hits.join(owners, hits.id_cliente == owners.TITULAR, "left")
             .join(prop_a, hits.id_cliente == prop_a.__pa, "left")
             .join(prop_b, hits.id_cliente == prop_b.__pb, "left"))
@@ -30,11 +31,12 @@ def _propensity() -> "F.Column":
 
 def fund_interest(src, as_of: _dt.date, dedupe_owners: bool = False) -> DataFrame:
     """Customers who browsed investment funds on the newest web day."""
-    owners = accounts.owners_of(src.fund_contracts, src.contracts, src.holder_codes).select(
-        F.col("copemk").alias("TITULAR"))
-    if dedupe_owners:
-        owners = owners.distinct()
-    j = _interest(src, as_of, P.WEB_FAMILY_FUNDS, P.FUND_EXCLUDED_PROCESSES, owners,
+    def owners_for(who):
+        owners = accounts.owners_of(src.fund_contracts, src.contracts, src.holder_codes, holders=who).select(
+            F.col("copemk").alias("TITULAR"))
+        return owners.distinct() if dedupe_owners else owners
+
+    j = _interest(src, as_of, P.WEB_FAMILY_FUNDS, P.FUND_EXCLUDED_PROCESSES, owners_for,
                   P.FUND_MODELS_A, P.FUND_MODELS_B)
     return j.select(
         F.col("id_cliente").alias("ID_CLIENTE"), flag(F.col("TITULAR").isNotNull()).alias("C0"),
@@ -45,11 +47,14 @@ def fund_interest(src, as_of: _dt.date, dedupe_owners: bool = False) -> DataFram
 
 def pension_interest(src, as_of: _dt.date) -> DataFrame:
     """Customers who browsed pension plans, with yearly contributions under the limit."""
-    contrib = accounts.yearly_contributions(src.plan_operations, as_of)
-    owners = accounts.owners_of(src.plan_contracts, src.contracts, src.holder_codes, extra=contrib,
-                                extra_key=["copser", "idcoec", "idprig", "xcoemp"]).select(
-        F.col("copemk").alias("TITULAR"), "APORTACION_ANUAL")
-    j = _interest(src, as_of, P.WEB_FAMILY_PENSIONS, (), owners, P.PENSION_MODELS_A, P.PENSION_MODELS_B)
+    key = ["copser", "idcoec", "idprig", "xcoemp"]
+
+    def owners_for(who):
+        owned = accounts.owners_of(src.plan_contracts, src.contracts, src.holder_codes, holders=who)
+        contrib = accounts.yearly_contributions(src.plan_operations, as_of, accounts=owned)
+        return owned.join(contrib, key, "left").select(F.col("copemk").alias("TITULAR"), "APORTACION_ANUAL")
+
+    j = _interest(src, as_of, P.WEB_FAMILY_PENSIONS, (), owners_for, P.PENSION_MODELS_A, P.PENSION_MODELS_B)
     return j.select(
         F.col("id_cliente").alias("ID_CLIENTE"), flag(F.col("TITULAR").isNotNull()).alias("C0"),
         flag(F.col("APORTACION_ANUAL").isNotNull() & (F.col("APORTACION_ANUAL") < P.CONTRIBUTION_LIMIT)).alias("C1"),

@@ -20,18 +20,25 @@ def young_retention(src, as_of: _dt.date, month_end: str = "clamp") -> DataFrame
     with a digital profile who also hold a non-"easy" account.  Only holders
     reaching the milestone age remain.
     """
-    x = people.youth_accounts(src.account_balance, src.contracts)
+    all_x = people.youth_accounts(src.account_balance, src.contracts)
     y = people.milestone_birthdays(src.person_board, as_of, month_end)
+    # Only holders reaching the milestone survive (inner join with y), so the
+    # exclusions are computed for them alone: x = their account rows, and the
+    # failing-criteria exclusion looks at every holder of those accounts.
+    x = all_x.join(y.select(F.col("copemk").alias("tt")), "tt", "left_semi")
+    x_accounts = all_x.join(x.select("copser", "idprig").distinct(), ["copser", "idprig"], "left_semi")
     z = people.programme_rows(src.programme, passing=True).select(
         F.col("copemk").alias("__z"), F.col("marin6").alias("dom_ingresos_pst"),
         F.col("marin3").alias("accionistas_pst"), F.col("marin5").alias("racs_pst"),
         F.col("marin1").alias("joven_menos_18_pst"), F.col("marin2").alias("joven_18_25_pst"))
-    u = joins.presence(people.live_payroll(src.payroll_contracts), "copemk",
-                       "INDICADOR_DOMICILIACION_INGRESOS_D", as_key="__u")
+    payroll = people.live_payroll(src.payroll_contracts).join(
+        x.select(F.col("tt").alias("copemk")).distinct(), "copemk", "left_semi")
+    u = joins.presence(payroll, "copemk", "INDICADOR_DOMICILIACION_INGRESOS_D", as_key="__u")
     digital = people.digital_profiles(src.customers_daily)
-    v = digital.select(F.col("id_cliente").alias("__v")).withColumn("PERFIL_DIGITAL", F.lit(1))
+    v = (digital.join(x.select(F.col("tt").alias("id_cliente")).distinct(), "id_cliente", "left_semi")
+         .select(F.col("id_cliente").alias("__v")).withColumn("PERFIL_DIGITAL", F.lit(1)))
     failing = people.programme_rows(src.programme, passing=False).select(F.col("copemk").alias("tt"))
-    w = x.join(failing, "tt", "inner").select("copser", "idprig").distinct()
+    w = x_accounts.join(failing, "tt", "inner").select("copser", "idprig").distinct()
     t = (x.filter(F.col("cuenta_facil") == 0).join(digital, x.tt == digital.id_cliente, "inner")
          .select("tt").distinct())
 

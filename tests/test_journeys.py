@@ -123,3 +123,18 @@ def test_young_retention_cases(spark):
         # holder 5: only an easy account, so the digital-profile exclusion does not apply
         (5, "JR000002", born, 10.0, None, None, None, None, None, 0, 1, 1, 0, 0, 1, 0),
     ]
+
+
+def test_young_retention_shared_account_excluded_by_other_holder(spark):
+    from rumbo.plans import youth
+    born = dt.date(1998, 3, 1)
+    balances = [bal(7, "000000000078", D30, 10.0, copser=11594), bal(9, "000000000009", D30, 10.0, copser=11594)]
+    contracts = [holder(7, "000000000078", copser=11594), holder(8, "000000000078", copser=11594),
+                 holder(9, "000000000009", copser=11594)]
+    people = [dict(person(7), fenac9=born), dict(person(8), fenac9=dt.date(1980, 5, 5)), dict(person(9), fenac9=born)]
+    programme = [dict(copemk=8, fevaig=dt.date(2024, 1, 20), marin1="N", marin2="S", marin3="S", marin5="S",
+                      marin6="S", clvpro="HIBD2 ", extractiondate="20240120")]
+    bank = Bank(spark, account_balance=balances, contracts=contracts, person_board=people, programme=programme)
+    got = [r.ID_URSUS for r in youth.young_retention(bank, AS_OF).collect()]
+    # account 78 is held by 7 (milestone) and 8 (fails a criterion): excluded for both holders
+    assert sorted(got) == [9]
