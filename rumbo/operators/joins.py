@@ -101,3 +101,23 @@ def passing_ids(scores: DataFrame, thresholds: DataFrame, id_col: str, model_col
     hits = scores.join(thr, scores[model_col] == thr["__model"], "inner").filter(
         F.col(score_col) >= F.col("__min"))
     return hits.select(F.col(id_col).alias(out_col or id_col)).distinct()
+
+
+def left_join_skew_safe(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]]) -> DataFrame:
+    """``left LEFT JOIN right`` for a right side whose keys may be hot.
+
+    AQE splits skewed partitions of a left outer join on the left side only,
+    so a customer holding a third of the right side's rows would be joined by
+    a single task.  Written as ``(left ⋈ right) ∪ (left ▷ right)`` (the anti
+    part padded with NULLs), both sides of the inner join can be split, and
+    the anti join only needs the right side's distinct keys (partially
+    aggregated before the shuffle).  Column names of the two sides must not
+    overlap; the result has the columns of ``left.join(right, ..., "left")``.
+    """
+    cond = _cond(left, right, on)
+    inner = left.join(right, cond, "inner")
+    keys = right.select(*[rk for _, rk in on]).distinct()
+    missing = left.join(keys, _cond(left, keys, on), "left_anti")
+    for f in right.schema.fields:
+        missing = missing.withColumn(f.name, F.lit(None).cast(f.dataType))
+    return inner.unionByName(missing)

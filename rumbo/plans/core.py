@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import params as P
 from ..functions import snapshot_is
-from ..operators import accounts, control, dedupe, people
+from ..operators import accounts, control, dedupe, joins, people
 
 
 def customer_core(src, as_of: _dt.date, dt: int | None = None, dedupe_details: bool = False) -> DataFrame:
@@ -34,8 +34,10 @@ def customer_core(src, as_of: _dt.date, dt: int | None = None, dedupe_details: b
         det1 = det1.dropDuplicates(["codCliente"])
         det2 = det2.dropDuplicates(["CodCliente2"])
     j = (latest.join(managers, latest.idgestor == managers.codgestor, "left")
-         .join(det1, latest.idcliente == det1.codCliente, "left")
-         .join(det2, latest.idcliente == det2.CodCliente2, "left"))
+         .join(det1, latest.idcliente == det1.codCliente, "left"))
+    # value-manager rows fan out per customer (as the rule reads them): a hot
+    # customer there must not be joined by one task
+    j = joins.left_join_skew_safe(j, det2, [("idcliente", "CodCliente2")])
     return j.select(
         "idcliente", "prefijo_mv", "tfno_movil", "tfno_fijo", "tenencia_email", "nombre", "edad_cliente",
         "fecha_nacimiento", "fecha_fallecimiento", "codigopostal", "canal_preferido", "entidad",

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import params as P
 from ..functions import flag
-from ..operators import accounts, scoring
+from ..operators import accounts, joins, scoring
 
 
 def _interest(src, as_of: _dt.date, family: str, excluded: tuple, owners_for, models_a, models_b) -> DataFrame:
@@ -20,7 +20,8 @@ def _interest(src, as_of: _dt.date, family: str, excluded: tuple, owners_for, mo
     owners = owners_for(who)
     prop_a = scoring.propensity_a(src.scores_a, src.model_thresholds, models_a, "__pa", "PROPENSION_SAS", ids=who)
     prop_b = scoring.propensity_b(src.scores_b, src.model_thresholds, models_b, "__pb", "PROPENSION_BD", ids=who)
-    return (hits.join(owners, hits.id_cliente == owners.TITULAR, "left")
+    # ownership rows fan out per customer (one per account, as the rule reads them)
+    return (joins.left_join_skew_safe(hits, owners, [("id_cliente", "TITULAR")])
             .join(prop_a, hits.id_cliente == prop_a.__pa, "left")
             .join(prop_b, hits.id_cliente == prop_b.__pb, "left"))
 

@@ -135,3 +135,12 @@ def test_birthday_by_parts_december_branch_never_fires(spark):
     assert got == 0
     got = df.filter(birthday_by_parts("b", dt.date(2024, 11, 15), 26)).collect()
     assert [r.b for r in got] == [dt.date(1998, 12, 15)]
+
+
+def test_left_join_skew_safe_equals_left_join(spark):
+    left = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c"), (3, "d")], "k int, x string")
+    right = spark.createDataFrame([(1, 10), (1, 11), (3, 30), (4, 40), (None, 50)], "rk int, y int")
+    key = lambda t: tuple((v is None, v if v is not None else 0) for v in t)
+    got = sorted((tuple(r) for r in joins.left_join_skew_safe(left, right, [("k", "rk")]).collect()), key=key)
+    want = sorted((tuple(r) for r in left.join(right, left.k == right.rk, "left").collect()), key=key)
+    assert got == want and len(got) == 5
