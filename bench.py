@@ -37,8 +37,11 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     repeats = int(os.environ.get("BENCH_REPEATS", "3"))
     keys = [k for k in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if k]
-    spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", os.environ.get("BENCH_CPUS", "8"))),
-                          app="rumbo-bench")
+    extra = {}
+    if os.environ.get("BENCH_EVENT_LOG_DIR"):        # stage / task times without the UI
+        extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG_DIR"]}
+    spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus)),
+                          app="rumbo-bench", extra=extra)
     t0 = time.perf_counter()            # stand-in warehouse, written once per data set
     standin_warehouse(spark, sf_dir)
     build = round(time.perf_counter() - t0, 3)

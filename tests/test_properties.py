@@ -36,3 +36,15 @@ def test_top1_does_not_depend_on_partitioning(spark, rows, parts):
         if k not in best or (d, -v) > (best[k][0], -best[k][1]):
             best[k] = (d, v)
     assert a == sorted((k, d, v) for k, (d, v) in best.items())
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 4)), st.integers(0, 9)), max_size=20),
+       st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 6)), st.integers(0, 9)), max_size=30))
+def test_skew_safe_left_join_equals_left_join(spark, left_rows, right_rows):
+    left = spark.createDataFrame(left_rows, "k int, x int")
+    right = spark.createDataFrame(right_rows, "rk int, y int")
+    key = lambda t: tuple((v is None, v if v is not None else 0) for v in t)
+    got = sorted((tuple(r) for r in joins.left_join_skew_safe(left, right, [("k", "rk")]).collect()), key=key)
+    want = sorted((tuple(r) for r in left.join(right, left.k == right.rk, "left").collect()), key=key)
+    assert got == want
