@@ -51,3 +51,19 @@ def test_column_pruning_reaches_scan(spark, sf_dir):
     p = formatted(REGISTRY["latest_row_per_key"](spark, sf_dir))
     m = re.search(r"ReadSchema: struct<([^>]*)>", p)
     assert m and "o_orderpriority" not in m.group(1) and "o_orderstatus" not in m.group(1)
+
+
+@pytest.mark.parametrize("key", ["customer_core", "web_interest_trigger", "web_priority_row", "overdraft_journey",
+                                 "latest_catalogue", "worst_overdraft"])
+def test_results_do_not_depend_on_shuffle_partitions(spark, sf_dir, key):
+    def rows():
+        return sorted(tuple(str(v) for v in r) for r in REGISTRY[key](spark, sf_dir).collect())
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "3")
+        a = rows()
+        spark.conf.set("spark.sql.shuffle.partitions", "13")
+        b = rows()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert a == b and len(a) > 0
