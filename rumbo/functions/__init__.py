@@ -6,7 +6,6 @@ safe in the hot path of a 100 TB scan.
 
 from __future__ import annotations
 
-import datetime as _dt
 from functools import reduce
 from typing import Iterable, Mapping
 
@@ -20,13 +19,6 @@ def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def lit_date(d: str | _dt.date) -> Column:
-    """A DATE literal (keeps partition filters foldable and pushable)."""
-    if isinstance(d, str):
-        d = _dt.date.fromisoformat(d)
-    return F.lit(d)
-
-
 def flag(cond: Column) -> Column:
     """Boolean condition -> int 1/0 (NULL condition -> 0, as CASE WHEN does)."""
     return F.when(cond, F.lit(1)).otherwise(F.lit(0))
@@ -149,6 +141,3 @@ def date_key(c: str | Column, fmt: str = "yyyyMMdd") -> Column:
     return F.date_format(col(c), fmt)
 
 
-def day_of(c: str | Column) -> Column:
-    """timestamp -> date (sources store timestamps; rules compare days)."""
-    return F.to_date(col(c))

@@ -10,14 +10,13 @@ with literals, so Spark prunes partitions and pushes them to Parquet.
 from __future__ import annotations
 
 import datetime as _dt
-from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import params as P
 from ..functions import (as_int_code, flag, live_contract, snapshot_is, strip_leading_zeros)
-from . import joins
+from . import agg, joins
 
 ACCOUNT_KEY = ["xcoemp", "copser", "idcoec", "idprig"]
 CONTRACT_KEY = ["xcoemp", "copser", "idprig"]
@@ -135,8 +134,7 @@ def total_balance_cover(trigger: DataFrame, contracts: DataFrame, balances: Data
     owned = principal_holders(contracts).join(who, "copemk", "left_semi")
     live = balances.filter(snapshot_is(P.SNAPSHOT_LATEST) & live_contract()).select(*CONTRACT_KEY, "cavt20")
     j = owned.join(live, CONTRACT_KEY, "left")
-    return j.groupBy("copemk").agg(
-        flag(F.sum("cavt20") > 0).alias("IND_SALDO_TOTAL_CUENTAS_CUBRE_DESCUBIERTO"))
+    return agg.sum_sign_flag(j, "copemk", "cavt20", "IND_SALDO_TOTAL_CUENTAS_CUBRE_DESCUBIERTO")
 
 
 def _only(df: DataFrame, holders: DataFrame | None, key: str = "copemk") -> DataFrame:

@@ -41,13 +41,6 @@ def pivot_max(df: DataFrame, key: str, pivot_col: str, value: str,
     return df.groupBy(key).agg(*aggs)
 
 
-def max_flags(df: DataFrame, key: str, flags: Mapping[str, Column]) -> DataFrame:
-    """``coalesce(max(flag_expr), 0)`` per key for several 0/1 conditions."""
-    return df.groupBy(key).agg(*[
-        F.coalesce(F.max(expr), F.lit(0)).alias(name) for name, expr in flags.items()
-    ])
-
-
 def account_mix(df: DataFrame, keys: Sequence[str], product: str, account: str,
                 on_flag: str, young_flag: str, easy_flag: str, total_flag: str,
                 extra: Sequence[Column] = ()) -> DataFrame:

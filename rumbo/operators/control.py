@@ -32,11 +32,6 @@ def newest(df: DataFrame, column: str, where: Column | None = None,
     return src.agg(F.max(column).alias(alias or column))
 
 
-def newest_value(df: DataFrame, column: str, where: Column | None = None):
-    """The newest value as a Python scalar (one tiny job, one row to the driver)."""
-    return newest(df, column, where).first()[0]
-
-
 def scalar(one_row: DataFrame, mode: str | None = None) -> Column:
     """The single value of a one-row, one-column frame as a Column.
 
@@ -93,6 +88,3 @@ def control_entry(control: DataFrame, label: str) -> DataFrame:
     return control.filter(F.col("C1") == label).select("C2")
 
 
-def newest_at_or_before(df: DataFrame, column: str, bound) -> DataFrame:
-    """One-row frame: the newest value not after ``bound`` (replaces hard-coded partitions)."""
-    return newest(df, column, F.col(column) <= F.lit(bound), alias=column)
