@@ -138,3 +138,38 @@ def test_young_retention_shared_account_excluded_by_other_holder(spark):
     got = [r.ID_URSUS for r in youth.young_retention(bank, AS_OF).collect()]
     # account 78 is held by 7 (milestone) and 8 (fails a criterion): excluded for both holders
     assert sorted(got) == [9]
+
+
+def hit(cust, process, s3, day="20240130", s1="particulares", s2="productos", canal="WEB"):
+    return dict(id_cliente=cust, co_canal=canal, tl_familia="Fondos de Inversion", tl_seccion0_pagename="home",
+                tl_seccion1_pagename=s1, tl_seccion2_pagename=s2, tl_seccion3_pagename=s3,
+                tl_proceso_post=process, dt=day[:6], fe_adobe_extraction_dia=day)
+
+
+def test_fund_interest_cases(spark):
+    from rumbo.plans import web_interest
+    hits = [
+        hit(1, "contratacion", "x"), hit(1, "abc", "y"), hit(1, "", "z"),     # 'abc' sorts first, '' last
+        hit(2, "traspaso fondo", "x"), hit(2, None, "x"),                     # excluded process; NULL fails NOT IN
+        hit(3, "abc", "x", s1="empresas"),                                    # business section: out
+        hit(4, "abc", "x", day="20240129"),                                   # not the newest web day: out
+        hit(5, "simulacion", ""), hit(5, "simulacion", "b"),                  # empty section sorts last
+        hit(6, "abc", "x"), hit(7, "abc", "x"),                               # legal person / inactive: out
+    ]
+    people = [person(c) for c in range(1, 6)] + [person(6, cotpmk=2), person(7, coh004=0)]
+    funds = [dict(copser=3, idprig="F1", copemk=1), dict(copser=3, idprig="F2", copemk=1),
+             dict(copser=3, idprig="F5", copemk=5)]
+    contracts = [holder(1, "F1", copser=3), holder(1, "F2", copser=3), holder(5, "F5", copser=3, coprbs="0000")]
+    codes = [dict(coprbs="20")]
+    scores_a = [dict(idpers=5, idmode="FIAPOR1", nupropen=0.9, extractiondate="20240130")]
+    scores_b = [dict(co_cliente=1, modelid="MFOGENU1", probabilidad=0.3, sessionid="20240130")]
+    thresholds = [dict(idmode="FIAPOR1", iduso="MEDICION", nupropenmin=0.5, extractiondate="20240130"),
+                  dict(idmode="MFOGENU1", iduso="MEDICION", nupropenmin=0.6, extractiondate="20240130")]
+    bank = Bank(spark, web_hits=hits, person_board=people, fund_contracts=funds, contracts=contracts,
+                holder_codes=codes, scores_a=scores_a, scores_b=scores_b, model_thresholds=thresholds)
+    got = sorted(tuple(r) for r in web_interest.fund_interest(bank, AS_OF).collect())
+    assert got == [
+        (1, 1, 0, "WEB", "particulares", "productos", "y", "abc"),    # two fund accounts: one row each
+        (1, 1, 0, "WEB", "particulares", "productos", "y", "abc"),
+        (5, 0, 1, "WEB", "particulares", "productos", "b", "simulacion"),   # '0000' is no holder code
+    ]
