@@ -81,7 +81,7 @@ def insurer_name(tax_id: str | Column) -> Column:
 
 
 def tax_id_of(c: str | Column) -> Column:
-    """Characters 8..21 of the mandate reference (the creditor's tax id)."""
+    """Characters 8..21 of the mandate identifier (the creditor's tax id)."""
     return F.substring(col(c), P.TAX_ID_START, P.TAX_ID_LEN)
 
 

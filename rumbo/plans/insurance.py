@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .. import params as P
 from ..operators import accounts, insurance, joins
+from ..operators.reuse import reuse
 
 
 def home_insurance_expiry(src, as_of: _dt.date, month_end: str = "clamp") -> DataFrame:
@@ -19,7 +20,7 @@ def home_insurance_expiry(src, as_of: _dt.date, month_end: str = "clamp") -> Dat
     receipts classified as home insurance with a description of at least
     ``RECEIPT_MIN_TEXT`` characters, active natural persons only.
     """
-    trig = insurance.expiring_receipts(src.receipts, as_of, month_end)
+    trig = reuse(insurance.expiring_receipts(src.receipts, as_of, month_end))
     excluded = insurance.already_insured(trig, src.policies)
     flags = insurance.policy_flags(src.policies, persons=trig.select("Persona")).withColumnRenamed("Persona", "__p")
     a = joins.anti(trig, excluded, ["Persona"])

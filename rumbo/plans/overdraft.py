@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .. import params as P
 from ..functions import account_hash, flag
 from ..operators import accounts, dedupe, scoring
+from ..operators.reuse import reuse
 
 
 def overdraft_master(src, as_of: _dt.date, compare_abs: bool = False) -> DataFrame:
@@ -27,6 +28,7 @@ def overdraft_master(src, as_of: _dt.date, compare_abs: bool = False) -> DataFra
     a = a.join(holders, accounts.CONTRACT_KEY, "inner")
     a = a.join(accounts.natural_persons(src.person_board),
                a.CODIGO_PERSONA == F.col("copemk"), "left_semi")
+    a = reuse(a)                        # read by the history, loan and card branches
     lp = accounts.last_positive_day(bal, as_of, accounts=a).withColumnRenamed("copemk", "CODIGO_PERSONA")
     # NUM_DIAS_DESCUBIERTO IS NOT NULL keeps only accounts with a positive day.
     a = a.join(lp, ["CODIGO_PERSONA", *accounts.ACCOUNT_KEY], "inner")
@@ -49,7 +51,7 @@ def overdraft_master(src, as_of: _dt.date, compare_abs: bool = False) -> DataFra
 def overdraft_journey(src, as_of: _dt.date, compare_abs: bool = False) -> DataFrame:
     """Customers entering overdraft yesterday (positive the day before): their
     deepest new overdraft, with cover and propensity indicators."""
-    trig = accounts.overdraft_trigger(src.account_balance, src.contracts, src.person_board, as_of)
+    trig = reuse(accounts.overdraft_trigger(src.account_balance, src.contracts, src.person_board, as_of))
     worst = dedupe.worst_row_per_key(trig, ["ID_URSUS"], "IMPORTE_DESCUBIERTO",
                                      [F.col("CODIGO_CUENTA").asc_nulls_first(), F.col("idcoec").asc_nulls_first()])
     cover = accounts.total_balance_cover(trig, src.contracts, src.account_balance).withColumnRenamed("copemk", "__tc")

@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from .. import params as P
 from ..functions import flag
 from ..operators import accounts, joins, scoring
+from ..operators.reuse import reuse
 
 
 def _interest(src, as_of: _dt.date, family: str, excluded: tuple, owners_for, models_a, models_b) -> DataFrame:
     hits = scoring.web_interest(src.web_hits, as_of, family, excluded)
-    hits = hits.join(accounts.natural_persons(src.person_board, active_only=True),
-                     hits.id_cliente == F.col("copemk"), "left_semi")
+    hits = reuse(hits.join(accounts.natural_persons(src.person_board, active_only=True),
+                           hits.id_cliente == F.col("copemk"), "left_semi"))
     who = hits.select("id_cliente")     # one web day's customers: enrichments are reduced to them first
     owners = owners_for(who)
     prop_a = scoring.propensity_a(src.scores_a, src.model_thresholds, models_a, "__pa", "PROPENSION_SAS", ids=who)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .. import params as P
 from ..functions import flag
 from ..operators import agg, joins, people
+from ..operators.reuse import reuse
 
 
 def young_retention(src, as_of: _dt.date, month_end: str = "clamp") -> DataFrame:
@@ -25,7 +26,7 @@ def young_retention(src, as_of: _dt.date, month_end: str = "clamp") -> DataFrame
     # Only holders reaching the milestone survive (inner join with y), so the
     # exclusions are computed for them alone: x = their account rows, and the
     # failing-criteria exclusion looks at every holder of those accounts.
-    x = all_x.join(y.select(F.col("copemk").alias("tt")), "tt", "left_semi")
+    x = reuse(all_x.join(y.select(F.col("copemk").alias("tt")), "tt", "left_semi"))
     x_accounts = all_x.join(x.select("copser", "idprig").distinct(), ["copser", "idprig"], "left_semi")
     z = people.programme_rows(src.programme, passing=True).select(
         F.col("copemk").alias("__z"), F.col("marin6").alias("dom_ingresos_pst"),

@@ -42,6 +42,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         # no Python call-site capture per Column call (error context only);
         # it costs a JVM round trip per function call while plans are built
         .config("spark.python.sql.dataFrameDebugging.enabled", os.environ.get("RUMBO_DF_DEBUG", "false"))
+        # checkpointed triggers are removed once their frames are garbage collected
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for k, v in {**RECOMMENDED_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
