@@ -51,7 +51,7 @@ def principal_holders(contracts: DataFrame) -> DataFrame:
 def holder_contracts(contracts: DataFrame, holder_codes: DataFrame) -> DataFrame:
     """Live contracts whose zero-stripped relation code is a holder code."""
     codes = holder_codes.filter(snapshot_is(P.SNAPSHOT_LATEST)).select(
-        F.col("coprbs").alias("__code")).distinct()
+        F.col("coprbs").alias("__code"))
     live = contracts.filter(snapshot_is(P.SNAPSHOT_LATEST) & (F.col("xcoemp") == P.ENTITY)
                             & F.col("ffigco").isNull() & (F.col("cosiig") == P.STATUS_ACTIVE))
     return live.join(codes, strip_leading_zeros(live["coprbs"]) == codes["__code"], "left_semi")
@@ -77,7 +77,7 @@ def last_positive_day(balances: DataFrame, as_of: _dt.date,
                            & (F.col("extractiondate") >= day_key(as_of, days))
                            & (F.col("cavt20") >= 0) & live_contract())
     if accounts is not None:
-        hist = hist.join(accounts.select(*ACCOUNT_KEY).distinct(), ACCOUNT_KEY, "left_semi")
+        hist = hist.join(accounts.select(*ACCOUNT_KEY), ACCOUNT_KEY, "left_semi")
     return hist.groupBy("copemk", *ACCOUNT_KEY).agg(F.max("fevaig").alias("MAX_DIA_SALDO_POSITIVO"))
 
 
@@ -130,7 +130,7 @@ def total_balance_cover(trigger: DataFrame, contracts: DataFrame, balances: Data
     The trigger is reduced to distinct customers first, so a customer with k
     trigger rows is summed once (same sign as the k-fold sum).
     """
-    who = trigger.select(F.col(id_col).alias("copemk")).distinct()
+    who = trigger.select(F.col(id_col).alias("copemk"))
     owned = principal_holders(contracts).join(who, "copemk", "left_semi")
     live = balances.filter(snapshot_is(P.SNAPSHOT_LATEST) & live_contract()).select(*CONTRACT_KEY, "cavt20")
     j = owned.join(live, CONTRACT_KEY, "left")
@@ -146,7 +146,7 @@ def _only(df: DataFrame, holders: DataFrame | None, key: str = "copemk") -> Data
     """
     if holders is None:
         return df
-    ids = holders.select(F.col(holders.columns[0]).alias("__h")).distinct()
+    ids = holders.select(F.col(holders.columns[0]).alias("__h"))   # a semi join needs no distinct keys
     return df.join(ids, df[key] == ids["__h"], "left_semi")
 
 
@@ -198,7 +198,7 @@ def yearly_contributions(operations: DataFrame, as_of: _dt.date, accounts: DataF
     ops = operations.filter(cond)
     if accounts is not None:
         key = ["copser", "idcoec", "idprig", "xcoemp"]
-        ops = ops.join(accounts.select(*key).distinct(), key, "left_semi")
+        ops = ops.join(accounts.select(*key), key, "left_semi")
     return ops.groupBy("copser", "idcoec", "idprig", "xcoemp").agg(
         F.sum("cacv7j").alias("APORTACION_ANUAL"))
 

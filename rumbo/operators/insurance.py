@@ -50,7 +50,7 @@ def policy_flags(policies: DataFrame, persons: DataFrame | None = None) -> DataF
     """
     p = own_policies(policies)
     if persons is not None:
-        who = persons.select(F.col(persons.columns[0]).alias("__p")).distinct()
+        who = persons.select(F.col(persons.columns[0]).alias("__p"))
         p = p.join(who, p.copemk == who["__p"], "left_semi")
     amt, br = F.col("imd2c0"), F.col("colnng")
     return p.groupBy(F.col("copemk").alias("Persona")).agg(
@@ -65,5 +65,5 @@ def already_insured(trigger: DataFrame, policies: DataFrame,
                     insurers=P.HOME_EXCLUSION_INSURERS) -> DataFrame:
     """Trigger persons with a receipt from a listed insurer and an own home policy."""
     home = own_policies(policies).filter(F.col("colnng") == P.POLICY_BRANCH_HOME).select(
-        F.col("copemk").alias("Persona")).distinct()
+        F.col("copemk").alias("Persona"))
     return trigger.filter(F.col("COMPANIA").isin(*insurers)).select("Persona").join(home, "Persona", "left_semi")

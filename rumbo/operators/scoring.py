@@ -30,7 +30,7 @@ def propensity_flags(scores: DataFrame, thresholds: DataFrame, *, id_col: str, m
     when = newest_threshold_date(thresholds)
     s = scores.filter(F.col(date_col) == when)
     if ids is not None:       # only the trigger's customers, before the distinct
-        who = ids.select(F.col(ids.columns[0]).alias("__i")).distinct()
+        who = ids.select(F.col(ids.columns[0]).alias("__i"))
         s = s.join(who, s[id_col] == who["__i"], "left_semi")
     t = thresholds.filter((F.col("iduso") == use) & (F.col("extractiondate") == when))
     ids = joins.passing_ids(s, t, id_col=id_col, model_col=model_col, score_col=score_col,
