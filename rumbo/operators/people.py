@@ -114,12 +114,19 @@ def youth_accounts(balances: DataFrame, contracts: DataFrame) -> DataFrame:
                     flag(s.isin(*P.YOUTH_PRODUCTS)).alias("total_cuentas"))
 
 
-def programme_rows(programme: DataFrame, passing: bool) -> DataFrame:
+def programme_newest(programme: DataFrame):
+    """(newest extraction, newest evaluation day) of the programme, as Columns."""
+    key = F.trim("clvpro") == P.PROGRAMME_KEY
+    return (control.newest_scalar(programme, "extractiondate", key),
+            control.newest_scalar(programme, "fevaig", key))
+
+
+def programme_rows(programme: DataFrame, passing: bool, newest=None, distinct: bool = True) -> DataFrame:
     """Programme evaluations of the newest run: all three criteria met
-    (``passing``) or any of four failed."""
+    (``passing``) or any of four failed.  ``newest`` shares the two newest
+    values between calls; ``distinct=False`` when only existence matters."""
     key = F.trim("clvpro") == P.PROGRAMME_KEY
-    newest_ext = control.newest_scalar(programme, "extractiondate", key)
-    newest_eval = control.newest_scalar(programme, "fevaig", key)
+    newest_ext, newest_eval = newest if newest is not None else programme_newest(programme)
     if passing:
         crit = (F.col("marin3") == "S") & (F.col("marin5") == "S") & (F.col("marin6") == "S")
     else:
@@ -127,7 +134,8 @@ def programme_rows(programme: DataFrame, passing: bool) -> DataFrame:
                 | (F.col("marin6") == "N"))
     rows = programme.filter((F.col("fevaig") == newest_eval) & (F.col("extractiondate") == newest_ext)
                             & key & crit)
-    return rows.select("copemk", "fevaig", "marin6", "marin3", "marin5", "marin1", "marin2").distinct()
+    out = rows.select("copemk", "fevaig", "marin6", "marin3", "marin5", "marin1", "marin2")
+    return out.distinct() if distinct else out
 
 
 def digital_profiles(customers: DataFrame) -> DataFrame:

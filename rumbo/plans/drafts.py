@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from .. import params as P
 from ..functions import flag, snapshot_is
-from ..operators import agg, control, people
+from ..operators import agg, control, joins, people
 
 BOARD = "tbl_BGTTB_TABLON_CLIENTES_MES_TT"
 DOMICILIATIONS = "tbl_IGV0_CP_AHCAD_DOM"
@@ -67,8 +67,9 @@ def young_retention_draft(src, as_of: _dt.date) -> DataFrame:
     f = ev.filter(F.col("co_producto_ursus") == P.DRAFT_ON_CONTRACTING_PRODUCT).select(
         flag(F.col("co_producto_ursus") == P.DRAFT_ON_CONTRACTING_PRODUCT).alias("CONTRATACION_CUENTA_ON"),
         F.col("co_cliente").alias("__f"))
-    j = (a.join(b, a.Persona == b.__b, "left").join(c, a.Persona == c.__c, "left")
-         .join(d, a.Persona == d.__d, "left").join(f, a.Persona == f.__f, "left"))
+    # domiciliation and monthly-account rows fan out per person: skew-safe joins
+    j = joins.left_join_skew_safe(a, b, [("Persona", "__b")]).join(c, a.Persona == c.__c, "left")
+    j = joins.left_join_skew_safe(j, d, [("Persona", "__d")]).join(f, F.col("Persona") == f.__f, "left")
     return j.select(
         F.col("Persona").alias("ID_URSUS"), F.lit(P.JOURNEY_YOUNG).alias("CODIGO_JOURNEY"),
         F.col("FechaNacimiento").alias("FECHA_NACIMIENTO"), F.col("TenenciaPorSerTu").alias("TENENCIA_XSER_TU"),

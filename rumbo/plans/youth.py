@@ -28,7 +28,8 @@ def young_retention(src, as_of: _dt.date, month_end: str = "clamp") -> DataFrame
     # failing-criteria exclusion looks at every holder of those accounts.
     x = reuse(all_x.join(y.select(F.col("copemk").alias("tt")), "tt", "left_semi"))
     x_accounts = all_x.join(x.select("copser", "idprig"), ["copser", "idprig"], "left_semi")
-    z = people.programme_rows(src.programme, passing=True).select(
+    newest = people.programme_newest(src.programme)
+    z = people.programme_rows(src.programme, passing=True, newest=newest).select(
         F.col("copemk").alias("__z"), F.col("marin6").alias("dom_ingresos_pst"),
         F.col("marin3").alias("accionistas_pst"), F.col("marin5").alias("racs_pst"),
         F.col("marin1").alias("joven_menos_18_pst"), F.col("marin2").alias("joven_18_25_pst"))
@@ -38,7 +39,8 @@ def young_retention(src, as_of: _dt.date, month_end: str = "clamp") -> DataFrame
     digital = people.digital_profiles(src.customers_daily)
     v = (digital.join(x.select(F.col("tt").alias("id_cliente")), "id_cliente", "left_semi")
          .select(F.col("id_cliente").alias("__v")).withColumn("PERFIL_DIGITAL", F.lit(1)))
-    failing = people.programme_rows(src.programme, passing=False).select(F.col("copemk").alias("tt"))
+    failing = people.programme_rows(src.programme, passing=False, newest=newest, distinct=False).select(
+        F.col("copemk").alias("tt"))
     w = x_accounts.join(failing, "tt", "inner").select("copser", "idprig")        # anti-join keys
     t = (x.filter(F.col("cuenta_facil") == 0).join(digital, x.tt == digital.id_cliente, "inner")
          .select("tt"))
