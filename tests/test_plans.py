@@ -8,7 +8,8 @@ from rumbo.plans.registered import REGISTRY
 
 
 def plan_of(df) -> str:
-    df.write.format("noop").mode("overwrite").save()       # final adaptive plan
+    """The final adaptive plan: run the frame's own query execution first."""
+    df.collect()
     return df._jdf.queryExecution().executedPlan().toString()
 
 
@@ -67,3 +68,36 @@ def test_results_do_not_depend_on_shuffle_partitions(spark, sf_dir, key):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert a == b and len(a) > 0
+
+
+def test_hot_key_is_split_by_aqe_in_skew_safe_left_join(spark):
+    from pyspark.sql import functions as F
+
+    from rumbo.operators import joins
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.shuffle.partitions": "8"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        left = spark.range(0, 200).select(F.col("id").alias("k"), (F.col("id") * 2).alias("x"))
+        # key 0 holds a third of the right side's rows
+        right = spark.range(0, 300000).select(
+            F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 200).alias("rk"), F.col("id").alias("y"))
+        out = joins.left_join_skew_safe(left, right, [("k", "rk")])
+        plain = left.join(right, left.k == right.rk, "left")
+        # the inner half is split by AQE on the hot right-side key ...
+        assert "SortMergeJoin(skew=true)" in plan_of(out)
+        # ... which AQE cannot do for a plain left outer join (left side only)
+        assert "skew=true" not in plan_of(plain)
+        assert out.count() == plain.count()
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
