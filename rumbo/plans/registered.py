@@ -25,7 +25,9 @@ from ..sources.warehouse import standin_warehouse
 from . import core, drafts, insurance as ins_plan, overdraft, web_interest, youth
 
 ORDERS_AS_OF = _dt.date(2001, 8, 1)      # newest order day of the raw test tables
-DAILY_LOAD_AS_OF = AS_OF - _dt.timedelta(days=1)
+# The daily load keeps contracts dated on or after its run date (strict "> as_of - 1",
+# no upper bound, as written); a run 11 days before the data ends covers 11 days.
+DAILY_LOAD_AS_OF = AS_OF - _dt.timedelta(days=11)
 BIRTHDAY_DRAFT_AS_OF = _dt.date(2024, 2, 1)
 SCORE_PIVOT_MODELS = {"MSGHCHX1": "COMPRA_SH_CLIENTE_SINPRESTAMO", "MSGHSHX1": "COMPRA_SH_CLIENTE_PRESTAMO"}
 # Priority digit of an order -> youth product (5 has none), for the account-mix operator.
