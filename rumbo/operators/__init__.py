@@ -1,0 +1 @@
+"""Reusable DataFrame operators (DataFrame(s) -> DataFrame, built-in functions only)."""

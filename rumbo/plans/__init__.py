@@ -1,0 +1 @@
+"""Journey datasets composed from the operators, and the registered queries."""
