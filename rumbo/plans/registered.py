@@ -57,74 +57,88 @@ def _src(spark, sf_dir):
 # ---------------------------------------------------------------- journeys
 @register
 def customer_core(spark, sf_dir):
+    """Newest cleaned row per living natural person with manager and detail columns."""
     return core.customer_core(_src(spark, sf_dir), AS_OF)
 
 
 @register
 def contract_initial_load(spark, sf_dir):
+    """Holder contracts started in the last 3 months with catalogue and name."""
     return core.contract_initial_load(_src(spark, sf_dir), AS_OF)
 
 
 @register
 def contract_daily_load(spark, sf_dir):
+    """The same contract core for contracts dated on or after the run date."""
     return core.contract_daily_load(_src(spark, sf_dir), DAILY_LOAD_AS_OF)
 
 
 @register
 def overdraft_master(spark, sf_dir):
+    """Every account overdrawn yesterday with days overdrawn and covers."""
     return overdraft.overdraft_master(_src(spark, sf_dir), AS_OF)
 
 
 @register
 def overdraft_journey(spark, sf_dir):
+    """Customers newly overdrawn yesterday, deepest overdraft, covers and propensity."""
     return overdraft.overdraft_journey(_src(spark, sf_dir), AS_OF)
 
 
 @register
 def fund_interest(spark, sf_dir):
+    """Best fund web hit of the newest web day, ownership and propensity."""
     return web_interest.fund_interest(_src(spark, sf_dir), AS_OF)
 
 
 @register
 def pension_interest(spark, sf_dir):
+    """Best pension web hit, plan ownership, yearly contributions, propensity."""
     return web_interest.pension_interest(_src(spark, sf_dir), AS_OF)
 
 
 @register
 def young_retention(spark, sf_dir):
+    """Youth-account holders turning 26 in 30 days, after programme/digital exclusions."""
     return youth.young_retention(_src(spark, sf_dir), AS_OF)
 
 
 @register
 def home_insurance_expiry(spark, sf_dir):
+    """Competitor home-insurance receipts expiring in 2 months, own-policy flags."""
     return ins_plan.home_insurance_expiry(_src(spark, sf_dir), AS_OF)
 
 
 @register
 def young_retention_draft(spark, sf_dir):
+    """Draft birthday-by-parts rule with control-table reads."""
     return drafts.young_retention_draft(_src(spark, sf_dir), BIRTHDAY_DRAFT_AS_OF)
 
 
 @register
 def home_insurance_draft(spark, sf_dir):
+    """Own home policies expiring in 56 days with enrichment flags."""
     return drafts.home_insurance_draft(_src(spark, sf_dir), AS_OF)
 
 
 # ---------------------------------------------------------- scans / control
 @register
 def latest_snapshot(spark, sf_dir):
+    """Rows of the LATEST balance snapshot."""
     bal = _src(spark, sf_dir).account_balance
     return bal.filter(F.col("snapshot") == P.SNAPSHOT_LATEST).select("copemk", "fevaig", "cavt20", "extractiondate")
 
 
 @register
 def day_partition(spark, sf_dir):
+    """Accounts overdrawn yesterday (one daily partition)."""
     od = accounts.overdrawn_accounts(_src(spark, sf_dir).account_balance, AS_OF)
     return od.select("copemk", "idprig", "cavt20", "fevaig")
 
 
 @register
 def newest_partition(spark, sf_dir):
+    """Orders of the newest order day."""
     o = TestTables(spark, sf_dir).orders
     return control.keep_newest(o, "o_orderdate").select(
         "o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("o_orderdate"))
@@ -132,6 +146,7 @@ def newest_partition(spark, sf_dir):
 
 @register
 def control_table_union(spark, sf_dir):
+    """(label, newest date) of orders, lineitem and events, unioned."""
     t = TestTables(spark, sf_dir)
     return control.control_table([("tbl_orders", t.orders, "o_orderdate"),
                                   ("tbl_lineitem", t.lineitem, "l_shipdate"),
@@ -140,11 +155,13 @@ def control_table_union(spark, sf_dir):
 
 @register
 def historic_window_max(spark, sf_dir):
+    """Newest non-negative balance day per account in the last 15 days."""
     return accounts.last_positive_day(_src(spark, sf_dir).account_balance, AS_OF)
 
 
 @register
 def active_accounts(spark, sf_dir):
+    """Live contracts (no end date, entity 0, status 10000)."""
     c = _src(spark, sf_dir).contracts
     live = c.filter((F.col("snapshot") == P.SNAPSHOT_LATEST) & (F.col("xcoemp") == P.ENTITY)
                     & F.col("ffigco").isNull() & (F.col("cosiig") == P.STATUS_ACTIVE))
@@ -154,6 +171,7 @@ def active_accounts(spark, sf_dir):
 # ------------------------------------------------------------ top-1 / windows
 @register
 def latest_row_per_key(spark, sf_dir):
+    """Newest order per customer (row_number = 1)."""
     o = TestTables(spark, sf_dir).orders
     top = dedupe.latest_row_per_key(o, ["o_custkey"], "o_orderdate", [F.col("o_orderkey").desc()])
     return top.select("o_custkey", "o_orderkey", F.to_date("o_orderdate").alias("o_orderdate"), "o_totalprice")
@@ -161,6 +179,7 @@ def latest_row_per_key(spark, sf_dir):
 
 @register
 def latest_catalogue(spark, sf_dir):
+    """Newest line per part in the 15 days to the orders' newest day."""
     li = TestTables(spark, sf_dir).lineitem.withColumn("ship_day", F.to_date("l_shipdate"))
     top = dedupe.latest_in_window(
         li, "l_partkey", "ship_day", since=ORDERS_AS_OF - _dt.timedelta(days=P.CATALOGUE_WINDOW_DAYS),
@@ -172,6 +191,7 @@ def latest_catalogue(spark, sf_dir):
 
 @register
 def worst_overdraft(spark, sf_dir):
+    """Lowest negative daily balance per customer."""
     bal = _src(spark, sf_dir).account_balance.filter(F.col("cavt20") < 0)
     w = dedupe.worst_row_per_key(bal, ["copemk"], "cavt20", [F.col("fevaig").asc()])
     return w.select("copemk", "idprig", "fevaig", "cavt20")
@@ -179,18 +199,21 @@ def worst_overdraft(spark, sf_dir):
 
 @register
 def web_interest_trigger(spark, sf_dir):
+    """Best funds web hit per customer with the process exclusions."""
     return scoring.web_interest(_src(spark, sf_dir).web_hits, AS_OF, P.WEB_FAMILY_FUNDS,
                                 P.FUND_EXCLUDED_PROCESSES)
 
 
 @register
 def web_priority_row(spark, sf_dir):
+    """Best pensions web hit per customer (no process exclusion)."""
     return scoring.web_interest(_src(spark, sf_dir).web_hits, AS_OF, P.WEB_FAMILY_PENSIONS)
 
 
 # ---------------------------------------------------------------------- joins
 @register
 def left_enrich(spark, sf_dir):
+    """Customer LEFT JOIN nation, region with typed defaults."""
     t = TestTables(spark, sf_dir)
     c, n = t.customer, t.nation
     r = t.region.filter(F.col("r_regionkey") != 0)
@@ -202,6 +225,7 @@ def left_enrich(spark, sf_dir):
 
 @register
 def composite_key_join(spark, sf_dir):
+    """Lineitem LEFT JOIN its own group on (order key, line number)."""
     li = TestTables(spark, sf_dir).lineitem
     g = li.groupBy(F.col("l_orderkey").alias("g_orderkey"), F.col("l_linenumber").alias("g_linenumber")).agg(
         F.to_date(F.max("l_shipdate")).alias("last_ship"), F.count(F.lit(1)).alias("n_lines"))
@@ -211,6 +235,7 @@ def composite_key_join(spark, sf_dir):
 
 @register
 def natural_person_filter(spark, sf_dir):
+    """Orders of active natural persons (semi join)."""
     s = _src(spark, sf_dir)
     o = TestTables(spark, sf_dir).orders
     return joins.semi(o, accounts.natural_persons(s.person_board, active_only=True),
@@ -219,12 +244,14 @@ def natural_person_filter(spark, sf_dir):
 
 @register
 def dictionary_lookup(spark, sf_dir):
+    """Comma join of dictionary attribute and values, distinct."""
     s = _src(spark, sf_dir)
     return core.product_dictionary(s.dictionary_attrs, s.dictionary_values)
 
 
 @register
 def normalised_code_semi_join(spark, sf_dir):
+    """Contracts whose zero-stripped relation code is a holder code."""
     s = _src(spark, sf_dir)
     return accounts.holder_contracts(s.contracts, s.holder_codes).select(
         "copemk", "copser", "idprig", "coprbs", strip_leading_zeros("coprbs").alias("code"))
@@ -232,6 +259,7 @@ def normalised_code_semi_join(spark, sf_dir):
 
 @register
 def presence_flag(spark, sf_dir):
+    """0/1 flag for customers with an urgent order."""
     t = TestTables(spark, sf_dir)
     urgent = t.orders.filter(F.col("o_orderpriority") == "1-URGENT")
     return joins.with_presence(t.customer.select("c_custkey"), urgent, "c_custkey", "o_custkey", "IND_URGENTE")
@@ -239,6 +267,7 @@ def presence_flag(spark, sf_dir):
 
 @register
 def anti_join_exclusion(spark, sf_dir):
+    """Customers without an urgent order (anti join)."""
     t = TestTables(spark, sf_dir)
     urgent = t.orders.filter(F.col("o_orderpriority") == "1-URGENT")
     return joins.anti(t.customer, urgent, [("c_custkey", "o_custkey")]).select("c_custkey", "c_name")
@@ -246,6 +275,7 @@ def anti_join_exclusion(spark, sf_dir):
 
 @register
 def anti_join_composite(spark, sf_dir):
+    """Lines without a returned line of the same two keys."""
     li = TestTables(spark, sf_dir).lineitem
     returned = li.filter(F.col("l_returnflag") == "R").select(
         F.col("l_orderkey").alias("r_orderkey"), F.col("l_linenumber").alias("r_linenumber"))
@@ -255,12 +285,14 @@ def anti_join_composite(spark, sf_dir):
 
 @register
 def latest_date_semi(spark, sf_dir):
+    """Programme rows of the newest evaluation meeting the criteria."""
     return people.programme_rows(_src(spark, sf_dir).programme, passing=True)
 
 
 # ------------------------------------------------------------ overdraft ops
 @register
 def overdraft_transition(spark, sf_dir):
+    """Overdrawn yesterday and positive the day before."""
     s = _src(spark, sf_dir)
     t = accounts.new_overdrafts(s.account_balance, s.contracts, s.person_board, AS_OF)
     return t.select("ID_URSUS", "idprig", "IMPORTE_DESCUBIERTO", "SALDO_AYER", "FECHA_DESCUBIERTO")
@@ -268,11 +300,13 @@ def overdraft_transition(spark, sf_dir):
 
 @register
 def days_since_last_positive(spark, sf_dir):
+    """Days since the last non-negative day of each overdrawn account."""
     return accounts.days_overdrawn(_src(spark, sf_dir).account_balance, AS_OF)
 
 
 @register
 def total_balance_cover(spark, sf_dir):
+    """Sign of the sum of the trigger customers' balances."""
     s = _src(spark, sf_dir)
     trig = accounts.overdraft_trigger(s.account_balance, s.contracts, s.person_board, AS_OF)
     return accounts.total_balance_cover(trig, s.contracts, s.account_balance)
@@ -280,6 +314,7 @@ def total_balance_cover(spark, sf_dir):
 
 @register
 def card_limit_cover(spark, sf_dir):
+    """Best credit-card limit against yesterday's overdraft."""
     s = _src(spark, sf_dir)
     od = accounts.overdrawn_accounts(s.account_balance, AS_OF).select("copemk", "idprig", "cavt20")
     cards = accounts.best_credit_card_limit(s.cards).withColumnRenamed("copemk", "__c")
@@ -290,6 +325,7 @@ def card_limit_cover(spark, sf_dir):
 
 @register
 def preapproved_loan_cover(spark, sf_dir):
+    """Pre-approved loan amount and validity against the overdraft."""
     s = _src(spark, sf_dir)
     od = accounts.overdrawn_accounts(s.account_balance, AS_OF).select("copemk", "idprig", "cavt20", "fevaig")
     loans = accounts.preapproved_loans(s.loans).withColumnRenamed("copemk", "__l")
@@ -303,6 +339,7 @@ def preapproved_loan_cover(spark, sf_dir):
 # ------------------------------------------------------------- propensity
 @register
 def propensity_multi_model(spark, sf_dir):
+    """Customers over the threshold of the same model (fund and pension models)."""
     s = _src(spark, sf_dir)
     return scoring.propensity_a(s.scores_a, s.model_thresholds, P.FUND_MODELS_A + P.PENSION_MODELS_A,
                                 "ID_CLIENTE", "PROPENSION")
@@ -310,6 +347,7 @@ def propensity_multi_model(spark, sf_dir):
 
 @register
 def propensity_single_model(spark, sf_dir):
+    """Customers over the single overdraft model's threshold."""
     s = _src(spark, sf_dir)
     return scoring.propensity_b(s.scores_b, s.model_thresholds, [P.OVERDRAFT_MODEL_SCORES_B],
                                 "ID_CLIENTE", "PROPENSION")
@@ -317,12 +355,14 @@ def propensity_single_model(spark, sf_dir):
 
 @register
 def score_pivot(spark, sf_dir):
+    """Max score per customer for two models as two columns."""
     s = _src(spark, sf_dir).scores_b
     return agg.pivot_max(s, "co_cliente", "modelid", "probabilidad", SCORE_PIVOT_MODELS, default=0.0)
 
 
 @register
 def yearly_contributions(spark, sf_dir):
+    """Contributions of the run year per plan account, under-7000 flag."""
     c = accounts.yearly_contributions(_src(spark, sf_dir).plan_operations, AS_OF)
     # amounts have 4 decimals: rounding to 4 makes the float sum order-independent
     return c.select("idprig", F.round("APORTACION_ANUAL", 4).alias("APORTACION_ANUAL"),
@@ -332,12 +372,14 @@ def yearly_contributions(spark, sf_dir):
 # ------------------------------------------------------------------ youth
 @register
 def product_family_flags(spark, sf_dir):
+    """Youth-product accounts with family flags."""
     s = _src(spark, sf_dir)
     return people.youth_accounts(s.account_balance, s.contracts)
 
 
 @register
 def account_mix(spark, sf_dir):
+    """Distinct accounts, accounts per family, all-ON/young flag."""
     o = TestTables(spark, sf_dir).orders
     rows = o.select("o_custkey",
                     code_label(F.substring("o_orderpriority", 1, 1), PRIORITY_PRODUCT).cast("int").alias("copser"),
@@ -353,11 +395,13 @@ def account_mix(spark, sf_dir):
 
 @register
 def anniversary_trigger(spark, sf_dir):
+    """Persons turning 26 thirty days after the run date."""
     return people.milestone_birthdays(_src(spark, sf_dir).person_board, AS_OF)
 
 
 @register
 def birthday_trigger(spark, sf_dir):
+    """Draft birthday rule by day, month and year parts."""
     pb = _src(spark, sf_dir).person_board
     return pb.filter(people.birthday_by_parts("fenac9", BIRTHDAY_DRAFT_AS_OF, P.DRAFT_AGE_YEARS)).select(
         "copemk", "fenac9")
@@ -366,12 +410,14 @@ def birthday_trigger(spark, sf_dir):
 # -------------------------------------------------------------- insurance
 @register
 def code_map_lookup(spark, sf_dir):
+    """Insurer name from the receipt's creditor tax id."""
     r = _src(spark, sf_dir).receipts
     return r.select("cope14", "idprac", insurer_name(tax_id_of("idprac")).alias("COMPANIA"))
 
 
 @register
 def text_classify(spark, sf_dir):
+    """Home-insurance receipts by include/exclude text patterns."""
     r = _src(spark, sf_dir).receipts
     text = F.concat("qncnes", "qncne1")
     out = r.select("cope14", F.regexp_replace(text, ",", "").alias("Concepto"), home_receipt_label(text).alias("RAMO"))
@@ -380,23 +426,27 @@ def text_classify(spark, sf_dir):
 
 @register
 def expiring_policy_trigger(spark, sf_dir):
+    """Prepaid receipts paid exactly 10 months ago."""
     return insurance.expiring_receipts(_src(spark, sf_dir).receipts, AS_OF)
 
 
 @register
 def policy_threshold_flags(spark, sf_dir):
+    """Per-holder premium threshold flags of own policies."""
     return insurance.policy_flags(_src(spark, sf_dir).policies)
 
 
 # ---------------------------------------------------------------- scalars
 @register(name="account_hash")
 def account_hash_key(spark, sf_dir):
+    """md5 pseudonym of the concatenated account key."""
     c = _src(spark, sf_dir).contracts
     return c.select("copemk", "copser", "idprig", account_hash("copser", "xcoemp", "idprig").alias("C5"))
 
 
 @register(name="language_label")
 def language_label_map(spark, sf_dir):
+    """Language code to label, else 'ES'."""
     c = _src(spark, sf_dir).customers_daily
     return c.select("id_cliente", "fecha_derivado", "id_idioma_preferencia",
                     language_label("id_idioma_preferencia").alias("idioma_preferencia"))
@@ -404,6 +454,7 @@ def language_label_map(spark, sf_dir):
 
 @register
 def scalar_functions(spark, sf_dir):
+    """Every scalar function of the rules in one projection."""
     t = TestTables(spark, sf_dir)
     o = t.orders
     d = F.to_date("o_orderdate")
