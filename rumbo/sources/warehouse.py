@@ -60,10 +60,10 @@ LAYOUT: dict[str, list[str]] = {
 # groups well under the per-task split size keep every core busy even on the
 # small test data; on a cluster set it near the HDFS/object-store block size.
 ROW_GROUP_BYTES = int(os.environ.get("RUMBO_ROW_GROUP_BYTES", str(2 * 1024 * 1024)))
-# Unpartitioned tables sorted on their filter column so row-group min/max
-# statistics let Parquet skip most of the file.
+# Tables sorted (within each written file) on the column their readers filter
+# on, so row-group min/max statistics let Parquet skip most of each file.
 SORT_BY = {"catalogue": ["extractiondate"], "programme": ["fevaig"], "plan_operations": ["idprig"],
-           "contracting_events": ["dt"]}
+           "contracting_events": ["dt"], "customers_daily": ["fecha_derivado"], "receipts": ["qfaope"]}
 
 
 class WarehouseSources:
