@@ -16,6 +16,7 @@ import hashlib
 import os
 import threading
 import time
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -93,6 +94,25 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+def _publish(spark: SparkSession, tmp: str, path: str) -> None:
+    """Move ``tmp`` to ``path`` unless another writer got there first.
+
+    If a concurrent build published in between, the rename lands inside the
+    other table as a ``_``-prefixed folder (ignored by Spark's file listing)
+    and is removed; the first complete build stands.
+    """
+    P = spark._jvm.org.apache.hadoop.fs.Path
+    src, dst = P(tmp), P(path)
+    fs = dst.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(dst):
+        fs.rename(src, dst)
+    nested = P(dst, src.getName())
+    if fs.exists(nested):
+        fs.delete(nested, True)
+    if fs.exists(src):
+        fs.delete(src, True)
+
+
 def _signature(sf_dir: str) -> str:
     """Data set + stand-in code version: a changed rule never reads a stale build."""
     h = hashlib.sha1(os.path.abspath(sf_dir).encode())
@@ -138,8 +158,13 @@ def _build(spark: SparkSession, sf_dir: str, root: str | None, key) -> Warehouse
         if name in SORT_BY:
             out = out.sortWithinPartitions(*SORT_BY[name])
         t0 = time.perf_counter()
+        # Write to a private folder, then publish it with one directory rename
+        # (atomic on HDFS and local disks): another process building the same
+        # data set never sees, or overwrites, a half-written table.
+        tmp = f"{root}/_inprogress-{uuid.uuid4().hex[:12]}-{name}"
         (out.write.mode("overwrite").option("parquet.block.size", ROW_GROUP_BYTES)
-         .partitionBy(*parts).parquet(path))
+         .partitionBy(*parts).parquet(tmp))
+        _publish(spark, tmp, path)
         BUILD_SECONDS[name] = round(time.perf_counter() - t0, 3)
     wh = WarehouseSources(spark, root, schemas)
     _BUILT[key] = wh
