@@ -89,6 +89,14 @@ def birthday_by_parts(birth_col: str, as_of: _dt.date, years: int) -> "F.Column"
     return main | dec
 
 
+def principal_rows(contracts: DataFrame) -> DataFrame:
+    """Live principal-holder rows ``(tt, xcoemp, copser, idprig)`` of the bank."""
+    return contracts.filter((F.col("xcoemp") == P.ENTITY) & F.col("ffigco").isNull()
+                            & (F.col("cosiig") == P.STATUS_ACTIVE) & snapshot_is(P.SNAPSHOT_LATEST)
+                            & (F.col("coprbs").cast("int") == P.RELATION_PRINCIPAL)).select(
+        F.col("copemk").alias("tt"), "xcoemp", "copser", "idprig")
+
+
 def youth_accounts(balances: DataFrame, contracts: DataFrame) -> DataFrame:
     """Youth-product accounts on the newest balance day with their principal holder.
 
@@ -100,10 +108,7 @@ def youth_accounts(balances: DataFrame, contracts: DataFrame) -> DataFrame:
                         & (F.col("fevaig") == newest) & F.col("ffigco").isNull()
                         & (F.col("cosiig") == P.STATUS_ACTIVE) & F.col("copser").isin(*P.YOUTH_PRODUCTS)
                         & snapshot_is(P.SNAPSHOT_LATEST)).select("xcoemp", "copser", "idprig", "copemk").distinct()
-    b = contracts.filter((F.col("xcoemp") == P.ENTITY) & F.col("ffigco").isNull()
-                         & (F.col("cosiig") == P.STATUS_ACTIVE) & snapshot_is(P.SNAPSHOT_LATEST)
-                         & (F.col("coprbs").cast("int") == P.RELATION_PRINCIPAL)).select(
-        F.col("copemk").alias("tt"), "xcoemp", "copser", "idprig")
+    b = principal_rows(contracts)
     j = a.join(b, ["xcoemp", "copser", "idprig"], "inner").select(
         F.col("copemk").alias("Persona"), "tt", "copser", "idprig").distinct()
     s = F.col("copser")

@@ -25,9 +25,11 @@ def young_retention(src, as_of: _dt.date, month_end: str = "clamp") -> DataFrame
     y = people.milestone_birthdays(src.person_board, as_of, month_end)
     # Only holders reaching the milestone survive (inner join with y), so the
     # exclusions are computed for them alone: x = their account rows, and the
-    # failing-criteria exclusion looks at every holder of those accounts.
+    # failing-criteria exclusion looks at every principal holder of those
+    # accounts (the holders all_x would list for them, read from the contracts).
     x = reuse(all_x.join(y.select(F.col("copemk").alias("tt")), "tt", "left_semi"))
-    x_accounts = all_x.join(x.select("copser", "idprig"), ["copser", "idprig"], "left_semi")
+    x_accounts = people.principal_rows(src.contracts).join(     # both sides are entity 0
+        x.select("copser", "idprig"), ["copser", "idprig"], "left_semi")
     newest = people.programme_newest(src.programme)
     z = people.programme_rows(src.programme, passing=True, newest=newest).select(
         F.col("copemk").alias("__z"), F.col("marin6").alias("dom_ingresos_pst"),
