@@ -173,3 +173,26 @@ def test_fund_interest_cases(spark):
         (1, 1, 0, "WEB", "particulares", "productos", "y", "abc"),
         (5, 0, 1, "WEB", "particulares", "productos", "b", "simulacion"),   # '0000' is no holder code
     ]
+
+
+def test_pension_interest_contribution_limit(spark):
+    from rumbo.plans import web_interest
+    hits = [dict(hit(c, p, "x"), tl_familia="Planes de Pensiones") for c, p in ((1, ""), (2, "abc"), (3, "abc"))]
+    people = [person(c) for c in (1, 2, 3)]
+    plans = [dict(copser=4, idprig=f"P{c}", copemk=c) for c in (1, 2, 3)]
+    contracts = [holder(c, f"P{c}", copser=4) for c in (1, 2, 3)]
+    op = lambda acc, amount, kind, paid, opened=None: dict(
+        copser=4, idprig=acc, cacv7j=amount, cox1b7=kind, fecaig=paid, feopen=opened or paid)
+    ops = [op("P1", 6999.0, 1, dt.date(2024, 1, 10)),                                   # 6,999: under the limit
+           op("P2", 5000.0, 1, dt.date(2024, 1, 5)),
+           op("P2", 2000.0, 2, dt.date(2023, 12, 1), dt.date(2024, 1, 2)),                # counted by opening year
+           op("P2", 100.0, 3, dt.date(2024, 1, 5)),                                     # not a contribution type
+           op("P3", 50.0, 1, dt.date(2023, 6, 1))]                                      # previous year only
+    bank = Bank(spark, web_hits=hits, person_board=people, plan_contracts=plans, contracts=contracts,
+                holder_codes=[dict(coprbs="20")], plan_operations=ops)
+    got = sorted(tuple(r) for r in web_interest.pension_interest(bank, AS_OF).collect())
+    assert got == [
+        (1, 1, 1, 0, "WEB", "particulares", "productos", "x", ""),
+        (2, 1, 0, 0, "WEB", "particulares", "productos", "x", "abc"),    # exactly 7,000: not under
+        (3, 1, 0, 0, "WEB", "particulares", "productos", "x", "abc"),    # no contribution this year
+    ]
