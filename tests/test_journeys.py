@@ -196,3 +196,28 @@ def test_pension_interest_contribution_limit(spark):
         (2, 1, 0, 0, "WEB", "particulares", "productos", "x", "abc"),    # exactly 7,000: not under
         (3, 1, 0, 0, "WEB", "particulares", "productos", "x", "abc"),    # no contribution this year
     ]
+
+
+def test_contract_core_bounds_and_codes(spark):
+    from rumbo.plans import core
+    c = lambda cust, code, start, **kw: dict(copemk=cust, copser=1, idprig=f"{cust:012d}", coprbs=code,
+                                            fiigco=start, **kw)
+    contracts = [c(1, "0020", dt.date(2024, 1, 31)),                        # today: both loads
+                 c(2, "20", dt.date(2024, 1, 30)),                          # yesterday: initial only
+                 c(3, "000", dt.date(2024, 1, 31)),                         # '000' -> '' is no holder code
+                 c(4, "0020", dt.date(2023, 10, 31)),                       # exactly 3 months ago: strict >
+                 c(5, "0020", dt.date(2023, 11, 1)),
+                 c(6, "0020", dt.date(2024, 1, 31), ffigco=dt.date(2024, 1, 31))]   # closed
+    cat = lambda day, fam: dict(copser=1, cdfeco=fam, cdseco="x", dsfeco=f"FAM {fam}", dsseco="SUB x",
+                                especo="EN COMERCIALIZACIÓN", coesin="A", extractiondate=day)
+    catalogue = [cat("20240125", "A"), cat("20240130", "B"), cat("20240201", "C"),   # future extraction ignored
+                 dict(cat("20240131", "D"), coesin="B")]                             # not active
+    bank = Bank(spark, contracts=contracts, holder_codes=[dict(coprbs="20")], catalogue=catalogue,
+                dictionary_attrs=[dict(codam1="0", codamk=750)],
+                dictionary_values=[dict(codamk="0", coocmk="1", coocda=0, noocmk="CUENTA UNO")])
+    row = lambda cust, code, start: (1, "CUENTA UNO", code, cust, "B", "x", "FAM B", "SUB x", start)
+    initial = sorted(tuple(r) for r in core.contract_initial_load(bank, AS_OF).collect())
+    daily = sorted(tuple(r) for r in core.contract_daily_load(bank, AS_OF).collect())
+    assert initial == sorted([row(1, "0020", dt.date(2024, 1, 31)), row(2, "20", dt.date(2024, 1, 30)),
+                              row(5, "0020", dt.date(2023, 11, 1))])
+    assert daily == [row(1, "0020", dt.date(2024, 1, 31))]
