@@ -221,3 +221,34 @@ def test_contract_core_bounds_and_codes(spark):
     assert initial == sorted([row(1, "0020", dt.date(2024, 1, 31)), row(2, "20", dt.date(2024, 1, 30)),
                               row(5, "0020", dt.date(2023, 11, 1))])
     assert daily == [row(1, "0020", dt.date(2024, 1, 31))]
+
+
+def test_customer_core_cases(spark):
+    from rumbo.plans import core
+    base = dict(dt=202401, entidad=0, id_tipo_persona=1, ds_nombre="n", id_cartera=800)
+    cust = lambda c, day, **kw: dict(base, id_cliente=c, fecha_derivado=day, **kw)
+    customers = [
+        cust(1, dt.date(2024, 1, 10), ds_email="SI", telefono_movil_1="611", id_idioma_preferencia="2",
+             prefijo_telefono_movil_1="0034", id_gestor=7),
+        cust(1, dt.date(2024, 1, 20), ds_email="", telefono_movil_2="622", id_idioma_preferencia="42",
+             id_gestor=7),                                                   # newest row wins
+        cust(2, dt.date(2024, 1, 20), id_cartera=700, prefijo_telefono_movil_2="0034", id_gestor=8),
+        cust(3, dt.date(2024, 1, 20), fc_fallecimiento_disolucion=dt.date(2023, 5, 1)),   # deceased
+        dict(cust(4, dt.date(2024, 1, 20)), id_tipo_persona=2),                         # legal person
+        dict(cust(5, dt.date(2024, 1, 20)), entidad=1),                                 # another entity
+    ]
+    bank = Bank(spark, customers_daily=customers,
+                managers=[dict(cogsmk=7, codice="0001", cotgmk="T1"), dict(cogsmk=8, codice="0002", cotgmk="T2")],
+                manager_contacts=[dict(cogrmk=7, coemai="g7@x")],                  # manager 8 has no contact
+                customer_attrs=[dict(copemk=1, in94mk="1", inpx06="S", in16mk="0")],
+                value_managers=[dict(copemk=1, cogsmk=101), dict(copemk=1, cogsmk=102),
+                                dict(copemk=2, cogsmk=201, ffcpmk=dt.date(2023, 1, 1))])
+    cols = ["idcliente", "prefijo_mv", "tfno_movil", "tfno_fijo", "tenencia_email", "canal_preferido",
+            "idioma_preferencia", "indConectaTuExperto", "indbancavirtual", "cod_gestor", "mailgestor",
+            "cod_centro", "tipogestor", "Precarterizado", "CodGestor_Valor"]
+    got = sorted(tuple(r) for r in core.customer_core(bank, AS_OF).select(*cols).collect())
+    assert got == [
+        (1, "", "622", "", "NO", 0, "ES", 0, 0, 7, "g7@x", "0001", "T1", "1", 101),   # value managers fan out
+        (1, "", "622", "", "NO", 0, "ES", 0, 0, 7, "g7@x", "0001", "T1", "1", 102),
+        (2, "34", "", "", "NO", 0, "ES", 1, 0, 0, "0", "0", "0", None, None),
+    ]
