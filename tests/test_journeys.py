@@ -252,3 +252,25 @@ def test_customer_core_cases(spark):
         (1, "", "622", "", "NO", 0, "ES", 0, 0, 7, "g7@x", "0001", "T1", "1", 102),
         (2, "34", "", "", "NO", 0, "ES", 1, 0, 0, "0", "0", "0", None, None),
     ]
+
+
+def test_overdraft_master_days_and_covers(spark):
+    from rumbo.plans import overdraft
+    d = lambda day: dt.date(2024, 1, day)
+    balances = [bal(1, "00000000000A", D30, -50.0), bal(1, "00000000000A", d(27), 10.0),
+                bal(1, "00000000000A", d(28), -5.0), bal(1, "00000000000A", d(29), -5.0),   # 3 days overdrawn
+                bal(2, "00000000000B", D30, -20.0), bal(2, "00000000000B", d(20), -1.0),
+                bal(2, "00000000000B", d(10), 5.0),                                         # outside 15 days: dropped
+                bal(3, "00000000000C", D30, -30.0), bal(3, "00000000000C", d(29), 0.0)]     # zero counts: 1 day
+    contracts = [holder(c, i) for c, i in ((1, "00000000000A"), (2, "00000000000B"), (3, "00000000000C"))]
+    people = [person(c) for c in (1, 2, 3)]
+    loans = [dict(copemk=1, copser=93010, imlppm=100.0, feclpp=dt.date(2025, 1, 1), inanom=2, coelpp="AC ",
+                  coespq="VI ", cdtcls="01 ")]
+    cards = [dict(copemk=3, cacv0d=10.0, titar3="C ", porcpa=100.0)]
+    bank = Bank(spark, account_balance=balances, contracts=contracts, person_board=people, loans=loans, cards=cards)
+    got = sorted(tuple(r) for r in overdraft.overdraft_master(bank, AS_OF).collect())
+    md5 = lambda s: hashlib.md5(s.encode()).hexdigest()
+    assert got == [
+        (1, "00000000000A", 3, 1, 0, 1, md5("10300000000000000A"), D30),
+        (3, "00000000000C", 1, 0, 1, 0, md5("10300000000000000C"), D30),
+    ]
