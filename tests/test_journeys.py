@@ -274,3 +274,27 @@ def test_overdraft_master_days_and_covers(spark):
         (1, "00000000000A", 3, 1, 0, 1, md5("10300000000000000A"), D30),
         (3, "00000000000C", 1, 0, 1, 0, md5("10300000000000000C"), D30),
     ]
+
+
+def test_young_retention_draft_cases(spark):
+    from rumbo.plans import drafts
+    run = dt.date(2024, 2, 1)                  # birthdays on the same day next month, 26 years
+    people = [dict(person(1), fenac9=dt.date(1998, 3, 1), in82mk="1", in94mk="0", cogsmk=7),
+              dict(person(2), fenac9=dt.date(1998, 3, 2), in82mk="0", in94mk="0", cogsmk=7),   # other day
+              dict(person(3), fenac9=dt.date(1997, 12, 1), in82mk="0", in94mk="0", cogsmk=7)]  # December branch
+    dom = [dict(copemk=1, copser="10600", coddmc="702", extractiondate="20240130"),
+           dict(copemk=1, copser="11229", coddmc="702", extractiondate="20240130"),
+           dict(copemk=1, copser="11594", coddmc="702", extractiondate="20231231")]           # older extraction
+    board = [dict(co_codpers_mt=1, co_cliente=1, im_saldfinmestotvolrecur_mt=100.0, process_date="20240131"),
+             dict(co_codpers_mt=1, co_cliente=1, im_saldfinmestotvolrecur_mt=50.0, process_date="20231231")]
+    monthly = [dict(copemk=1, co1504="105", extractiondate="20240131")]
+    events = [dict(co_cliente=1, co_producto_ursus="115594", co_empresa_cont="0", dt="20240130")]
+    bank = Bank(spark, person_board=people, managers=[dict(cogsmk=7, codice="0001", cotgmk="T")],
+                manager_contacts=[dict(cogrmk=7, coemai="g7@x")], account_domiciliations=dom,
+                monthly_board=board, monthly_accounts=monthly, contracting_events=events)
+    got = sorted(tuple(r) for r in drafts.young_retention_draft(bank, run).collect())
+    born = dt.date(1998, 3, 1)
+    assert got == sorted([
+        (1, "JR000002", born, 1, 0, 100.0, 1, 0, 0, 1, 1, "g7@x"),     # easy account domiciled
+        (1, "JR000002", born, 1, 0, 100.0, 0, 0, 1, 1, 1, "g7@x"),     # payroll product domiciled
+    ])
