@@ -298,3 +298,26 @@ def test_young_retention_draft_cases(spark):
         (1, "JR000002", born, 1, 0, 100.0, 1, 0, 0, 1, 1, "g7@x"),     # easy account domiciled
         (1, "JR000002", born, 1, 0, 100.0, 0, 0, 1, 1, 1, "g7@x"),     # payroll product domiciled
     ])
+
+
+def test_home_insurance_draft_cases(spark):
+    from rumbo.plans import drafts
+    due = dt.date(2024, 3, 27)                 # run date + 56 days
+    pol = lambda c, copser="43530", issuer="0500", expiry=due: dict(
+        copemk=c, copser=copser, idcoas=issuer, feprnz=expiry, colnng=5, codsi7=1)
+    policies = [pol(1), pol(2, issuer="0019"), pol(3, copser="10000"), pol(4, expiry=dt.date(2024, 3, 28))]
+    board = [dict(co_cliente=1, co_codpers_mt=1, in_tensegurauto_mt="1", process_date="20240131"),
+             dict(co_cliente=1, co_codpers_mt=1, in_tensegurotrsegurdecenoprimunic_mt="1", process_date="20231231")]
+    events = [dict(co_cliente=1, co_producto_ursus="11660", co_empresa_cont="0", dt="20240130")]
+    scores = [dict(co_cliente=1, modelid="MSGHCHX1", probabilidad=0.4, sessionid="20240101"),
+              dict(co_cliente=1, modelid="MSGHCHX1", probabilidad=0.7, sessionid="20240102"),
+              dict(co_cliente=1, modelid="MSGHSHX1", probabilidad=0.2, sessionid="20240102")]
+    bank = Bank(spark, policies=policies,
+                customer_attrs=[dict(copemk=1, cogsmk="7", inlp26="1", in61mk="0", in77mk="0", in16mk="1")],
+                managers=[dict(cogsmk=7, codice="0001", cotgmk="T")], manager_contacts=[dict(cogrmk=7, coemai="g7@x")],
+                payroll_amounts=[dict(copemk=1, copser="32000", imulig=1500.0)],
+                monthly_board=board, contracting_events=events, scores_b=scores)
+    got = sorted(tuple(r) for r in drafts.home_insurance_draft(bank, AS_OF).collect())
+    head = (1, "JR000001", due, "0500", "43530", 1, 1, 0, 0, 1, 1, 1500.0, 1, 0, 0, 1)
+    # one row per propensity model (max score of each), as the draft joins them
+    assert got == sorted([head + (0.7, 0.0, "g7@x"), head + (0.0, 0.2, "g7@x")])
