@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality, simhash
+from . import minhash, mixing, packing, quality, rabitq, sharding, simhash, tokencount, toxicity, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -17,14 +18,82 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
+def op2_minhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MinHash fingerprints of every document and its edited text."""
+    return minhash.fingerprint_documents(_read(spark, sf_dir, "documents"))
+
+
+def op3_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """WARC archives of all pages, written and read back in byte ranges."""
+    return warc.archive_round_trip(_read(spark, sf_dir, "pages"), min_bytes=0)
+
+
+def op4_toxicity_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected toxicity severity of every document."""
+    return toxicity.score_documents(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
+def op5_rotated_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five nearest neighbours of every vector whose id is divisible by 50."""
+    return rabitq.search(_read(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5)
+
+
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' token pieces packed into sequences of 4096."""
+    return packing.pack_documents(_read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op7_simhash_covering(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprint and near-duplicate component of every document."""
     out = simhash.near_duplicates(_read(spark, sf_dir, "documents"), radius=4, words=4)
     return out.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {
-    "op1_quality_rules": op1_quality_rules,
-    "op7_simhash_covering": op7_simhash_covering,
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token count of every document by heap-and-linked-list merging."""
+    return tokencount.count_tokens(_read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op9_balanced_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents on 40 shards of even row counts, equal texts together where they fit."""
+    return sharding.shard_documents(_read(spark, sf_dir, "documents"), shards=40)
+
+
+def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    return mixing.mix(_read(spark, sf_dir, "documents"), weights=(5, 2, 1), max_epochs=3)
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_quality_rules, op2_minhash_fingerprints, op3_warc_round_trip, op4_toxicity_ordinal, op5_rotated_codes,
+    op6_best_fit_packing, op7_simhash_covering, op8_token_counts, op9_balanced_shards, op10_source_mix)}
+
+# One row of a payload's digest in base 32: the bits of its SHA-1, five at a time.
+_BASE32 = """array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + CAST(list_sum(list_transform(range(5), lambda j: CAST(substr(bits, CAST(5 * i + j + 1 AS INTEGER), 1) AS INTEGER) * (16 >> j))) AS INTEGER), 1)), '')"""
+
+SQL: dict[str, str] = {
+    "op3_warc_round_trip": f"""
+WITH payloads AS (
+    SELECT page_id, coalesce(html, '') AS body FROM pages),
+digests AS (
+    SELECT page_id, strlen(body) AS payload_bytes, CAST(CAST(unhex(sha1(body)) AS BIT) AS VARCHAR) AS bits FROM payloads),
+holders AS (
+    SELECT bits AS held, max(page_id) AS holder FROM digests GROUP BY bits)
+SELECT page_id, payload_bytes, {_BASE32} AS payload_digest,
+       CASE WHEN page_id < holder THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id < holder THEN holder END AS refers_to
+FROM digests JOIN holders ON bits = held""",
+    "op5_rotated_codes": """
+WITH v AS (
+    SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+usable AS (
+    SELECT DISTINCT vec_id, e, sqrt(list_inner_product(e, e)) AS size FROM v
+    WHERE e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(e, lambda x: x <> 0)) > 0),
+scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_inner_product(q.e, c.e) / (q.size * c.size) AS score
+    FROM usable q JOIN usable c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM scored QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5""",
 }
-SQL: dict[str, str] = {}
