@@ -17,105 +17,171 @@ columns are ignored.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import arrow_udf
 
-from .common import deploy, fresh, store
+from .common import Text, deploy, fresh, store
 
 PIECES_PER_PACKER = 40_000
-WORD_CACHE, PIECE_CACHE = 500_000, 300_000
-# The vocabulary's word pattern (a fixed value of the tokenizer file).
-PIECE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-_NOT_PLAIN = re.compile("[\x1c-\x1fɐ-\U0010ffff]")
+UNIT_CACHE = 1_000_000         # distinct units that a worker remembers
 
+# byte classes after folding A-Z: 0 white space, 1 a-z, 2 digits and marks other than ', 3 the rest (' and bytes from 0x80 on)
+_FOLD = np.arange(256, dtype=np.uint8)
+_FOLD[0x41:0x5B] += 32
+_CLASS = np.full(256, 2, np.uint8)
+_CLASS[[0x20, *range(0x09, 0x0E)]] = 0
+_CLASS[0x61:0x7B] = 1
+_CLASS[0x80:] = 3
+_CLASS[ord("'")] = 3
 
-class WordIds(dict):
-    """Word between white space -> its ids as little-endian 32-bit integers.
 
-    The tokenizer never joins across white space.  Words of Latin letters are
-    lower-cased and split by the vocabulary's own pattern, so forms of a word
-    share one call of the library; all other words go to the library whole.
+def units(text: Text) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and text number of each unit, and whether it is letters only, in folded bytes.
+
+    A unit is a run between white space, also cut between a letter (a-z or one
+    of U+00C0..U+00FF but the signs U+00D7 and U+00F7) and a digit or mark other
+    than the apostrophe.  The tokenizer's pattern always splits there, so a
+    text's ids are the ids of its units in order.
+    """
+    data = text.data
+    cls = _CLASS[data]
+    if len(data) > 1:
+        lead = np.flatnonzero((data[:-1] == 0xC3) & (data[1:] != 0x97) & (data[1:] != 0xB7))
+        cls[lead] = cls[lead + 1] = 1
+    inside = cls != 0
+    cut = np.zeros(len(data) + 1, bool)                      # a unit may not go on over this place
+    cut[text.offsets] = True
+    cut[1:-1] |= (cls[1:] != cls[:-1]) & ((cls[1:] | cls[:-1]) == 3) & (cls[1:] != 3) & (cls[:-1] != 3)
+    before = np.concatenate([[False], inside[:-1]]) if len(data) else inside
+    after = np.concatenate([inside[1:], [False]]) if len(data) else inside
+    starts = np.flatnonzero(inside & (~before | cut[:-1]))
+    ends = np.flatnonzero(inside & (~after | cut[1:])) + 1
+    owner = np.searchsorted(text.offsets, starts, "right") - 1
+    letters = np.add.reduceat((cls != 1) & inside, starts) == 0 if len(starts) else np.zeros(0, bool)
+    if len(starts):                                          # reduceat runs to the next start: only white space lies between
+        letters &= cls[starts] == 1
+    return starts, ends, owner, letters
+
+
+class UnitIds:
+    """Ids of units as the library gives them, remembered by the unit's 64-bit hash.
+
+    A batch asks once for each distinct unit.  New units of letters are one
+    word of the vocabulary each, so they go to the library in one call, and
+    the word-end mark of their last id parts them again.
     """
 
     def __init__(self, tokenizer):
-        super().__init__()
         self.tokenizer = tokenizer
-        self.pieces: dict[str, bytes] = {}
-        self.find = regex.compile(PIECE_PATTERN).findall
+        self.is_end = np.zeros(tokenizer.get_vocab_size(), bool)
+        self.is_end[[i for t, i in tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
+        self.forget()
+
+    def forget(self) -> None:
+        self.slot: dict[int, int] = {}
+        self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
+        self.start, self.length = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+
+    def library(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+
+    def _add(self, key: int, ids: np.ndarray) -> None:
+        k = len(self.slot)
+        if k == len(self.start):
+            self.start, self.length = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.length))
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        self.flat[self.used:self.used + len(ids)] = ids
+        self.start[k], self.length[k] = self.used, len(ids)
+        self.used += len(ids)
+        self.slot[key] = k
+
+    def _learn(self, keys: list[int], raw: list[bytes], letters: list[bool]) -> None:
+        words = [(k, w.decode()) for k, w, x in zip(keys, raw, letters) if x]
+        for i in range(0, len(words), 4096):
+            part = words[i:i + 4096]
+            ids = self.library(" ".join(w for _, w in part))
+            ends = np.flatnonzero(self.is_end[ids]) + 1
+            if len(ends) != len(part):
+                raise ValueError("words and word ends differ")
+            for (k, _), a, b in zip(part, np.concatenate([[0], ends[:-1]]).tolist(), ends.tolist()):
+                self._add(k, ids[a:b])
+        for k, w, x in zip(keys, raw, letters):
+            if not x:
+                self._add(k, self.library(w.decode()))
+
+    def _plain(self, text: Text) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, and how many each has."""
+        starts, ends, owner, letters = units(text)
+        distinct, first, which = np.unique(text.hashes(starts, ends), return_index=True, return_inverse=True)
+        if len(self.slot) + len(distinct) > UNIT_CACHE:
+            self.forget()
+        keys = distinct.tolist()
+        new = [i for i, k in enumerate(keys) if k not in self.slot]
+        at = first[new]
+        raw = text.data.tobytes() if new else b""
+        self._learn([keys[i] for i in new], [raw[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())], letters[at].tolist())
+        slots = np.fromiter((self.slot[k] for k in keys), np.int64, len(keys))[which]
+        lens = self.length[slots]
+        total = int(lens.sum())
+        place = np.repeat(self.start[slots] - (np.cumsum(lens) - lens), lens) + np.arange(total)
+        return self.flat[place], np.bincount(owner, lens, text.n).astype(np.int64)
+
+    def texts(self, array: pa.Array) -> Iterator[np.ndarray]:
+        """Ids of each text.  Texts that may hold special strings go to the library whole."""
+        for _, _, part in Text.of(array).slices():
+            raw = part.data.tobytes()
+            odd = [i for i in range(part.n) if b"<|" in raw[part.offsets[i]:part.offsets[i + 1]]] if b"<|" in raw else []
+            folded = Text(_FOLD[part.data], part.offsets)
+            ids, counts = self._plain(folded)
+            borders = np.concatenate([[0], np.cumsum(counts)])
+            special = set(odd)
+            for i in range(part.n):
+                yield (self.library(raw[part.offsets[i]:part.offsets[i + 1]].decode()) if i in special
+                       else ids[borders[i]:borders[i + 1]])
+
+
+_known: dict[str, UnitIds] = {}
+
+
+def _unit_ids(path: str) -> UnitIds:
+    if path not in _known:
+        from tokenizers import Tokenizer
+        _known[path] = UnitIds(Tokenizer.from_file(path))
+    return _known[path]
 
-    def encode(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def __missing__(self, word: str) -> bytes:
-        if len(word) > 200 or "<|" in word or _NOT_PLAIN.search(word):
-            ids = self.encode(word)
-        else:
-            known, out = self.pieces, []
-            for p in self.find(word.lower()):
-                b = known.get(p)
-                if b is None:
-                    if len(known) >= PIECE_CACHE:
-                        known.clear()
-                    b = known[p] = self.encode(p)
-                out.append(b)
-            ids = b"".join(out)
-        if len(word) <= 64:
-            if len(self) >= WORD_CACHE:
-                self.clear()
-            self[word] = ids
-        return ids
-
-    def text(self, text: str) -> bytes:
-        if any(c in text for c in "\x1c\x1d\x1e\x1f"):       # white space for Python only
-            return self.encode(text)
-        return b"".join(map(self.__getitem__, text.split()))
-
-
-_words: dict[str, WordIds] = {}
-
-
-def _word_ids(path: str) -> WordIds:
-    if path not in _words:
-        from tokenizers import Tokenizer
-        _words[path] = WordIds(Tokenizer.from_file(path))
-    return _words[path]
+def _cut(batches: Iterator[pa.RecordBatch], path: str, length: int, end_id: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    end = np.array([end_id], "<u4")
+    for batch in batches:
+        row, piece, starts, lens, crc = [], [], [], [], []
+        for i, ids in enumerate(_unit_ids(path).texts(batch.column(1))):
+            raw = np.concatenate([ids.astype("<u4"), end]).tobytes()
+            n = len(raw) // 4
+            for k, start in enumerate(range(0, n, length)):
+                part = raw[4 * start:4 * (start + length)]
+                row.append(i)
+                piece.append(k)
+                starts.append(start)
+                lens.append(len(part) // 4)
+                crc.append(zlib.crc32(part))
+        cells = [batch.column(0).take(pa.array(row, pa.int32())), piece, starts, lens, crc]
+        yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(cells, schema)], schema=schema)
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, length: int = 4096, end_id: int = 1, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
     """``(id, piece, start, length, ids_crc32)``: each document's ids and the end id, cut at ``length``."""
     deploy(docs.sparkSession)
-    end = int(end_id).to_bytes(4, "little")
-
-    def cut(texts: pa.Array) -> pa.Array:
-        words, rows, offsets = _word_ids(tokenizer_path), ([], [], [], []), [0]
-        for i in range(0, len(texts), 256):
-            for t in pc.fill_null(texts.slice(i, 256), "").to_pylist():
-                ids = words.text(t) + end
-                n = len(ids) // 4
-                for k, start in enumerate(range(0, n, length)):
-                    part = ids[4 * start:4 * (start + length)]
-                    for column, value in zip(rows, (k, start, len(part) // 4, zlib.crc32(part))):
-                        column.append(value)
-                offsets.append(len(rows[0]))
-        names = ("piece", "start", "length", "ids_crc32")
-        types = (pa.int32(), pa.int64(), pa.int64(), pa.int64())
-        cells = pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(rows, types)],
-                                           fields=[pa.field(n, t) for n, t in zip(names, types)])
-        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), cells)
-
-    kind = "array<struct<piece:int,start:bigint,length:bigint,ids_crc32:bigint>>"
-    cells = docs.select(F.col(id_col), arrow_udf(cut, kind)(F.col(text_col)).alias("__cells"))
-    return cells.select(id_col, F.explode("__cells").alias("__c")).select(id_col, "__c.*")
+    rows = docs.select(F.col(id_col).cast("long").alias(id_col), text_col)
+    schema = pa.schema([(id_col, pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
+    return rows.mapInArrow(lambda it: _cut(it, tokenizer_path, length, end_id, schema),
+                           f"`{id_col}` long, piece int, start long, length long, ids_crc32 long")
 
 
 class BestFit:

@@ -299,10 +299,24 @@ def test_packing_against_the_library(llm, sf_dir, documents):
     assert used <= 1.02 * sum(r["length"] for r in rows) / 4096 + 2
 
 
-@pytest.mark.parametrize("text", ["İstanbul ΣΑΣ ς", "a\x1cb c", "x<|endoftext|>y Z", "don't WE'RE 'sxyz ''s", "ﬁ é é ½²ªº 12 a1b",
-                                  "日本語 テキスト", " nbsp em ​zero", "", "A" * 300, "ÀÉÎÕÜ ŠŽ ǅ"])
-def test_word_ids_equal_the_library(text):
-    assert packing._word_ids(WORD_BPE).text(text) == np.array(ids_by_library(text)[:-1], "<u4").tobytes()
+ODD_TEXTS = ["İstanbul ΣΑΣ ς", "a\x1cb c", "x<|endoftext|>y Z", "<|ENDOFTEXT|>", "don't WE'RE 'sxyz ''s !'s it's, a,'s x'!y '1", "ﬁ é é ½²ªº 12 a1b",
+             "日本語 テキスト", "\xa0nbsp\u2003em \u200bzero", "", "A" * 300, "ÀÉÎÕÜ ŠŽ ǅ", "été, ÷x× é× é÷! é!", "☃!! !!☃ a☃b ≠ e\u0301, 1\u0301",
+             "a\tb\r\nc\x0bd\x85e", "mixed***case 3.14 x_y A-B", "\x00a\x7f", "𝄞a𝄞,"]
+
+
+@pytest.mark.parametrize("text", ODD_TEXTS)
+def test_unit_ids_equal_the_library(text):
+    got = [x.tolist() for x in packing._unit_ids(WORD_BPE).texts(pa.array([text, None, text + " " + text, "b"]))]
+    assert got[0] == ids_by_library(text)[:-1] and got[1] == [] and got[3] == ids_by_library("b")[:-1]
+    assert got[2] == ids_by_library(text + " " + text)[:-1]
+
+
+def test_random_unit_ids_equal_the_library():
+    r = random.Random(2)
+    alphabet = "abstTHEé É'ß÷×☃́ \n.,!*12<|>_\xa0ñş"
+    texts = ["".join(r.choice(alphabet) for _ in range(r.randint(0, 30))) for _ in range(1500)]
+    for t, got in zip(texts, packing._unit_ids(WORD_BPE).texts(pa.array(texts))):
+        assert got.tolist() == ids_by_library(t)[:-1], repr(t)
 
 
 def test_best_fit_against_a_plain_version():
