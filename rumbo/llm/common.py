@@ -27,17 +27,25 @@ from ..session import ensure_checkpoint_dir
 # A word is a run of bytes other than space and the controls TAB..CR.
 WORD = r"[^\x20\x09-\x0D]+"
 
-SLICE_BYTES = 2 << 20          # text bytes handled by one numpy step inside a task
+SLICE_BYTES = 1 << 20          # text bytes handled by one numpy step inside a task
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _BASE_INV = np.uint64(pow(int(_BASE), -1, 1 << 64))
 
 
+BATCH_ROWS = 1000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _deployed: set[str] = set()
 
 
 def deploy(spark: SparkSession | None = None) -> None:
-    """Let Spark send this package's code to the Python workers, once for each application."""
+    """Let Spark send this package's code to the Python workers, once for each application.
+
+    Texts are long, so Arrow batches are cut to ``BATCH_ROWS`` rows unless the
+    session asks for fewer: a worker's memory follows its batches.
+    """
     spark = spark or SparkSession.active()
+    if int(spark.conf.get(_BATCH)) > BATCH_ROWS:
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
     sc = spark.sparkContext
     if sc.applicationId in _deployed:
         return

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from .common import Text, deploy, fresh, store
 
 PIECES_PER_PACKER = 40_000
-UNIT_CACHE = 1_000_000         # distinct units that a worker remembers
+UNIT_CACHE = 300_000           # distinct units that a worker remembers
 
 # byte classes after folding A-Z: 0 white space, 1 a-z, 2 digits and marks other than ', 3 the rest (' and bytes from 0x80 on)
 _FOLD = np.arange(256, dtype=np.uint8)

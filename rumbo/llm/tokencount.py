@@ -28,7 +28,7 @@ from pyspark.sql.functions import arrow_udf
 from .common import deploy
 
 MARK = "▁"
-CACHE = 600_000
+CACHE = 400_000
 LONG_UNIT = 80                 # longer units are counted but not remembered
 
 
