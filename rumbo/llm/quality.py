@@ -199,9 +199,9 @@ def training_rows(measured: DataFrame, labels: DataFrame, stats_col: str, label:
 def reject_low_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
     """Rows of ``docs`` whose score is at least ``threshold``, with their columns unchanged."""
     stats, score = fresh(docs, "quality_stats", "quality_score")
-    ids = labels.select("doc_id").filter(F.col("doc_id").isNotNull()).distinct()
-    own = with_statistics(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi"), "__stats").drop("text")
-    model = fit(training_rows(own, labels, "__stats", "quality"), "__stats", "__label")
+    # only ids and statistics meet the labels: no text is shuffled
+    measured = with_statistics(docs.select("doc_id", "text"), "__stats").drop("text")
+    model = fit(training_rows(measured, labels, "__stats", "quality"), "__stats", "__label")
     scored = with_statistics(docs, stats).withColumn(score, model.score(F.col(stats)))
     return scored.filter(F.col(score) >= threshold).select(*[F.col(f"`{c}`") for c in docs.columns])
 

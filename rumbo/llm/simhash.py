@@ -162,21 +162,15 @@ def near_duplicates(docs: DataFrame, radius: int = 4, words: int = 4, id_col: st
 def keep_one(docs: DataFrame, radius: int = 4, words: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of each component stays, with all columns: the one with the smallest id.
 
-    Rows that share that id are ordered by the hash of all their columns and
-    one of them stays; in a component of null ids only, one row stays.
+    Of rows that share that id the first one read stays; in a component of null
+    ids only, its first row stays.
     """
-    fp, comp, rank_key = fresh(docs, "simhash_fp", "simhash_component", "simhash_order")
-    marked = store(docs.withColumn(fp, fingerprint(F.col(text_col), words)), "simhash-docs")
-    nodes = store(marked.groupBy(fp).agg(F.min(id_col).alias("first_id")).withColumnRenamed(fp, "fp"), "simhash-nodes")
+    fp, row = fresh(docs, "simhash_fp", "simhash_row")
+    marked = store(docs.withColumn(fp, fingerprint(F.col(text_col), words)).withColumn(row, F.monotonically_increasing_id()), "simhash-docs")
+    # smaller structs first: rows with an id, by id, then by place
+    place = F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), F.col(row).alias("row"))
+    nodes = store(marked.groupBy(F.col(fp).alias("fp")).agg(F.min(place).alias("best")), "simhash-nodes")
     parts = store(connected_components(links(nodes.select("fp"), radius), "a", "b"), "simhash-parts")
-    linked = nodes.join(parts, nodes["fp"] == parts["node"], "left").select(
-        "fp", "first_id", F.coalesce("component", "fp").alias(comp))
-    own = [F.col(f"`{c}`") for c in docs.columns]
-    # every row's (id, hash of the row) competes for its component; slim rows only
-    slim = marked.select(F.col(fp).alias("fp"), F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"),
-                                                         F.xxhash64(*own).alias("h")).alias("o"))
-    best = slim.join(linked.select("fp", comp), "fp").groupBy(comp).agg(F.min("o").alias("o")).select(
-        F.col("o.id").alias("best_id"), F.col("o.h").alias("best_h"))
-    candidates = marked.withColumn(rank_key, F.xxhash64(*own)).join(
-        best, F.col(id_col).eqNullSafe(F.col("best_id")) & (F.col(rank_key) == F.col("best_h")), "left_semi")
-    return candidates.dropDuplicates([id_col, rank_key]).select(*own)
+    stay = nodes.join(parts, nodes["fp"] == parts["node"], "left").groupBy(F.coalesce("component", "fp").alias("c")).agg(
+        F.min("best").alias("best")).select(F.col("best.row").alias("stay"))
+    return marked.join(stay, F.col(row) == F.col("stay"), "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
