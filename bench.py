@@ -12,6 +12,7 @@ import statistics
 import sys
 import time
 
+os.environ.setdefault("RUMBO_ROW_GROUP_BYTES", str(2 * 1024 * 1024))     # few-MB test tables
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from rumbo.plans.registered import REGISTRY  # noqa: E402

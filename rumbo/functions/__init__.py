@@ -57,8 +57,8 @@ def strip_leading_zeros(c: str | Column) -> Column:
 
 
 def as_int_code(c: str | Column) -> Column:
-    """Zero-padded text code -> int (explicit cast, no implicit ANSI coercion)."""
-    return col(c).cast("int")
+    """Zero-padded text code -> int; text that is no number gives NULL."""
+    return col(c).try_cast("int")
 
 
 def code_label(c: str | Column, mapping: Mapping[str, str], default: str | None = None) -> Column:

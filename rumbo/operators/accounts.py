@@ -67,7 +67,7 @@ def natural_persons(person_board: DataFrame, active_only: bool = False) -> DataF
 
 def last_positive_day(balances: DataFrame, as_of: _dt.date,
                       days: int = P.OVERDRAFT_HISTORY_DAYS, accounts: DataFrame | None = None) -> DataFrame:
-    """Newest day with a non-negative balance in the last ``days`` days, per account.
+    """Newest day with a non-negative balance in the ``days`` days up to the run date, per account.
 
     ``accounts`` (rows with the account key) restricts the history to those
     accounts before aggregating: the window holds every account's days, the
@@ -75,6 +75,7 @@ def last_positive_day(balances: DataFrame, as_of: _dt.date,
     """
     hist = balances.filter(snapshot_is(P.SNAPSHOT_HISTORIC)
                            & (F.col("extractiondate") >= day_key(as_of, days))
+                           & (F.col("extractiondate") <= day_key(as_of))
                            & (F.col("cavt20") >= 0) & live_contract())
     if accounts is not None:
         hist = hist.join(accounts.select(*ACCOUNT_KEY), ACCOUNT_KEY, "left_semi")

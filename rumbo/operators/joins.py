@@ -8,9 +8,7 @@ Strategy notes (what Spark does with each at scale):
   by AQE's skew-join handling.  No side whose size grows with the data is
   ever force-broadcast.
 * Explicit ``broadcast`` hints are only placed on sides with a proven row
-  bound (a one-row control frame, thresholds aggregated per listed model) or
-  behind :func:`bounded_broadcast`, which counts at most ``max_rows + 1`` rows
-  and otherwise leaves the join to the planner.
+  bound (a one-row control frame, thresholds aggregated per listed model).
 * ``LEFT JOIN ... WHERE right.key IS NULL`` is written as ``left_anti``: Spark
   4.1 keeps the outer-join form as LeftOuter + Filter, which ships and
   materialises every matched pair first.
@@ -27,6 +25,8 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .reuse import reuse
+
 Key = str | tuple[str, str]
 
 
@@ -72,16 +72,6 @@ def with_presence(left: DataFrame, right: DataFrame, left_key: str, right_key: s
     return out.withColumn(flag_name, F.coalesce(F.col(flag_name), F.lit(0)))
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast-hint ``df`` only if it has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows.  Beyond the bound the frame
-    is returned unhinted and the planner chooses (sort-merge / AQE).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def passing_ids(scores: DataFrame, thresholds: DataFrame, id_col: str, model_col: str,
                 score_col: str, thr_model_col: str, thr_col: str,
                 models: Sequence[str] | None = None, out_col: str | None = None) -> DataFrame:
@@ -111,9 +101,11 @@ def left_join_skew_safe(left: DataFrame, right: DataFrame, on: Sequence[tuple[st
     a single task.  Written as ``(left ⋈ right) ∪ (left ▷ right)`` (the anti
     part padded with NULLs), both sides of the inner join can be split, and
     the anti join only needs the right side's distinct keys (partially
-    aggregated before the shuffle).  Column names of the two sides must not
+    aggregated before the shuffle).  Both sides are read by both parts, so each
+    is computed once and reused.  Column names of the two sides must not
     overlap; the result has the columns of ``left.join(right, ..., "left")``.
     """
+    left, right = reuse(left), reuse(right)
     cond = _cond(left, right, on)
     inner = left.join(right, cond, "inner")
     keys = right.select(*[rk for _, rk in on]).distinct()

@@ -93,7 +93,7 @@ def principal_rows(contracts: DataFrame) -> DataFrame:
     """Live principal-holder rows ``(tt, xcoemp, copser, idprig)`` of the bank."""
     return contracts.filter((F.col("xcoemp") == P.ENTITY) & F.col("ffigco").isNull()
                             & (F.col("cosiig") == P.STATUS_ACTIVE) & snapshot_is(P.SNAPSHOT_LATEST)
-                            & (F.col("coprbs").cast("int") == P.RELATION_PRINCIPAL)).select(
+                            & (F.col("coprbs").try_cast("int") == P.RELATION_PRINCIPAL)).select(
         F.col("copemk").alias("tt"), "xcoemp", "copser", "idprig")
 
 

@@ -4,27 +4,34 @@ A journey's trigger (one day's new overdrafts, one web day's visitors, the
 customers turning 26, one day's receipts) feeds several branches: worst row,
 covers, propensities, exclusions.  Spark re-plans each reference with its own
 pruned columns and pushed filters, so the branches rarely share an exchange
-and every one of them would re-scan the daily partition and re-join the
-contracts table.  ``reuse`` writes the trigger once with ``checkpoint()`` into
-the shared folder named by ``spark.checkpoint.dir`` (reliable storage: the
-data survives the loss of the executors that computed it, unlike a local
-checkpoint or a cache) and returns a frame reading it back.
+and every one of them would re-scan the daily partition and re-join the contracts
+table.  ``reuse`` writes the frame once as Parquet into a folder of its own
+below the shared checkpoint folder named by ``spark.checkpoint.dir`` (reliable
+storage: the data survives the loss of the executors that computed it) and
+reads it back.  The planner then knows the files' size, so a small trigger is
+broadcast to the large tables' scans before these are shuffled; a checkpoint
+would keep the size estimate of the plan that made it.
 """
 
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame
 
 from ..session import ensure_checkpoint_dir
 
-# "checkpoint" (default) or "off" (keep the lineage; every reference recomputes).
-REUSE_MODE = os.environ.get("RUMBO_REUSE", "checkpoint")
+# "files" (default) or "off" (keep the lineage; every reference recomputes).
+REUSE_MODE = os.environ.get("RUMBO_REUSE", "files")
 
 
 def reuse(df: DataFrame, mode: str | None = None) -> DataFrame:
     if (mode or REUSE_MODE) == "off":
         return df
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/reuse-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return spark.read.schema(df.schema).parquet(path)

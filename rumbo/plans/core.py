@@ -52,11 +52,9 @@ def customer_core(src, as_of: _dt.date, dt: int | None = None, dedupe_details: b
 
 
 def product_catalogue(catalogue: DataFrame, as_of: _dt.date, days: int = P.CATALOGUE_WINDOW_DAYS) -> DataFrame:
-    """Newest on-sale catalogue row per product within the last ``days`` days."""
+    """Newest on-sale catalogue row per product extracted since ``days`` days before ``as_of`` (a lower bound only)."""
     since = accounts.day_key(as_of, days)
-    until = accounts.day_key(as_of)
-    live = catalogue.filter((F.col("extractiondate") >= since) & (F.col("extractiondate") <= until)
-                            & (F.col("especo") == P.CATALOGUE_ON_SALE) & (F.col("coesin") == P.CATALOGUE_ACTIVE))
+    live = catalogue.filter((F.col("extractiondate") >= since) & (F.col("especo") == P.CATALOGUE_ON_SALE) & (F.col("coesin") == P.CATALOGUE_ACTIVE))
     cols = live.select(F.col("copser").alias("COD_PRODUCTO"), F.col("cdfeco").alias("CO_FAMILIA"),
                        F.col("cdseco").alias("CO_SUBFAMILIA"), F.col("dsfeco").alias("DESC_FAMILIA"),
                        F.col("dsseco").alias("DESC_SUBFAMILIA"), "extractiondate")
@@ -79,7 +77,7 @@ def contract_core(src, as_of: _dt.date, since: _dt.date) -> DataFrame:
     prod = product_catalogue(src.catalogue, as_of)
     dic = product_dictionary(src.dictionary_attrs, src.dictionary_values)
     j = (b.join(prod, b.copser == prod.COD_PRODUCTO, "left")
-         .join(dic, b.copser.cast("string") == dic.valor_alf, "left"))
+         .join(dic, b.copser == F.trim(dic.valor_alf).try_cast("int"), "left"))
     return j.select(F.col("copser").alias("URSUS_PRODUCTO"), F.col("descrip_valor").alias("DESC_PRODUCTO"),
                     F.col("coprbs").alias("TIPO_RELACION"), F.col("copemk").alias("URSUS_CLIENTE"),
                     "CO_FAMILIA", "CO_SUBFAMILIA", "DESC_FAMILIA", "DESC_SUBFAMILIA",

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from .. import params as P
 from ..functions import flag, snapshot_is
 from ..operators import agg, control, joins, people
+from ..operators.reuse import reuse
 
 BOARD = "tbl_BGTTB_TABLON_CLIENTES_MES_TT"
 DOMICILIATIONS = "tbl_IGV0_CP_AHCAD_DOM"
@@ -67,8 +68,12 @@ def young_retention_draft(src, as_of: _dt.date) -> DataFrame:
     f = ev.filter(F.col("co_producto_ursus") == P.DRAFT_ON_CONTRACTING_PRODUCT).select(
         flag(F.col("co_producto_ursus") == P.DRAFT_ON_CONTRACTING_PRODUCT).alias("CONTRATACION_CUENTA_ON"),
         F.col("co_cliente").alias("__f"))
-    # domiciliation and monthly-account rows fan out per person: skew-safe joins
-    j = joins.left_join_skew_safe(a, b, [("Persona", "__b")]).join(c, a.Persona == c.__c, "left")
+    # every enrichment is reduced to the day's persons first; domiciliation and
+    # monthly-account rows fan out per person: skew-safe joins
+    a = reuse(a)
+    who = a.select("Persona")
+    b, c, d, f = (joins.semi(x, who, [(k, "Persona")]) for x, k in ((b, "__b"), (c, "__c"), (d, "__d"), (f, "__f")))
+    j = joins.left_join_skew_safe(a, b, [("Persona", "__b")]).join(c, F.col("Persona") == c.__c, "left")
     j = joins.left_join_skew_safe(j, d, [("Persona", "__d")]).join(f, F.col("Persona") == f.__f, "left")
     return j.select(
         F.col("Persona").alias("ID_URSUS"), F.lit(P.JOURNEY_YOUNG).alias("CODIGO_JOURNEY"),
@@ -90,7 +95,7 @@ def home_insurance_draft(src, as_of: _dt.date) -> DataFrame:
         "feprnz", "copemk", "idcoas", "copser")
     g = _managers(src)
     t = src.customer_attrs.filter(snapshot_is(P.SNAPSHOT_LATEST))
-    b = t.join(g, t.cogsmk.cast("bigint") == g.COD_GESTOR, "left").select(
+    b = t.join(g, t.cogsmk.try_cast("bigint") == g.COD_GESTOR, "left").select(
         F.when(F.col("cogsmk") == "0", 0).otherwise(1).alias("OPORTUNIDAD_GESTOR"),
         flag(F.col("inlp26") == "1").alias("SEGURO_HOGAR_CARTERA_BANKIA"),
         flag(F.col("in61mk") == "1").alias("DESCUENTO_SEGURO"),

@@ -23,8 +23,8 @@ def _interest(src, as_of: _dt.date, family: str, excluded: tuple, owners_for, mo
     prop_b = scoring.propensity_b(src.scores_b, src.model_thresholds, models_b, "__pb", "PROPENSION_BD", ids=who)
     # ownership rows fan out per customer (one per account, as the rule reads them)
     return (joins.left_join_skew_safe(hits, owners, [("id_cliente", "TITULAR")])
-            .join(prop_a, hits.id_cliente == prop_a.__pa, "left")
-            .join(prop_b, hits.id_cliente == prop_b.__pb, "left"))
+            .join(prop_a, F.col("id_cliente") == prop_a.__pa, "left")
+            .join(prop_b, F.col("id_cliente") == prop_b.__pb, "left"))
 
 
 def _propensity() -> "F.Column":

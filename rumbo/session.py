@@ -65,13 +65,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is a shared folder set by the platform and is only read.
-    When it is unset (local tests) a fresh scratch folder is created and set.
+    When it is unset a local session (tests) gets a fresh scratch folder; on any
+    other master this is an error.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set: it must name a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="rumbo-ckpt-")
     spark.sparkContext.setCheckpointDir(folder)
     return folder

@@ -57,10 +57,9 @@ LAYOUT: dict[str, list[str]] = {
     "contracting_events": [],
     "payroll_amounts": ["snapshot"],
 }
-# Row-group size of the written files.  Readers split work by row group, so
-# groups well under the per-task split size keep every core busy even on the
-# small test data; on a cluster set it near the HDFS/object-store block size.
-ROW_GROUP_BYTES = int(os.environ.get("RUMBO_ROW_GROUP_BYTES", str(2 * 1024 * 1024)))
+# Row-group size of the written files, near a storage block; tests set a small
+# one so that few-MB tables still split over every core.
+ROW_GROUP_BYTES = int(os.environ.get("RUMBO_ROW_GROUP_BYTES", str(128 * 1024 * 1024)))
 # Tables sorted (within each written file) on the column their readers filter
 # on, so row-group min/max statistics let Parquet skip most of each file.
 SORT_BY = {"catalogue": ["extractiondate"], "programme": ["fevaig"], "plan_operations": ["idprig"],

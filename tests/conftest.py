@@ -3,6 +3,7 @@ import sys
 
 import pytest
 
+os.environ.setdefault("RUMBO_ROW_GROUP_BYTES", str(2 * 1024 * 1024))     # few-MB test tables
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 SF001 = "/root/testdata/sf0.01"
