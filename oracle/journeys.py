@@ -116,7 +116,7 @@ def contract_core(since: _dt.date, as_of: _dt.date) -> str:
     parts = [
         ("holdings", HOLDINGS),
         ("offered", f"""SELECT copser, cdfeco, cdseco, dsfeco, dsseco FROM catalogue
-            WHERE extractiondate >= {day(as_of, P.CATALOGUE_WINDOW_DAYS)} AND coesin = 'A' AND especo = '{P.CATALOGUE_ON_SALE}'
+            WHERE extractiondate BETWEEN {day(as_of, P.CATALOGUE_WINDOW_DAYS)} AND {day(as_of)} AND coesin = 'A' AND especo = '{P.CATALOGUE_ON_SALE}'
             QUALIFY 1 = row_number() OVER (PARTITION BY copser ORDER BY extractiondate DESC, cdfeco ASC NULLS FIRST,
                 cdseco ASC NULLS FIRST, dsfeco ASC NULLS FIRST, dsseco ASC NULLS FIRST)"""),
         ("named", f"""SELECT DISTINCT TRY_CAST(trim(v.coocmk) AS INTEGER) AS product, v.coocmk, v.coocda, v.noocmk

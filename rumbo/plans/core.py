@@ -52,9 +52,11 @@ def customer_core(src, as_of: _dt.date, dt: int | None = None, dedupe_details: b
 
 
 def product_catalogue(catalogue: DataFrame, as_of: _dt.date, days: int = P.CATALOGUE_WINDOW_DAYS) -> DataFrame:
-    """Newest on-sale catalogue row per product extracted since ``days`` days before ``as_of`` (a lower bound only)."""
+    """Newest on-sale catalogue row per product extracted in the ``days`` days up to ``as_of``."""
     since = accounts.day_key(as_of, days)
-    live = catalogue.filter((F.col("extractiondate") >= since) & (F.col("especo") == P.CATALOGUE_ON_SALE) & (F.col("coesin") == P.CATALOGUE_ACTIVE))
+    until = accounts.day_key(as_of)      # a run reads nothing extracted after its run date
+    live = catalogue.filter((F.col("extractiondate") >= since) & (F.col("extractiondate") <= until)
+                            & (F.col("especo") == P.CATALOGUE_ON_SALE) & (F.col("coesin") == P.CATALOGUE_ACTIVE))
     cols = live.select(F.col("copser").alias("COD_PRODUCTO"), F.col("cdfeco").alias("CO_FAMILIA"),
                        F.col("cdseco").alias("CO_SUBFAMILIA"), F.col("dsfeco").alias("DESC_FAMILIA"),
                        F.col("dsseco").alias("DESC_SUBFAMILIA"), "extractiondate")
