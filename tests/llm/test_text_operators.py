@@ -5,6 +5,7 @@ import random
 import re
 import zlib
 from collections import Counter
+from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -264,10 +265,14 @@ def test_simhash_odd_rows(odd_docs, no_docs):
 
 # ---- 6 packing ---------------------------------------------------------------
 
-def ids_by_library(text):
+@lru_cache(maxsize=1)
+def tokenizer():
     from tokenizers import Tokenizer
-    t = ids_by_library.__dict__.setdefault("t", Tokenizer.from_file(WORD_BPE))
-    return t.encode(text or "", add_special_tokens=False).ids + [1]
+    return Tokenizer.from_file(WORD_BPE)
+
+
+def ids_by_library(text):
+    return tokenizer().encode(text or "", add_special_tokens=False).ids + [1]
 
 
 def check_packing(rows, texts, length=4096):
