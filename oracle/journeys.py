@@ -32,6 +32,12 @@ def date(x: _dt.date) -> str:
     return f"DATE '{x.isoformat()}'"
 
 
+def months_on(x: str, n: int) -> str:
+    """Date ``n`` months on; the last day of a month stays the last day."""
+    moved = f"CAST(CAST({x} AS DATE) + INTERVAL ({n}) MONTH AS DATE)"
+    return f"CASE WHEN CAST({x} AS DATE) = last_day(CAST({x} AS DATE)) THEN last_day({moved}) ELSE {moved} END"
+
+
 def listed(values) -> str:
     return ", ".join(repr(v) if isinstance(v, str) else str(v) for v in values)
 
@@ -197,7 +203,7 @@ def young_retention(as_of: _dt.date, trigger: str) -> str:
               AND ind_correspondencia_internet = 1
               AND 'S' = ALL (SELECT unnest([ind_cr_electronica, ind_disp_moviles, ind_telemarketing]))"""),
         ("turning", f"""SELECT copemk AS holder, fenac9, casfpt / 100 AS funds, caedad FROM person_board
-            WHERE {NOW} AND cotpmk = 1 AND coh004 = 62120 AND CAST(fenac9 + INTERVAL 26 YEAR AS DATE) = {date(as_of)} + 30"""),
+            WHERE {NOW} AND cotpmk = 1 AND coh004 = 62120 AND {months_on("fenac9", 312)} = {date(as_of)} + 30"""),
         ("paid", f"SELECT DISTINCT copemk AS holder, 1 AS payroll FROM payroll_contracts WHERE {NOW} AND {OPEN}"),
         ("failed", """SELECT DISTINCT copser, idprig FROM youth SEMI JOIN (
             FROM standing WHERE 'N' IN (marin1, marin3, marin5, marin6)) f ON f.holder = youth.tt"""),

@@ -123,11 +123,12 @@ def last_chars(c: str | Column, n: int = 4) -> Column:
     return F.substring(col(c), -n, n)
 
 
-def add_months(c: str | Column, months: int, month_end: str = "clamp") -> Column:
+def add_months(c: str | Column, months: int, month_end: str = "last_day") -> Column:
     """``add_months`` with an explicit month-end rule.
 
+    ``last_day`` (Hive, where the rules run): a month-end date stays at month
+    end, 2019-02-28 + 12 -> 2020-02-29.
     ``clamp`` (Spark / DuckDB): 2019-02-28 + 12 -> 2020-02-28.
-    ``last_day`` (Hive): a month-end date stays at month end -> 2020-02-29.
     """
     shifted = F.add_months(col(c), months)
     if month_end == "clamp":

@@ -1,7 +1,7 @@
 """Newest-partition and control-table operators (the ``max(date)`` idioms).
 
 A daily batch reads, for each source, the newest partition at or before the
-run date.  The newest value is a one-row aggregate: partial max per task, one
+run date (the caller's ``where`` carries that bound).  The newest value is a one-row aggregate: partial max per task, one
 tiny final merge.  Consumers compare against it as a scalar subquery
 (``mode="subquery"``, the default: lazy, evaluated once, no join), with a
 broadcast semi join on the single row (``mode="join"``), or with a literal
@@ -50,6 +50,17 @@ def newest_scalar(df: DataFrame, column: str, where: Column | None = None, mode:
     return scalar(newest(df, column, where), mode)
 
 
+def newest_scalars(df: DataFrame, columns: list[str], where: Column | None = None,
+                   mode: str | None = None) -> list[Column]:
+    """Several ``max(column)`` values from one scan, see :func:`scalar`."""
+    src = df.filter(where) if where is not None else df
+    row = src.agg(*[F.max(c).alias(c) for c in columns])
+    if (mode or NEWEST_MODE) == "literal":
+        return [F.lit(v).cast(f.dataType) for v, f in zip(row.first(), row.schema.fields)]
+    both = row.select(F.struct(*columns).alias("newest")).scalar()
+    return [both[c] for c in columns]
+
+
 def keep_newest(df: DataFrame, column: str, control: DataFrame | None = None,
                 control_col: str | None = None, where: Column | None = None,
                 mode: str | None = None) -> DataFrame:

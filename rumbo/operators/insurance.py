@@ -11,7 +11,7 @@ from .. import params as P
 from ..functions import add_months, flag, home_receipt_label, insurer_name, snapshot_is, tax_id_of
 
 
-def expiring_receipts(receipts: DataFrame, as_of: _dt.date, month_end: str = "clamp") -> DataFrame:
+def expiring_receipts(receipts: DataFrame, as_of: _dt.date, month_end: str = "last_day") -> DataFrame:
     """Prepaid insurance receipts paid exactly ``RECEIPT_AGE_MONTHS`` ago.
 
     Output: Persona, FECHA_VENCIMIENTO (+12 months), Concepto (text without

@@ -68,7 +68,7 @@ def manager_contacts(managers: DataFrame, contacts: DataFrame) -> DataFrame:
                     F.col("codice").alias("codigocentro"), F.col("cotgmk").alias("tipogestor"))
 
 
-def milestone_birthdays(person_board: DataFrame, as_of: _dt.date, month_end: str = "clamp") -> DataFrame:
+def milestone_birthdays(person_board: DataFrame, as_of: _dt.date, month_end: str = "last_day") -> DataFrame:
     """Active natural persons who reach the milestone age in ``MILESTONE_LEAD_DAYS`` days."""
     due = F.date_add(F.lit(as_of), P.MILESTONE_LEAD_DAYS)
     cond = ((F.col("cotpmk") == P.PERSON_NATURAL) & (F.col("coh004") == P.PERSON_ACTIVE_CODE)
@@ -97,13 +97,13 @@ def principal_rows(contracts: DataFrame) -> DataFrame:
         F.col("copemk").alias("tt"), "xcoemp", "copser", "idprig")
 
 
-def youth_accounts(balances: DataFrame, contracts: DataFrame) -> DataFrame:
+def youth_accounts(balances: DataFrame, contracts: DataFrame, as_of: _dt.date) -> DataFrame:
     """Youth-product accounts on the newest balance day with their principal holder.
 
     Output ``(Persona, tt, copser, idprig)`` plus product-family 0/1 flags.
-    The newest day is taken over the whole balance table, as the rule did.
+    The newest day is taken over the whole balance table up to ``as_of``.
     """
-    newest = control.newest_scalar(balances, "fevaig")
+    newest = control.newest_scalar(balances, "fevaig", F.col("fevaig") <= F.lit(as_of))
     a = balances.filter((F.col("xcoemp") == P.ENTITY) & F.col("feigfi").isNull()
                         & (F.col("fevaig") == newest) & F.col("ffigco").isNull()
                         & (F.col("cosiig") == P.STATUS_ACTIVE) & F.col("copser").isin(*P.YOUTH_PRODUCTS)
@@ -119,19 +119,19 @@ def youth_accounts(balances: DataFrame, contracts: DataFrame) -> DataFrame:
                     flag(s.isin(*P.YOUTH_PRODUCTS)).alias("total_cuentas"))
 
 
-def programme_newest(programme: DataFrame):
-    """(newest extraction, newest evaluation day) of the programme, as Columns."""
-    key = F.trim("clvpro") == P.PROGRAMME_KEY
-    return (control.newest_scalar(programme, "extractiondate", key),
-            control.newest_scalar(programme, "fevaig", key))
+def programme_newest(programme: DataFrame, as_of: _dt.date):
+    """[newest extraction, newest evaluation day] of the programme up to ``as_of``, as Columns of one scan."""
+    known = ((F.trim("clvpro") == P.PROGRAMME_KEY) & (F.col("fevaig") <= F.lit(as_of))
+             & (F.col("extractiondate") <= as_of.strftime("%Y%m%d")))
+    return control.newest_scalars(programme, ["extractiondate", "fevaig"], known)
 
 
-def programme_rows(programme: DataFrame, passing: bool, newest=None, distinct: bool = True) -> DataFrame:
+def programme_rows(programme: DataFrame, as_of: _dt.date, passing: bool, newest=None, distinct: bool = True) -> DataFrame:
     """Programme evaluations of the newest run: all three criteria met
     (``passing``) or any of four failed.  ``newest`` shares the two newest
     values between calls; ``distinct=False`` when only existence matters."""
     key = F.trim("clvpro") == P.PROGRAMME_KEY
-    newest_ext, newest_eval = newest if newest is not None else programme_newest(programme)
+    newest_ext, newest_eval = newest if newest is not None else programme_newest(programme, as_of)
     if passing:
         crit = (F.col("marin3") == "S") & (F.col("marin5") == "S") & (F.col("marin6") == "S")
     else:
@@ -143,9 +143,9 @@ def programme_rows(programme: DataFrame, passing: bool, newest=None, distinct: b
     return out.distinct() if distinct else out
 
 
-def digital_profiles(customers: DataFrame) -> DataFrame:
-    """Customers with every contact permission on the newest derivation day."""
-    newest = control.newest_scalar(customers, "fecha_derivado")
+def digital_profiles(customers: DataFrame, as_of: _dt.date) -> DataFrame:
+    """Customers with every contact permission on the newest derivation day up to ``as_of``."""
+    newest = control.newest_scalar(customers, "fecha_derivado", F.col("fecha_derivado") <= F.lit(as_of))
     cond = ((F.col("fecha_derivado") == newest) & F.col("telefono_movil_1").isNotNull()
             & (F.col("ds_email") == "SI") & (F.col("ind_cr_electronica") == "S")
             & (F.col("ind_disp_moviles") == "S") & (F.col("ind_telemarketing") == "S")

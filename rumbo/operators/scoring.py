@@ -13,21 +13,23 @@ from ..functions import snapshot_is
 from . import control, dedupe, joins
 
 
-def newest_threshold_date(thresholds: DataFrame) -> Column:
-    """Newest extraction of the LATEST threshold table (see ``control.scalar``)."""
-    return control.newest_scalar(thresholds, "extractiondate", snapshot_is(P.SNAPSHOT_LATEST))
+def newest_threshold_date(thresholds: DataFrame, as_of: _dt.date) -> Column:
+    """Newest extraction of the LATEST threshold table not after ``as_of`` (see ``control.scalar``)."""
+    return control.newest_scalar(thresholds, "extractiondate", snapshot_is(P.SNAPSHOT_LATEST)
+                                 & (F.col("extractiondate") <= as_of.strftime("%Y%m%d")))
 
 
 def propensity_flags(scores: DataFrame, thresholds: DataFrame, *, id_col: str, model_col: str,
                      score_col: str, date_col: str, models: Sequence[str], out_id: str,
-                     flag_name: str, use: str = P.MODEL_USE, ids: DataFrame | None = None) -> DataFrame:
+                     flag_name: str, as_of: _dt.date, use: str = P.MODEL_USE,
+                     ids: DataFrame | None = None) -> DataFrame:
     """``(out_id, 1 AS flag_name)`` for customers with a score at or above the
     threshold of the same model, both taken at the threshold table's newest date.
 
     Scores of a different date give no propensity at all (as in the source
     rule).  The threshold side is at most one row per listed model.
     """
-    when = newest_threshold_date(thresholds)
+    when = newest_threshold_date(thresholds, as_of)
     s = scores.filter(F.col(date_col) == when)
     if ids is not None:       # only the trigger's customers, before the distinct
         who = ids.select(F.col(ids.columns[0]).alias("__i"))
@@ -39,16 +41,16 @@ def propensity_flags(scores: DataFrame, thresholds: DataFrame, *, id_col: str, m
 
 
 def propensity_a(scores_a: DataFrame, thresholds: DataFrame, models: Sequence[str], out_id: str,
-                 flag_name: str, ids: DataFrame | None = None) -> DataFrame:
+                 flag_name: str, as_of: _dt.date, ids: DataFrame | None = None) -> DataFrame:
     return propensity_flags(scores_a, thresholds, id_col="idpers", model_col="idmode", score_col="nupropen",
-                            date_col="extractiondate", models=models, out_id=out_id, flag_name=flag_name, ids=ids)
+                            date_col="extractiondate", models=models, out_id=out_id, flag_name=flag_name, as_of=as_of, ids=ids)
 
 
 def propensity_b(scores_b: DataFrame, thresholds: DataFrame, models: Sequence[str], out_id: str,
-                 flag_name: str, ids: DataFrame | None = None) -> DataFrame:
+                 flag_name: str, as_of: _dt.date, ids: DataFrame | None = None) -> DataFrame:
     return propensity_flags(scores_b, thresholds, id_col="co_cliente", model_col="modelid",
                             score_col="probabilidad", date_col="sessionid", models=models,
-                            out_id=out_id, flag_name=flag_name, ids=ids)
+                            out_id=out_id, flag_name=flag_name, as_of=as_of, ids=ids)
 
 
 WEB_COLUMNS = ["id_cliente", "co_canal", "tl_familia", "tl_seccion0_pagename", "tl_seccion1_pagename",

@@ -86,18 +86,20 @@ def contract_core(src, as_of: _dt.date, since: _dt.date) -> DataFrame:
                     F.col("fiigco").alias("FECHA_CONTRATACION"))
 
 
-def contract_initial_load(src, as_of: _dt.date) -> DataFrame:
-    return contract_core(src, as_of, add_months_date(as_of, -P.INITIAL_LOAD_MONTHS))
+def contract_initial_load(src, as_of: _dt.date, month_end: str = "last_day") -> DataFrame:
+    return contract_core(src, as_of, add_months_date(as_of, -P.INITIAL_LOAD_MONTHS, month_end))
 
 
 def contract_daily_load(src, as_of: _dt.date) -> DataFrame:
     return contract_core(src, as_of, as_of - _dt.timedelta(days=P.DAILY_LOAD_DAYS))
 
 
-def add_months_date(d: _dt.date, months: int) -> _dt.date:
-    """Driver-side add_months with the end-of-month clamp (Spark's rule)."""
+def add_months_date(d: _dt.date, months: int, month_end: str = "last_day") -> _dt.date:
+    """Driver-side ``functions.add_months``."""
     import calendar
     y, m = divmod(d.month - 1 + months, 12)
     y, m = d.year + y, m + 1
-    return _dt.date(y, m, min(d.day, calendar.monthrange(y, m)[1]))
+    last = calendar.monthrange(y, m)[1]
+    at_end = month_end == "last_day" and d.day == calendar.monthrange(d.year, d.month)[1]
+    return _dt.date(y, m, last if at_end else min(d.day, last))
 

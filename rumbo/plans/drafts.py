@@ -24,13 +24,19 @@ MONTHLY_ACCOUNTS = "tbl_IGV0_CP_AHCAD_M"
 CONTRACTING = "tbl_BGTMD_PB150_INICIOCONTRATACIONPRODUCTO_D"
 
 
-def control_dates(src, labels: list[str]) -> DataFrame:
-    """Control table ``(C1 label, C2 newest partition)`` for the listed sources."""
+def _until(df: DataFrame, column: str, as_of: _dt.date) -> DataFrame:
+    """Rows of day partitions (``yyyyMMdd``) up to the run date."""
+    return df.filter(F.col(column) <= as_of.strftime("%Y%m%d"))
+
+
+def control_dates(src, labels: list[str], as_of: _dt.date) -> DataFrame:
+    """Control table ``(C1 label, C2 newest partition up to as_of)`` for the listed sources."""
     by_label = {DOMICILIATIONS: (src.account_domiciliations, "extractiondate"),
                 BOARD: (src.monthly_board, "process_date"),
                 MONTHLY_ACCOUNTS: (src.monthly_accounts, "extractiondate"),
                 CONTRACTING: (src.contracting_events, "dt")}
-    return control.control_table([(lab, *by_label[lab]) for lab in labels], date_type="string")
+    return control.control_table([(lab, _until(*by_label[lab], as_of), by_label[lab][1]) for lab in labels],
+                                 date_type="string")
 
 
 def _newest(ctl: DataFrame, label: str):
@@ -44,7 +50,7 @@ def _managers(src) -> DataFrame:
 
 def young_retention_draft(src, as_of: _dt.date) -> DataFrame:
     """Customers whose birthday (26th) falls on the same day next month."""
-    ctl = control_dates(src, [DOMICILIATIONS, BOARD, MONTHLY_ACCOUNTS, CONTRACTING])
+    ctl = control_dates(src, [DOMICILIATIONS, BOARD, MONTHLY_ACCOUNTS, CONTRACTING], as_of)
     pb = src.person_board.filter(snapshot_is(P.SNAPSHOT_LATEST)
                                  & people.birthday_by_parts("fenac9", as_of, P.DRAFT_AGE_YEARS))
     g = _managers(src)
@@ -59,12 +65,11 @@ def young_retention_draft(src, as_of: _dt.date) -> DataFrame:
         flag(F.col("copser") == "10600").alias("TENENCIA_CUENTA_FACIL"),
         flag(F.col("copser") == "11594").alias("TENENCIA_CUENTA_ON"),
         flag(F.col("copser") == "11229").alias("NOMINA_DOMICILIADA"))
-    board = src.monthly_board
-    c = control.keep_newest(board, "process_date").select(
+    c = control.keep_newest(_until(src.monthly_board, "process_date", as_of), "process_date").select(
         F.col("co_codpers_mt").alias("__c"), F.col("im_saldfinmestotvolrecur_mt").alias("ImporteRecursos"))
-    d = control.keep_newest(src.monthly_accounts, "extractiondate").select(
+    d = control.keep_newest(_until(src.monthly_accounts, "extractiondate", as_of), "extractiondate").select(
         flag(F.col("co1504").isin(*P.DRAFT_INCOME_CODES)).alias("INGRESOS_DOMICILIADOS"), F.col("copemk").alias("__d"))
-    ev = control.keep_newest(src.contracting_events, "dt")
+    ev = control.keep_newest(_until(src.contracting_events, "dt", as_of), "dt")
     f = ev.filter(F.col("co_producto_ursus") == P.DRAFT_ON_CONTRACTING_PRODUCT).select(
         flag(F.col("co_producto_ursus") == P.DRAFT_ON_CONTRACTING_PRODUCT).alias("CONTRATACION_CUENTA_ON"),
         F.col("co_cliente").alias("__f"))
@@ -86,7 +91,7 @@ def young_retention_draft(src, as_of: _dt.date) -> DataFrame:
 def home_insurance_draft(src, as_of: _dt.date) -> DataFrame:
     """Own home policies expiring in 56 days, with portfolio, payroll, tenure,
     consumer-loan and home-purchase propensity indicators (distinct rows)."""
-    ctl = control_dates(src, [BOARD, CONTRACTING])
+    ctl = control_dates(src, [BOARD, CONTRACTING], as_of)
     pol = src.policies
     due = F.date_add(F.lit(as_of), P.DRAFT_HOME_LEAD_DAYS)
     a = pol.filter(snapshot_is(P.SNAPSHOT_LATEST) & F.col("copser").isin(*P.DRAFT_HOME_PRODUCTS)
@@ -94,7 +99,10 @@ def home_insurance_draft(src, as_of: _dt.date) -> DataFrame:
                    & F.col("feprnz").isNotNull() & (F.to_date("feprnz") == due)).select(
         "feprnz", "copemk", "idcoas", "copser")
     g = _managers(src)
-    t = src.customer_attrs.filter(snapshot_is(P.SNAPSHOT_LATEST))
+    # every enrichment is reduced to the day's policy holders before it is grouped or joined
+    a = reuse(a)
+    holders = a.select(F.col("copemk").alias("__holder"))
+    t = joins.semi(src.customer_attrs.filter(snapshot_is(P.SNAPSHOT_LATEST)), holders, [("copemk", "__holder")])
     b = t.join(g, t.cogsmk.try_cast("bigint") == g.COD_GESTOR, "left").select(
         F.when(F.col("cogsmk") == "0", 0).otherwise(1).alias("OPORTUNIDAD_GESTOR"),
         flag(F.col("inlp26") == "1").alias("SEGURO_HOGAR_CARTERA_BANKIA"),
@@ -119,13 +127,15 @@ def home_insurance_draft(src, as_of: _dt.date) -> DataFrame:
                   & (F.col("co_empresa_cont") == "0")).select(
         flag(F.col("co_producto_ursus") == P.DRAFT_CONSUMER_LOAN_PRODUCT).alias("CONTRATACION_PRESTAMO_CONSUMO"),
         F.col("co_cliente").alias("__e"))
-    best = agg.max_per_key(src.scores_b.filter(F.col("modelid").isin(*P.DRAFT_HOME_MODELS)),
+    best = agg.max_per_key(joins.semi(src.scores_b.filter(F.col("modelid").isin(*P.DRAFT_HOME_MODELS)),
+                                      holders, [("co_cliente", "__holder")]),
                            ["co_cliente", "modelid"], "probabilidad", "PROBA")
     f = best.select(F.col("co_cliente").alias("__f"),
                     F.when(F.col("modelid") == "MSGHCHX1", F.col("PROBA")).otherwise(0.0)
                     .alias("COMPRA_SH_CLIENTE_SINPRESTAMO"),
                     F.when(F.col("modelid") == "MSGHSHX1", F.col("PROBA")).otherwise(0.0)
                     .alias("COMPRA_SH_CLIENTE_PRESTAMO"))
+    c, d, e = (joins.semi(x, holders, [(k, "__holder")]) for x, k in ((c, "__c"), (d, "__d"), (e, "__e")))
     j = (a.join(b, a.copemk == b.__b, "left").join(c, a.copemk == c.__c, "left")
          .join(d, a.copemk == d.__d, "left").join(e, a.copemk == e.__e, "left")
          .join(f, a.copemk == f.__f, "left"))

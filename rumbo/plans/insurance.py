@@ -13,7 +13,7 @@ from ..operators import accounts, insurance, joins
 from ..operators.reuse import reuse
 
 
-def home_insurance_expiry(src, as_of: _dt.date, month_end: str = "clamp") -> DataFrame:
+def home_insurance_expiry(src, as_of: _dt.date, month_end: str = "last_day") -> DataFrame:
     """One row per (person, expiry date) with own-policy indicators.
 
     Drops persons already insured at home through the listed insurers, keeps

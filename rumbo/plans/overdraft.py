@@ -59,9 +59,9 @@ def overdraft_journey(src, as_of: _dt.date, compare_abs: bool = False) -> DataFr
     cards = accounts.best_credit_card_limit(src.cards, who).withColumnRenamed("copemk", "__cc")
     loans = accounts.preapproved_loans(src.loans, who).withColumnRenamed("copemk", "__lc")
     prop_a = scoring.propensity_a(src.scores_a, src.model_thresholds, [P.OVERDRAFT_MODEL_SCORES_A],
-                                  "__pa", "PROPENSION_LPP_SAS", ids=who)
+                                  "__pa", "PROPENSION_LPP_SAS", as_of, ids=who)
     prop_b = scoring.propensity_b(src.scores_b, src.model_thresholds, [P.OVERDRAFT_MODEL_SCORES_B],
-                                  "__pb", "PROPENSION_LPP_BD", ids=who)
+                                  "__pb", "PROPENSION_LPP_BD", as_of, ids=who)
     w = worst
     j = (w.join(cover, w.ID_URSUS == cover.__tc, "left")
          .join(cards, w.ID_URSUS == cards.__cc, "left")

@@ -286,7 +286,7 @@ def anti_join_composite(spark, sf_dir):
 @register
 def latest_date_semi(spark, sf_dir):
     """Programme rows of the newest evaluation meeting the criteria."""
-    return people.programme_rows(_src(spark, sf_dir).programme, passing=True)
+    return people.programme_rows(_src(spark, sf_dir).programme, AS_OF, passing=True)
 
 
 # ------------------------------------------------------------ overdraft ops
@@ -342,7 +342,7 @@ def propensity_multi_model(spark, sf_dir):
     """Customers over the threshold of the same model (fund and pension models)."""
     s = _src(spark, sf_dir)
     return scoring.propensity_a(s.scores_a, s.model_thresholds, P.FUND_MODELS_A + P.PENSION_MODELS_A,
-                                "ID_CLIENTE", "PROPENSION")
+                                "ID_CLIENTE", "PROPENSION", AS_OF)
 
 
 @register
@@ -350,7 +350,7 @@ def propensity_single_model(spark, sf_dir):
     """Customers over the single overdraft model's threshold."""
     s = _src(spark, sf_dir)
     return scoring.propensity_b(s.scores_b, s.model_thresholds, [P.OVERDRAFT_MODEL_SCORES_B],
-                                "ID_CLIENTE", "PROPENSION")
+                                "ID_CLIENTE", "PROPENSION", AS_OF)
 
 
 @register
@@ -374,7 +374,7 @@ def yearly_contributions(spark, sf_dir):
 def product_family_flags(spark, sf_dir):
     """Youth-product accounts with family flags."""
     s = _src(spark, sf_dir)
-    return people.youth_accounts(s.account_balance, s.contracts)
+    return people.youth_accounts(s.account_balance, s.contracts, AS_OF)
 
 
 @register

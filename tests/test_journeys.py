@@ -5,10 +5,12 @@ import hashlib
 
 from bank import Bank
 
+from rumbo import params as P
 from rumbo.plans import insurance, overdraft
 
 AS_OF = dt.date(2024, 1, 31)
 D30, D29 = dt.date(2024, 1, 30), dt.date(2024, 1, 29)
+LATER = dt.date(2024, 2, 5)          # extracted after the run date: never read
 
 
 def bal(cust, idprig, day, amount, copser=10300, **kw):
@@ -52,7 +54,9 @@ def test_overdraft_journey_cases(spark):
     thresholds = [dict(idmode="PCONSLPP02", iduso="MEDICION", nupropenmin=0.5, extractiondate="20240130"),
                   dict(idmode="PCONSLPP02", iduso="ENTRENAMIENTO", nupropenmin=0.1, extractiondate="20240130"),
                   dict(idmode="MCOCLFX1", iduso="MEDICION", nupropenmin=0.6, extractiondate="20240130"),
-                  dict(idmode="MCOCLFX1", iduso="MEDICION", nupropenmin=0.0, extractiondate="20240129")]
+                  dict(idmode="MCOCLFX1", iduso="MEDICION", nupropenmin=0.0, extractiondate="20240129"),
+                  dict(idmode="PCONSLPP02", iduso="MEDICION", nupropenmin=0.0, extractiondate="20240205")]
+    scores_a.append(dict(idpers=3, idmode="PCONSLPP02", nupropen=0.9, extractiondate="20240205"))
     bank = Bank(spark, account_balance=balances, contracts=contracts, person_board=people, cards=cards,
                 loans=loans, scores_a=scores_a, scores_b=scores_b, model_thresholds=thresholds)
     got = sorted(tuple(r) for r in overdraft.overdraft_journey(bank, AS_OF).collect())
@@ -102,17 +106,19 @@ def test_young_retention_cases(spark):
                 (3, "000000000003", 11239), (4, "000000000004", 11594), (5, "000000000005", 10600),
                 (6, "000000000006", 11594)]
     balances = [bal(c, i, D30, 10.0, copser=p) for c, i, p in accounts] + [bal(1, "00000000001A", D29, 5.0, copser=11594)]
+    balances.append(bal(1, "00000000001A", LATER, 5.0, copser=11594))
     contracts = [holder(c, i, copser=p) for c, i, p in accounts]
     people = [dict(person(c, cotpmk=2 if c == 6 else 1), fenac9=other if c == 2 else born,
                    casfpt=123456 if c == 1 else 1000) for c in range(1, 7)]
     prog = lambda c, m1="S", day=dt.date(2024, 1, 20): dict(
         copemk=c, fevaig=day, marin1=m1, marin2="S", marin3="S", marin5="S", marin6="S", clvpro="HIBD2 ",
         extractiondate=day.strftime("%Y%m%d"))
-    programme = [prog(1), prog(3, m1="N"), prog(5, day=dt.date(2024, 1, 10))]
+    programme = [prog(1), prog(3, m1="N"), prog(5, day=dt.date(2024, 1, 10)), prog(1, m1="N", day=LATER)]
     digital = dict(telefono_movil_1="600000000", ds_email="SI", ind_cr_electronica="S", ind_disp_moviles="S",
                    ind_telemarketing="S", ind_correspondencia_internet=1, dt=202401)
     customers = [dict(digital, id_cliente=4, fecha_derivado=D30), dict(digital, id_cliente=5, fecha_derivado=D30),
-                 dict(digital, id_cliente=1, fecha_derivado=D30, ds_email="NO")]
+                 dict(digital, id_cliente=1, fecha_derivado=D30, ds_email="NO"),
+                 dict(digital, id_cliente=1, fecha_derivado=LATER)]
     payroll = [dict(copemk=1)]
     bank = Bank(spark, account_balance=balances, contracts=contracts, person_board=people, programme=programme,
                 customers_daily=customers, payroll_contracts=payroll)
@@ -289,6 +295,10 @@ def test_young_retention_draft_cases(spark):
              dict(co_codpers_mt=1, co_cliente=1, im_saldfinmestotvolrecur_mt=50.0, process_date="20231231")]
     monthly = [dict(copemk=1, co1504="105", extractiondate="20240131")]
     events = [dict(co_cliente=1, co_producto_ursus="115594", co_empresa_cont="0", dt="20240130")]
+    for rows in (dom, monthly):
+        rows.append(dict(rows[0], extractiondate="20240205"))
+    board.append(dict(board[0], im_saldfinmestotvolrecur_mt=1.0, process_date="20240229"))
+    events.append(dict(events[0], dt="20240205"))
     bank = Bank(spark, person_board=people, managers=[dict(cogsmk=7, codice="0001", cotgmk="T")],
                 manager_contacts=[dict(cogrmk=7, coemai="g7@x")], account_domiciliations=dom,
                 monthly_board=board, monthly_accounts=monthly, contracting_events=events)
@@ -321,3 +331,18 @@ def test_home_insurance_draft_cases(spark):
     head = (1, "JR000001", due, "0500", "43530", 1, 1, 0, 0, 1, 1, 1500.0, 1, 0, 0, 1)
     # one row per propensity model (max score of each), as the draft joins them
     assert got == sorted([head + (0.7, 0.0, "g7@x"), head + (0.0, 0.2, "g7@x")])
+
+
+def test_month_end_receipts_follow_the_hive_rule(spark):
+    from rumbo.operators.insurance import expiring_receipts
+    from rumbo.plans.core import add_months_date
+    paid = [dt.date(2023, 4, 28), dt.date(2023, 4, 29), dt.date(2023, 4, 30)]
+    bank = Bank(spark, receipts=[receipt(i + 1, "SEGURO HOGAR", "", P.INSURER_TAX_IDS_ALLOWED[0], paid=x) for i, x in enumerate(paid)])
+    due = lambda day, rule: sorted((r.Persona, r.FECHA_VENCIMIENTO) for r in expiring_receipts(
+        bank.receipts, day, rule).collect())
+    assert due(dt.date(2024, 2, 29), "last_day") == [(3, dt.date(2024, 4, 30))]
+    assert due(dt.date(2024, 2, 29), "clamp") == [(2, dt.date(2024, 4, 29))]
+    assert add_months_date(dt.date(2024, 2, 29), -3) == dt.date(2023, 11, 30)
+    assert add_months_date(dt.date(2023, 2, 28), -3) == dt.date(2022, 11, 30)
+    assert add_months_date(dt.date(2024, 2, 29), -3, "clamp") == dt.date(2023, 11, 29)
+    assert add_months_date(dt.date(2024, 5, 31), -3) == dt.date(2024, 2, 29)
