@@ -249,3 +249,74 @@ SELECT DISTINCT due.Persona AS PERSONA, due.FECHA_VENCIMIENTO, {yes('summary.per
 FROM due SEMI JOIN active ON active.person = due.Persona ANTI JOIN own ON own.Persona = due.Persona
 LEFT JOIN summary ON summary.person = due.Persona
 WHERE RAMO IS NOT NULL AND length(Concepto) >= 20""", parts)
+
+
+MAIL = f"""SELECT m.cogsmk AS manager, c.coemai AS mail FROM managers m
+    JOIN manager_contacts c ON c.cogrmk = m.cogsmk AND c.{NOW} WHERE m.{NOW}"""
+
+
+def newest_rows(table: str, partition: str, columns: str) -> str:
+    return f"SELECT {columns} FROM {table} WHERE {partition} = (SELECT max({partition}) FROM {table})"
+
+
+def any_yes(*columns: str) -> str:
+    return yes(f"'1' IN ({', '.join(columns)})")
+
+
+def young_retention_draft(as_of: _dt.date) -> str:
+    birthday = (as_of.day, as_of.month + 1, as_of.year - P.DRAFT_AGE_YEARS)
+    parts = [
+        ("mail_of", MAIL),
+        ("turning", f"""SELECT copemk AS person, fenac9 AS born, {any_yes('in82mk')} AS loyal, {any_yes('in94mk')} AS digital, mail
+            FROM person_board LEFT JOIN mail_of ON manager = cogsmk
+            WHERE {NOW} AND (day(fenac9), month(fenac9), year(fenac9)) = {birthday}"""),
+        ("domiciled", newest_rows("account_domiciliations", "extractiondate", f"""copemk AS person, {yes("copser = '10600'")} AS easy,
+            {yes("copser = '11594'")} AS online, {yes("copser = '11229'")} AS payroll""")
+            + f" AND coddmc = '{P.DRAFT_DOMICILE_OFFICE}' AND copser IN ({listed(P.DRAFT_DOMICILED_PRODUCTS)})"),
+        ("funds", newest_rows("monthly_board", "process_date", "co_codpers_mt AS person, im_saldfinmestotvolrecur_mt AS amount")),
+        ("income", newest_rows("monthly_accounts", "extractiondate",
+                               f"copemk AS person, {yes(f'co1504 IN ({listed(P.DRAFT_INCOME_CODES)})')} AS direct")),
+        ("opened", newest_rows("contracting_events", "dt", "co_cliente AS person, 1 AS started")
+            + f" AND co_producto_ursus = '{P.DRAFT_ON_CONTRACTING_PRODUCT}'"),
+    ]
+    return with_standins(["person_board", "managers", "manager_contacts", "account_domiciliations", "monthly_board", "monthly_accounts",
+                          "contracting_events"], f"""
+SELECT t.person AS ID_URSUS, '{P.JOURNEY_YOUNG}' AS CODIGO_JOURNEY, born AS FECHA_NACIMIENTO, loyal AS TENENCIA_XSER_TU,
+       digital AS CLIENTE_DIGITAL, funds.amount AS IMPORTE_RECURSOS, easy AS TENENCIA_CUENTA_FACIL, online AS TENENCIA_CUENTA_ON,
+       payroll AS NOMINA_DOMICILIADA, direct AS INGRESOS_DOMICILIADOS, started AS CONTRATACION_CUENTA_ON, mail AS EMAIL_GESTOR
+FROM turning t LEFT JOIN opened ON opened.person = t.person LEFT JOIN income ON income.person = t.person
+LEFT JOIN funds ON funds.person = t.person LEFT JOIN domiciled ON domiciled.person = t.person""", parts)
+
+
+def home_insurance_draft(as_of: _dt.date) -> str:
+    parts = [
+        ("mail_of", MAIL),
+        ("due", f"""SELECT copemk AS person, feprnz, idcoas, copser FROM policies WHERE {NOW}
+            AND CAST(feprnz AS DATE) = {date(as_of)} + {P.DRAFT_HOME_LEAD_DAYS}
+            AND copser IN ({listed(P.DRAFT_HOME_PRODUCTS)}) AND NOT idcoas IN ({listed(P.DRAFT_HOME_EXCLUDED_ISSUERS)})"""),
+        ("profile", f"""SELECT copemk AS person, CAST(cogsmk IS DISTINCT FROM '0' AS INTEGER) AS managed, {any_yes('inlp26')} AS insured,
+            {any_yes('in61mk')} AS discount, {any_yes('in77mk')} AS branch, {any_yes('in16mk')} AS insurer, mail
+            FROM customer_attrs LEFT JOIN mail_of ON manager = TRY_CAST(cogsmk AS BIGINT) WHERE {NOW}"""),
+        ("wages", f"""SELECT copemk AS person, imulig AS wage, {yes(f'copser IN ({listed(P.DRAFT_PAYROLL_SERVICES)})')} AS service
+            FROM payroll_amounts WHERE {NOW}"""),
+        ("tenure", newest_rows("monthly_board", "process_date", f"""co_cliente AS person,
+            {any_yes('in_tensegurauto_mt', 'in_tensegurvehisegurauto_mt')} AS car,
+            {any_yes('in_tensegursaludindem_mt', 'in_tensegursaludreemb_mt', 'in_tensegursaludasistsanit_mt')} AS health,
+            {any_yes('in_tensegurotrsegurdecenoprimunic_mt', 'in_tensegurotrsegurdeceprimunic_mt')} AS funeral""")),
+        ("borrowed", newest_rows("contracting_events", "dt", "co_cliente AS person, 1 AS started")
+            + f" AND co_producto_ursus = '{P.DRAFT_CONSUMER_LOAN_PRODUCT}' AND co_empresa_cont = '0'"),
+        ("chance", f"""SELECT co_cliente AS person, modelid, max(probabilidad) AS best FROM scores_b
+            WHERE modelid IN ({listed(P.DRAFT_HOME_MODELS)}) GROUP BY ALL"""),
+    ]
+    return with_standins(["policies", "customer_attrs", "managers", "manager_contacts", "payroll_amounts", "monthly_board",
+                          "contracting_events", "scores_b"], f"""
+SELECT DISTINCT due.person AS ID_URSUS, '{P.JOURNEY_HOME}' AS CODIGO_JOURNEY, feprnz AS FECHA_VEMCIMIENTO,
+       idcoas AS EMISOR_SEGURO_HOGAR, copser AS TIPOLOGIA_SEGURO, managed AS OPORTUNIDAD_GESTOR,
+       insured AS SEGURO_HOGAR_CARTERA_BANKIA, discount AS DESCUENTO_SEGURO, branch AS CLIENTE_RESERVA_COMERCIAL_RED,
+       insurer AS CLIENTE_RESERVA_COMERCIAL_MAPFRE, service AS TENENCIA_SERVICIO_NOMINA, wage AS IMPORTE_NOMINA,
+       car AS TENENCIA_SEGURO_AUTO, health AS TENENCIA_SEGURO_SALUD, funeral AS TENENCIA_SEGURO_DECESOS,
+       started AS CONTRATACION_PRESTAMO_CONSUMO, if(modelid = '{P.DRAFT_HOME_MODELS[0]}', best, if(modelid IS NULL, NULL, 0)) AS COMPRA_SH_CLIENTE_SINPRESTAMO,
+       if(modelid = '{P.DRAFT_HOME_MODELS[1]}', best, if(modelid IS NULL, NULL, 0)) AS COMPRA_SH_CLIENTE_PRESTAMO, mail AS EMAIL_GESTOR
+FROM due LEFT JOIN chance ON chance.person = due.person LEFT JOIN borrowed ON borrowed.person = due.person
+LEFT JOIN tenure ON tenure.person = due.person LEFT JOIN wages ON wages.person = due.person
+LEFT JOIN profile ON profile.person = due.person""", parts)
