@@ -1,12 +1,18 @@
 """Sharding by balanced label propagation under capacity quotas.
 
-Law ``rows``: shard counts differ by one at most.  Linked rows start on hashed
-shards; in each round every active row counts its neighbours' shards (a join of
-the links with the labels) and asks to move to the commonest one, and a shard
-admits as many as its quota leaves free.  Rows without links are filler: they
-are dealt into the gaps last, so the counts come out exact whatever the linked
-rows did, and a group larger than a shard is spread over as few as its members
-agreed on.  The links' cut only falls by moves that neighbours voted for.
+Law ``rows``: shard counts differ by one at most.  Rows of equal text are linked
+with each other, so all rows of a group see the same votes: those of its rows'
+hashed starting shards, each row's own among them.  In each round every group
+that is not settled asks for the commonest of its shards that has room for all
+of it, or, when none has, for another one drawn in proportion to the room; a
+shard admits whole groups as far as its quota goes, and an admitted group is
+settled.  Only settled groups take room, so rows about to leave block nobody,
+and no two groups can swap.  The rounds go on until no group is left that any
+shard has room for; each admits at least one group.  Groups of more than a
+64th of a shard are few (about 64 a shard) and are settled one by one before
+the rounds, the largest first.  Rows without links, and groups that no shard
+has room for, are filler: they are dealt into the gaps last, so the counts come
+out exact whatever the linked rows did.
 
 All numbering (admission order, gaps, slots) is two-level: rows are counted in
 hashed sub-buckets, the few counts are summed, and only sub-buckets are sorted.
@@ -21,76 +27,115 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import free, store
+from .common import store
 
 ROWS_PER_BUCKET = 4000
+LARGE = 64                     # a group of more than a LARGE-th of a shard is settled alone
 
 
-def numbered(df: DataFrame, key: str, row: str, rows: int, name: str, salt: int) -> DataFrame:
-    """Gapless number from 0 within ``key``, in a hashed order of ``row``; ``rows`` sets the sub-buckets."""
+def numbered(df: DataFrame, key: str, row: str, rows: int, name: str, salt: int, size: str | None = None) -> DataFrame:
+    """Gapless number from 0 within ``key``, in a hashed order of ``row``; ``rows`` sets the sub-buckets.
+
+    With ``size`` it is the sum of the sizes before the row.
+    """
     buckets = max(1, -(-rows // ROWS_PER_BUCKET))
     df = df.withColumn("__b", F.pmod(F.xxhash64(row, F.lit(salt)), F.lit(buckets)))
-    counts = df.groupBy(key, "__b").count()
+    counts = df.groupBy(key, "__b").agg((F.sum(size) if size else F.count("*")).alias("count"))
     before = Window.partitionBy(key).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(F.col(key).alias("__k"), F.col("__b").alias("__b2"), F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__s"))
-    inside = F.row_number().over(Window.partitionBy(key, "__b").orderBy(row)) - 1
+    line = Window.partitionBy(key, "__b").orderBy(row)
+    inside = F.sum(size).over(line.rowsBetween(Window.unboundedPreceding, 0)) - F.col(size) if size else F.row_number().over(line) - 1
     return df.withColumn("__i", inside).join(starts, (F.col(key) == F.col("__k")) & (F.col("__b") == F.col("__b2"))).withColumn(
         name, F.col("__s") + F.col("__i")).drop("__b", "__k", "__b2", "__s", "__i")
 
 
-def equal_text_links(rows: DataFrame, row: str, group: str) -> DataFrame:
-    """Links ``(a, b)``: every row of a group of two or more to the group's first row."""
-    hubs = rows.groupBy(group).agg(F.min(row).alias("a"), F.count("*").alias("n")).filter(F.col("n") > 1).select(
-        F.col(group).alias("__g"), "a")
-    return rows.join(hubs, F.col(group) == F.col("__g")).filter(F.col(row) != F.col("a")).select("a", F.col(row).alias("b"))
-
-
-def propagate(links: DataFrame, shards: int, capacity: int, rounds: int = 6, seed: int = 3) -> DataFrame:
-    """``(row, shard)`` of every row with a link; at most about ``capacity`` rows in a shard."""
-    both = store(links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), "shard-links")
-    now = store(both.select(F.col("a").alias("row")).distinct().withColumn(
-        "shard", F.pmod(F.xxhash64("row", F.lit(seed)), F.lit(shards)).cast("int")), "shard-labels")
-    rows = now.count()
-    for k in range(rounds if rows else 0):
-        seen = both.join(now, F.col("b") == F.col("row")).groupBy("a", "shard").count()
-        # the commonest shard; of equals the smaller, so two partners end up together
-        wish = seen.groupBy("a").agg(F.max(F.struct("count", (-F.col("shard")).alias("s"))).alias("w")).select("a", (-F.col("w.s")).alias("wish"))
-        asks = now.join(wish, F.col("row") == F.col("a")).filter(
-            (F.col("wish") != F.col("shard")) & (F.pmod(F.xxhash64("row", F.lit(seed + k)), F.lit(2)) == 0)).select("row", "wish")
-        room = now.groupBy("shard").count().select(F.col("shard").alias("full"), F.greatest(F.lit(0), capacity - F.col("count")).alias("room"))
-        lined = numbered(asks, "wish", "row", rows, "place", seed + k)
-        moves = lined.join(room, F.col("wish") == F.col("full"), "left").filter(
-            F.col("place") < F.coalesce("room", F.lit(capacity))).select(F.col("row").alias("mover"), "wish")
-        after = store(now.join(moves, F.col("row") == F.col("mover"), "left").select(
-            "row", F.coalesce("wish", "shard").cast("int").alias("shard")), "shard-labels")
-        free(now)
-        now = after
-    return now
-
-
-def shard_documents(docs: DataFrame, shards: int = 40, rounds: int = 6, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def groups_of(rows: DataFrame, row: str, group: str, shards: int, seed: int = 3) -> DataFrame:
+    """``(g, n, votes)`` of every group of two or more rows: its starting shards, the commonest (of equals the smaller) first."""
+    label = F.pmod(F.xxhash64(row, F.lit(seed)), F.lit(shards)).cast("int")
+    counts = rows.groupBy(F.col(group).alias("g"), label.alias("shard")).agg(F.count("*").alias("n"))
+    # at most ``shards`` votes in a list
+    votes = F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("less"), "shard")))["shard"]
+    return counts.groupBy("g").agg(F.sum("n").alias("n"), votes.alias("votes")).filter(F.col("n") > 1)
+
+
+def settle(groups: list[tuple[bytes, int, list[int]]], room: list[int], tight: bool = False) -> dict[bytes, int]:
+    """Shard of each group that finds room, the largest group first; ``room`` is used up.
+
+    A group goes to the commonest of its shards with room for it, or else to the
+    roomiest shard; ``tight``: to the shard with the least room that is enough.
+    """
+    out = {}
+    for g, n, votes in sorted(groups, key=lambda x: (-x[1], x[0])):
+        open_ = [s for s in range(len(room)) if room[s] >= n]
+        if not open_:
+            continue
+        rank = {s: i for i, s in enumerate(votes)}
+        shard = min(open_, key=lambda s: (room[s] if tight else 0, rank.get(s, len(room)), -room[s], s))
+        room[shard] -= n
+        out[g] = shard
+    return out
+
+
+def propagate(groups: DataFrame, room: list[int], seed: int = 3) -> tuple[dict[bytes, int], DataFrame | None]:
+    """Shards of the groups ``(g, n, votes)``: of the large ones, and a frame ``(g, shard)`` of the others; ``room`` is used up."""
+    shards, limit = len(room), sum(room) // len(room) // LARGE
+    large = [(bytes(r["g"]), r["n"], r["votes"]) for r in groups.filter(F.col("n") > limit).collect()]
+    start = list(room)
+    alone = settle(large, room)
+    if len(alone) < len(large):
+        # the votes left gaps that are too small: best fit, if it settles more
+        other = list(start)
+        closer = settle(large, other, tight=True)
+        if len(closer) > len(alone):
+            alone, room[:] = closer, other
+    left, moved, k = groups.filter(F.col("n") <= limit), None, 0
+    while True:
+        left = left.filter(F.col("n") <= max(room))
+        size = left.count()
+        if not size:
+            return alone, moved
+        rooms = F.array(*[F.lit(r) for r in room])
+        ends = [sum(room[:s + 1]) for s in range(shards)]
+        fits = lambda s: F.get(rooms, s) >= F.col("n")
+        draw = F.xxhash64("g", F.lit(seed + k))
+        drawn = _interval(F.pmod(draw, F.lit(ends[-1])), ends)
+        open_ = F.filter(F.sequence(F.lit(0), F.lit(shards - 1)), fits)
+        wish = F.coalesce(F.get(F.filter("votes", fits), F.lit(0)), F.when(fits(drawn), drawn),
+                          F.get(open_, F.pmod(draw, F.size(open_)).cast("int")))
+        lined = store(numbered(left.withColumn("wish", wish), "wish", "g", size, "before", seed + k, "n"), "shard-round")
+        admitted = F.col("before") + F.col("n") <= F.get(rooms, F.col("wish"))
+        now = lined.filter(admitted)
+        for r in now.groupBy("wish").agg(F.sum("n").alias("n")).collect():
+            room[r["wish"]] -= r["n"]
+        now = now.select("g", F.col("wish").alias("shard"))
+        moved = now if moved is None else moved.unionByName(now)
+        left = lined.filter(~admitted).select("g", "n", "votes")
+        k += 1
+
+
+def shard_documents(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, size, text_crc32, law, shard, slot, grown_shard)`` for every row; equal texts are linked."""
+    spark = docs.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = store(docs.select(F.col(id_col).alias("id"), (F.octet_length(text) + 16).cast("long").alias("size"),
                              F.crc32(text.cast("binary")).alias("text_crc32"), F.unhex(F.md5(text.cast("binary"))).alias("g"),
                              F.monotonically_increasing_id().alias("row")), "shard-rows")
     n = rows.count()
-    quota = lambda s: F.lit(n // shards) + (s < n % shards).cast("long")
-    labels = propagate(equal_text_links(rows, "row", "g"), shards, n // shards, rounds)
-    # linked rows beyond their shard's quota become filler too
-    lined = numbered(labels, "shard", "row", n, "place", 1)
-    kept = store(lined.filter(F.col("place") < quota(F.col("shard"))).select(F.col("row").alias("kept"), "shard"), "shard-kept")
-    have = kept.groupBy("shard").count()
-    gaps = docs.sparkSession.range(shards).select(F.col("id").cast("int").alias("s")).join(have, F.col("s") == F.col("shard"), "left").select(
-        "s", (quota(F.col("s")) - F.coalesce("count", F.lit(0))).alias("gap"))
-    ends = Window.orderBy("s").rowsBetween(Window.unboundedPreceding, 0)     # one row per shard
-    gaps = store(gaps.withColumn("upto", F.sum("gap").over(ends)).withColumn("from", F.col("upto") - F.col("gap")), "shard-gaps")
-    loose = rows.join(kept, F.col("row") == F.col("kept"), "left_anti").select("row", F.lit(0).alias("all"))
+    room = [n // shards + (s < n % shards) for s in range(shards)]
+    alone, moved = propagate(store(groups_of(rows, "row", "g", shards), "shard-groups"), room)
+    # the large groups' rows stay where they are read: a few groups, broadcast
+    large = F.broadcast(spark.createDataFrame([(g,) for g in alone], "g binary"))
+    shard_of = F.broadcast(spark.createDataFrame(list(alone.items()), "g binary, shard int"))
+    kept = rows.join(shard_of, "g")
+    others = rows.join(large, "g", "left_anti")
+    others = others.withColumn("shard", F.lit(None).cast("int")) if moved is None else others.join(moved, "g", "left")
+    labels = store(kept.unionByName(others).drop("g"), "shard-labels")
+    loose = labels.filter(F.col("shard").isNull()).withColumn("all", F.lit(0))
     filled = numbered(loose, "all", "row", n, "place", 2)
     # at most ``shards`` intervals: one literal array, looked up without a join
-    bounds = [int(r["upto"]) for r in gaps.orderBy("s").collect()]
-    filler = filled.select(F.col("row").alias("kept"), _interval(F.col("place"), bounds).alias("shard"))
-    placed = rows.join(kept.unionByName(filler), F.col("row") == F.col("kept")).select("id", "size", "text_crc32", "row", "shard")
+    bounds = [sum(room[:s + 1]) for s in range(shards)]
+    filler = filled.withColumn("shard", _interval(F.col("place"), bounds)).drop("all", "place")
+    placed = labels.filter(F.col("shard").isNotNull()).unionByName(filler)
     out = numbered(store(placed, "shard-placed"), "shard", "row", n, "slot", 4)
     return out.select(F.col("id").alias(id_col), "size", "text_crc32", F.lit("rows").alias("law"), F.col("shard").cast("int").alias("shard"),
                       F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))

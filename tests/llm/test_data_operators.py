@@ -133,6 +133,33 @@ def test_shards_of_one_large_group(llm):
     check_shards(got, 7)
 
 
+def shards_of_texts(llm, texts, shards):
+    rows = sharding.shard_documents(llm.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), shards=shards).collect()
+    assert sorted(r["doc_id"] for r in rows) == list(range(len(texts)))
+    check_shards(rows, shards)
+    out = defaultdict(set)
+    for r in rows:
+        out[texts[r["doc_id"]]].add(r["shard"])
+    return out
+
+
+@pytest.mark.parametrize("size", [2, 5, 20, 100])
+def test_shards_keep_every_group_that_fits_whole(llm, size):
+    texts = [f"copy {i // size}" if i < 2000 else f"text {i}" for i in range(4000)]
+    assert all(len(s) == 1 for s in shards_of_texts(llm, texts, 10).values())
+
+
+def test_shards_keep_groups_whole_when_every_row_is_linked(llm):
+    got = shards_of_texts(llm, [f"pair {i // 2}" if i < 3000 else f"group {i // 50}" for i in range(6000)], 10)
+    assert all(len(s) == 1 for s in got.values())
+
+
+def test_shards_rounds_end_with_whole_groups(llm):
+    # small groups only, so that the rounds settle them, and as many as the quotas hold
+    got = shards_of_texts(llm, [f"pair {i // 2}" for i in range(8000)], 4)
+    assert all(len(s) == 1 for s in got.values())
+
+
 def test_shards_odd_rows(odd_docs, no_docs):
     rows = sharding.shard_documents(odd_docs, shards=3).collect()
     assert len(rows) == 10
