@@ -10,9 +10,11 @@ settled.  Only settled groups take room, so rows about to leave block nobody,
 and no two groups can swap.  The rounds go on until no group is left that any
 shard has room for; each admits at least one group.  Groups of more than a
 64th of a shard are few (about 64 a shard) and are settled one by one before
-the rounds, the largest first.  Rows without links, and groups that no shard
-has room for, are filler: they are dealt into the gaps last, so the counts come
-out exact whatever the linked rows did.
+the rounds, the largest first.  A group that no shard has room for, such as one
+larger than a shard, fills the roomiest shard and goes on as a group of its
+other rows, so it lies on as few shards as the room allows.  Rows without links
+are filler: they are dealt into the gaps last, so the counts come out exact
+whatever the linked rows did.
 
 All numbering (admission order, gaps, slots) is two-level: rows are counted in
 hashed sub-buckets, the few counts are summed, and only sub-buckets are sorted.
@@ -24,6 +26,8 @@ extra columns are ignored.
 
 from __future__ import annotations
 
+from heapq import heapify, heappop, heappush
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -58,39 +62,54 @@ def groups_of(rows: DataFrame, row: str, group: str, shards: int, seed: int = 3)
     return counts.groupBy("g").agg(F.sum("n").alias("n"), votes.alias("votes")).filter(F.col("n") > 1)
 
 
-def settle(groups: list[tuple[bytes, int, list[int]]], room: list[int], tight: bool = False) -> dict[bytes, int]:
-    """Shard of each group that finds room, the largest group first; ``room`` is used up.
+def settle(groups: list[tuple[bytes, int, list[int]]], room: list[int], tight: bool = False) -> dict[bytes, list[tuple[int, int]]]:
+    """``(shard, rows)`` pieces of each group, the largest group first; ``room`` is used up.
 
     A group goes to the commonest of its shards with room for it, or else to the
     roomiest shard; ``tight``: to the shard with the least room that is enough.
+    When no shard has room for it, it fills the roomiest one and its other rows
+    wait for their turn as a smaller group.
     """
-    out = {}
-    for g, n, votes in sorted(groups, key=lambda x: (-x[1], x[0])):
+    rank = {g: {s: i for i, s in enumerate(votes)} for g, _, votes in groups}
+    out: dict[bytes, list[tuple[int, int]]] = {}
+    line = [(-n, g) for g, n, _ in groups]
+    heapify(line)
+    while line:
+        n, g = heappop(line)
+        n = -n
+        voted = lambda s: (rank[g].get(s, len(room)), -room[s], s)  # noqa: B023, E731
         open_ = [s for s in range(len(room)) if room[s] >= n]
-        if not open_:
-            continue
-        rank = {s: i for i, s in enumerate(votes)}
-        shard = min(open_, key=lambda s: (room[s] if tight else 0, rank.get(s, len(room)), -room[s], s))
+        if open_:
+            shard = min(open_, key=lambda s: (room[s] if tight else 0, *voted(s)))
+        else:
+            shard = min(range(len(room)), key=lambda s: (-room[s], *voted(s)))
+            heappush(line, (room[shard] - n, g))
+        n = min(n, room[shard])
         room[shard] -= n
-        out[g] = shard
+        out.setdefault(g, []).append((shard, n))
     return out
 
 
-def propagate(groups: DataFrame, room: list[int], seed: int = 3) -> tuple[dict[bytes, int], DataFrame | None]:
-    """Shards of the groups ``(g, n, votes)``: of the large ones, and a frame ``(g, shard)`` of the others; ``room`` is used up."""
+def propagate(groups: DataFrame, room: list[int], seed: int = 3) -> tuple[dict[bytes, list[tuple[int, int]]], DataFrame | None]:
+    """Shards of the groups ``(g, n, votes)``: pieces of the large and the cut ones, and a frame ``(g, shard)`` of the others; ``room`` is used up."""
     shards, limit = len(room), sum(room) // len(room) // LARGE
-    large = [(bytes(r["g"]), r["n"], r["votes"]) for r in groups.filter(F.col("n") > limit).collect()]
-    start = list(room)
+    of = lambda df: [(bytes(r["g"]), r["n"], r["votes"]) for r in df.collect()]
+    large, start = of(groups.filter(F.col("n") > limit)), list(room)
     alone = settle(large, room)
-    if len(alone) < len(large):
-        # the votes left gaps that are too small: best fit, if it settles more
+    if any(len(alone[g]) > 1 and n <= max(start) for g, n, _ in large):
+        # the votes left gaps that are too small: best fit, if it cuts less
         other = list(start)
         closer = settle(large, other, tight=True)
-        if len(closer) > len(alone):
+        if sum(map(len, closer.values())) < sum(map(len, alone.values())):
             alone, room[:] = closer, other
     left, moved, k = groups.filter(F.col("n") <= limit), None, 0
     while True:
-        left = left.filter(F.col("n") <= max(room))
+        most = max(room)
+        # fewer groups than shards: together the groups left have at most the room of all shards
+        alone.update(settle(of(left.filter(F.col("n") > most)), room))
+        left = left.filter(F.col("n") <= most)
+        if max(room) < most:
+            continue
         size = left.count()
         if not size:
             return alone, moved
@@ -123,10 +142,16 @@ def shard_documents(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", t
     n = rows.count()
     room = [n // shards + (s < n % shards) for s in range(shards)]
     alone, moved = propagate(store(groups_of(rows, "row", "g", shards), "shard-groups"), room)
-    # the large groups' rows stay where they are read: a few groups, broadcast
+    # the rows of large and cut groups stay where they are read: a few groups, broadcast
+    whole = [(g, p[0][0]) for g, p in alone.items() if len(p) == 1]
+    cut = [(g, [s for s, _ in p], [sum(c for _, c in p[:i + 1]) for i in range(len(p))]) for g, p in alone.items() if len(p) > 1]
+    kept = rows.join(F.broadcast(spark.createDataFrame(whole, "g binary, shard int")), "g")
+    if cut:
+        pieces = F.broadcast(spark.createDataFrame(cut, "g binary, piece array<int>, upto array<long>"))
+        dealt = numbered(rows.join(pieces.select("g"), "g", "left_semi"), "g", "row", n, "place", 1).join(pieces, "g")
+        at = F.size(F.filter("upto", lambda x: x <= F.col("place")))
+        kept = kept.unionByName(dealt.withColumn("shard", F.get("piece", at)).drop("place", "piece", "upto"))
     large = F.broadcast(spark.createDataFrame([(g,) for g in alone], "g binary"))
-    shard_of = F.broadcast(spark.createDataFrame(list(alone.items()), "g binary, shard int"))
-    kept = rows.join(shard_of, "g")
     others = rows.join(large, "g", "left_anti")
     others = others.withColumn("shard", F.lit(None).cast("int")) if moved is None else others.join(moved, "g", "left")
     labels = store(kept.unionByName(others).drop("g"), "shard-labels")

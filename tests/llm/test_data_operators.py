@@ -160,6 +160,27 @@ def test_shards_rounds_end_with_whole_groups(llm):
     assert all(len(s) == 1 for s in got.values())
 
 
+def test_shards_gather_a_text_larger_than_a_shard(llm):
+    got = shards_of_texts(llm, ["hot" if i % 3 == 0 else f"copy {i // 6}" if i < 3000 else f"text {i}" for i in range(6000)], 40)
+    assert len(got.pop("hot")) == 14 and all(len(s) == 1 for s in got.values())
+
+
+def test_shards_cut_few_groups_when_not_all_fit(llm):
+    # shards of 100 rows: eleven groups of 60 on ten of them, pairs and triples fill every gap
+    texts = [f"group {i // 60}" for i in range(660)] + [f"triple {i // 3}" for i in range(300)] + [f"pair {i // 2}" for i in range(40)]
+    got = shards_of_texts(llm, texts, 10)
+    assert sum(len(s) - 1 for s in got.values()) <= 9
+
+
+def test_settle_cuts_only_what_fits_nowhere():
+    room = [10, 10, 11]
+    got = sharding.settle([(b"a", 25, [0, 1, 2]), (b"b", 4, [1, 2]), (b"c", 2, [0])], room)
+    assert got == {b"a": [(2, 11), (0, 10), (1, 4)], b"b": [(1, 4)], b"c": [(1, 2)]} and room == [0, 0, 0]
+    # by votes d is cut, by best fit nothing
+    four = [(b"a", 5, [1]), (b"b", 4, [1]), (b"c", 3, [0]), (b"d", 3, [0])]
+    assert [len(sharding.settle(four, [5, 10], tight)[b"d"]) for tight in (False, True)] == [2, 1]
+
+
 def test_shards_odd_rows(odd_docs, no_docs):
     rows = sharding.shard_documents(odd_docs, shards=3).collect()
     assert len(rows) == 10
