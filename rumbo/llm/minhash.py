@@ -14,7 +14,9 @@ In a bucket every text meets the bucket's first one; by the triangle
 inequality of the Jaccard distance only texts at 2 t - 1 or more from that
 leader, but below t, can be linked to texts that are linked to it, so just
 those meet the leader's followers, and the texts left over go on with the next
-leader until none is left.
+leader until none is left.  Classes need no more; the number of each text's
+links is counted over all pairs of a bucket, in salted blocks, each pair in the
+first band that it shares.
 
 Defined cases: null counts as the empty text; equal texts have equal
 fingerprints and are one node; repeated rows and equal ids are kept and put in
@@ -40,6 +42,7 @@ PERMUTATIONS = 128
 BANDS = 32
 WORDS = 5
 ROWS_PER_RANGE, MOST_RANGES = 500, 4096
+BLOCK = 500                    # texts of a bucket met with as many others in one task when links are counted
 
 
 def functions(permutations: int, seed: int = 41) -> tuple[np.ndarray, np.ndarray]:
@@ -176,12 +179,37 @@ def _jaccard(a: Column, b: Column) -> Column:
     return both / F.greatest(F.size(a) + F.size(b) - both, F.lit(1))
 
 
+def _likeness_of_sets(a: Column, b: Column) -> Column:
+    return F.when((F.size(a) == 0) & (F.size(b) == 0), 1.0).otherwise(_jaccard(a, b))
+
+
+def link_counts(nodes: DataFrame, bands: DataFrame, threshold: float) -> DataFrame:
+    """``(n, links)``: for each node with a link, the nodes that share a band and are at least ``threshold`` alike.
+
+    A bucket's pairs grow with the square of its texts, so they are dealt to
+    cells of two blocks of about ``BLOCK`` texts.
+    """
+    sizes = bands.groupBy("band", "key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"), F.count("*").alias("n")).filter(
+        F.col("n") > 1).select(F.col("band").alias("b2"), F.col("key").alias("k2"), "blocks")
+    own = bands.join(sizes, (F.col("band") == F.col("b2")) & (F.col("key") == F.col("k2"))).select(
+        "node", "band", "key", "blocks", F.pmod(F.xxhash64("node", "band"), F.col("blocks")).cast("int").alias("block"))
+    cells = own.join(nodes, "node").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "node", "band", "key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "s", "k")
+    a, b = (cells.select("band", "key", "low", "high", *[F.col(c).alias(c + x) for c in ("node", "block", "s", "k")]) for x in "ab")
+    pairs = a.join(b, ["band", "key", "low", "high"]).filter(
+        (F.col("nodea") < F.col("nodeb")) & ((F.col("low") == F.col("high")) | (F.col("blocka") != F.col("blockb")))
+        & (F.array_position(F.zip_with("ka", "kb", lambda x, y: x == y), True) == F.col("band") + 1))
+    links = pairs.filter(_likeness_of_sets(F.col("sa"), F.col("sb")) >= threshold)
+    return links.select(F.explode(F.array("nodea", "nodeb")).alias("n")).groupBy("n").agg(F.count("*").alias("links"))
+
+
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, permutations: int = PERMUTATIONS, bands: int = BANDS,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, class_id, links)`` per row: smallest id reachable over links of at least ``threshold``.
 
-    ``links`` counts the verified links of the row's text to other texts that
-    were needed to find its class; texts without words are alike.
+    ``links`` counts all verified links of the row's text: the other texts that
+    share a band with it and are at least ``threshold`` alike.  Texts without
+    words are alike.
     """
     deploy(docs.sparkSession)
     width = permutations // bands
@@ -205,14 +233,14 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, permutations: int =
     rows = store(docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text, F.md5(text.cast("binary"))).alias("node")), "minhash-rows")
     nodes = rows.groupBy("node").agg(F.first("text").alias("text"))
     nodes = store(nodes.select("node", arrow_udf(prepare, "struct<s:array<bigint>,k:array<bigint>>")("text").alias("x")).select("node", "x.s", "x.k"), "minhash-nodes")
-    left = store(nodes.select("node", F.posexplode("k").alias("band", "key")), "minhash-bands")
+    left = all_bands = store(nodes.select("node", F.posexplode("k").alias("band", "key")), "minhash-bands")
     sets = nodes.select(F.col("node").alias("n"), "s")
     found = None
 
     def verified(pairs: DataFrame) -> DataFrame:
         a, b = sets.select(F.col("n").alias("na"), F.col("s").alias("sa")), sets.select(F.col("n").alias("nb"), F.col("s").alias("sb"))
         return pairs.join(a, F.col("a") == F.col("na")).join(b, F.col("b") == F.col("nb")).select(
-            "a", "b", F.when((F.size("sa") == 0) & (F.size("sb") == 0), 1.0).otherwise(_jaccard(F.col("sa"), F.col("sb"))).alias("j"))
+            "a", "b", _likeness_of_sets(F.col("sa"), F.col("sb")).alias("j"))
 
     while True:
         leaders = left.groupBy("band", "key").agg(F.min("node").alias("lead"), F.count("*").alias("n")).filter(F.col("n") > 1).select(
@@ -233,7 +261,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, permutations: int =
     if found is None:
         return rows.select("id", F.min("id").over(Window.partitionBy("node")).alias("class_id"), F.lit(0).cast("long").alias("links"))
     found = store(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "minhash-links")
-    degree = found.select(F.explode(F.array("a", "b")).alias("n")).groupBy("n").agg(F.count("*").alias("links"))
+    degree = link_counts(nodes, all_bands, threshold)
     parts = connected_components(found, "a", "b")
     named = rows.join(parts, rows["node"] == parts["node"], "left").select(
         "id", rows["node"].alias("own"), F.coalesce("component", rows["node"]).alias("component"))

@@ -185,6 +185,15 @@ def test_minhash_classes_against_brute_force(llm, documents, odd_docs, no_docs):
     assert minhash.near_duplicates(odd_docs).count() == 10 and minhash.near_duplicates(no_docs).count() == 0
 
 
+def test_minhash_links_are_all_links_of_a_text(llm, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK", 7, raising=False)
+    base = " ".join(f"w{i}" for i in range(300))
+    texts = [f"{base} end{i}" for i in range(30)] + [f"{base} end0", "quite another text", "", " "]
+    got = {r["id"]: (r["class_id"], r["links"]) for r in minhash.near_duplicates(
+        llm.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got == {**{i: (0, 29) for i in range(31)}, 31: (31, 0), 32: (32, 1), 33: (32, 1)}
+
+
 # ---- 7 SimHash ---------------------------------------------------------------
 
 def simhash_by_hand(text):
