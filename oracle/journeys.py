@@ -320,3 +320,18 @@ SELECT DISTINCT due.person AS ID_URSUS, '{P.JOURNEY_HOME}' AS CODIGO_JOURNEY, fe
 FROM due LEFT JOIN chance ON chance.person = due.person LEFT JOIN borrowed ON borrowed.person = due.person
 LEFT JOIN tenure ON tenure.person = due.person LEFT JOIN wages ON wages.person = due.person
 LEFT JOIN profile ON profile.person = due.person""", parts)
+
+
+def own_policy_expiry(as_of: _dt.date) -> str:
+    parts = [
+        ("due", f"""SELECT copemk, feprnz, idcoas, copser FROM policies WHERE {NOW}
+            AND date_diff('day', {date(as_of)}, CAST(feprnz AS DATE)) = {P.DRAFT_HOME_LEAD_DAYS}
+            AND copser IN ({listed(P.DRAFT_HOME_PRODUCTS)}) AND NOT idcoas IN ({listed(P.DRAFT_HOME_EXCLUDED_ISSUERS)})"""),
+        ("tenure", newest_rows("monthly_board", "process_date", f"""co_cliente AS person,
+            {any_yes('in_tensegurauto_mt', 'in_tensegurvehisegurauto_mt')} AS car,
+            {any_yes('in_tensegursaludindem_mt', 'in_tensegursaludreemb_mt', 'in_tensegursaludasistsanit_mt')} AS health,
+            {any_yes('in_tensegurotrsegurdecenoprimunic_mt', 'in_tensegurotrsegurdeceprimunic_mt')} AS funeral""")),
+    ]
+    return with_standins(["policies", "monthly_board"], """
+SELECT copemk, feprnz, idcoas, copser, car AS TENENCIA_SEGURO_AUTO, health AS TENENCIA_SEGURO_SALUD, funeral AS TENENCIA_SEGURO_DECESOS
+FROM due LEFT JOIN tenure ON person = copemk""", parts)

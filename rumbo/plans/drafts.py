@@ -88,16 +88,42 @@ def young_retention_draft(src, as_of: _dt.date) -> DataFrame:
         "CONTRATACION_CUENTA_ON", "EMAIL_GESTOR")
 
 
+def own_policies_due(src, as_of: _dt.date) -> DataFrame:
+    """Own home policies expiring in 56 days."""
+    pol = src.policies
+    due = F.date_add(F.lit(as_of), P.DRAFT_HOME_LEAD_DAYS)
+    return pol.filter(snapshot_is(P.SNAPSHOT_LATEST) & F.col("copser").isin(*P.DRAFT_HOME_PRODUCTS)
+                      & ~F.col("idcoas").isin(*P.DRAFT_HOME_EXCLUDED_ISSUERS)
+                      & F.col("feprnz").isNotNull() & (F.to_date("feprnz") == due)).select(
+        "feprnz", "copemk", "idcoas", "copser")
+
+
+def insurance_tenure(src, ctl: DataFrame) -> DataFrame:
+    """Car, health and funeral insurance flags of the newest monthly board, by ``__d``."""
+    m = src.monthly_board.filter(F.col("process_date") == _newest(ctl, BOARD))
+    return m.select(
+        flag((F.col("in_tensegurauto_mt") == "1") | (F.col("in_tensegurvehisegurauto_mt") == "1")).alias("TENENCIA_SEGURO_AUTO"),
+        flag((F.col("in_tensegursaludindem_mt") == "1") | (F.col("in_tensegursaludreemb_mt") == "1")
+             | (F.col("in_tensegursaludasistsanit_mt") == "1")).alias("TENENCIA_SEGURO_SALUD"),
+        flag((F.col("in_tensegurotrsegurdecenoprimunic_mt") == "1")
+             | (F.col("in_tensegurotrsegurdeceprimunic_mt") == "1")).alias("TENENCIA_SEGURO_DECESOS"),
+        F.col("co_cliente").alias("__d"))
+
+
+def own_policy_expiry(src, as_of: _dt.date) -> DataFrame:
+    """D38 with D40: own home policies expiring in 56 days and their holders' tenure flags."""
+    a = reuse(own_policies_due(src, as_of))
+    d = insurance_tenure(src, control_dates(src, [BOARD], as_of))
+    d = joins.semi(d, a.select(F.col("copemk").alias("__holder")), [("__d", "__holder")])
+    return a.join(d, a.copemk == d.__d, "left").select(
+        "copemk", "feprnz", "idcoas", "copser", "TENENCIA_SEGURO_AUTO", "TENENCIA_SEGURO_SALUD", "TENENCIA_SEGURO_DECESOS")
+
+
 def home_insurance_draft(src, as_of: _dt.date) -> DataFrame:
     """Own home policies expiring in 56 days, with portfolio, payroll, tenure,
     consumer-loan and home-purchase propensity indicators (distinct rows)."""
     ctl = control_dates(src, [BOARD, CONTRACTING], as_of)
-    pol = src.policies
-    due = F.date_add(F.lit(as_of), P.DRAFT_HOME_LEAD_DAYS)
-    a = pol.filter(snapshot_is(P.SNAPSHOT_LATEST) & F.col("copser").isin(*P.DRAFT_HOME_PRODUCTS)
-                   & ~F.col("idcoas").isin(*P.DRAFT_HOME_EXCLUDED_ISSUERS)
-                   & F.col("feprnz").isNotNull() & (F.to_date("feprnz") == due)).select(
-        "feprnz", "copemk", "idcoas", "copser")
+    a = own_policies_due(src, as_of)
     g = _managers(src)
     # every enrichment is reduced to the day's policy holders before it is grouped or joined
     a = reuse(a)
@@ -113,14 +139,7 @@ def home_insurance_draft(src, as_of: _dt.date) -> DataFrame:
     c = src.payroll_amounts.filter(snapshot_is(P.SNAPSHOT_LATEST)).select(
         flag(F.col("copser").isin(*P.DRAFT_PAYROLL_SERVICES)).alias("TENENCIA_SERVICIO_NOMINA"),
         "imulig", F.col("copemk").alias("__c"))
-    m = src.monthly_board.filter(F.col("process_date") == _newest(ctl, BOARD))
-    d = m.select(
-        flag((F.col("in_tensegurauto_mt") == "1") | (F.col("in_tensegurvehisegurauto_mt") == "1")).alias("TENENCIA_SEGURO_AUTO"),
-        flag((F.col("in_tensegursaludindem_mt") == "1") | (F.col("in_tensegursaludreemb_mt") == "1")
-             | (F.col("in_tensegursaludasistsanit_mt") == "1")).alias("TENENCIA_SEGURO_SALUD"),
-        flag((F.col("in_tensegurotrsegurdecenoprimunic_mt") == "1")
-             | (F.col("in_tensegurotrsegurdeceprimunic_mt") == "1")).alias("TENENCIA_SEGURO_DECESOS"),
-        F.col("co_cliente").alias("__d"))
+    d = insurance_tenure(src, ctl)
     ev = src.contracting_events
     e = ev.filter((F.col("dt") == _newest(ctl, CONTRACTING))
                   & (F.col("co_producto_ursus") == P.DRAFT_CONSUMER_LOAN_PRODUCT)

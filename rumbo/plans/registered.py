@@ -29,6 +29,8 @@ ORDERS_AS_OF = _dt.date(2001, 8, 1)      # newest order day of the raw test tabl
 # no upper bound, as written); a run 11 days before the data ends covers 11 days.
 DAILY_LOAD_AS_OF = AS_OF - _dt.timedelta(days=11)
 BIRTHDAY_DRAFT_AS_OF = _dt.date(2024, 2, 1)
+# A day whose trigger finds own home policies at every scale (5 at sf0.01).
+OWN_EXPIRY_AS_OF = _dt.date(2024, 4, 7)
 SCORE_PIVOT_MODELS = {"MSGHCHX1": "COMPRA_SH_CLIENTE_SINPRESTAMO", "MSGHSHX1": "COMPRA_SH_CLIENTE_PRESTAMO"}
 # Priority digit of an order -> youth product (5 has none), for the account-mix operator.
 PRIORITY_PRODUCT = {"1": "11594", "2": "11239", "3": "10300", "4": "10600"}
@@ -430,6 +432,12 @@ def expiring_policy_trigger(spark, sf_dir):
     return insurance.expiring_receipts(_src(spark, sf_dir).receipts, AS_OF)
 
 
+@register
+def own_policy_expiry(spark, sf_dir):
+    """Own home policies expiring in 56 days with their holders' tenure flags."""
+    return drafts.own_policy_expiry(_src(spark, sf_dir), OWN_EXPIRY_AS_OF)
+
+
 @register
 def policy_threshold_flags(spark, sf_dir):
     """Per-holder premium threshold flags of own policies."""

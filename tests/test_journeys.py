@@ -7,6 +7,7 @@ from bank import Bank
 
 from rumbo import params as P
 from rumbo.plans import insurance, overdraft
+from rumbo.plans.registered import OWN_EXPIRY_AS_OF, REGISTRY
 
 AS_OF = dt.date(2024, 1, 31)
 D30, D29 = dt.date(2024, 1, 30), dt.date(2024, 1, 29)
@@ -346,3 +347,12 @@ def test_month_end_receipts_follow_the_hive_rule(spark):
     assert add_months_date(dt.date(2023, 2, 28), -3) == dt.date(2022, 11, 30)
     assert add_months_date(dt.date(2024, 2, 29), -3, "clamp") == dt.date(2023, 11, 29)
     assert add_months_date(dt.date(2024, 5, 31), -3) == dt.date(2024, 2, 29)
+
+
+def test_own_policy_expiry_has_rows(spark, sf_dir):
+    """D38 and D40 have a key of their own that selects rows of the stand-ins."""
+    rows = REGISTRY["own_policy_expiry"](spark, sf_dir).collect()
+    due = OWN_EXPIRY_AS_OF + dt.timedelta(days=P.DRAFT_HOME_LEAD_DAYS)
+    assert rows and {r["feprnz"] for r in rows} == {due} and {r["copser"] for r in rows} <= set(P.DRAFT_HOME_PRODUCTS)
+    flags = {f: {r[f] for r in rows} for f in ("TENENCIA_SEGURO_AUTO", "TENENCIA_SEGURO_SALUD", "TENENCIA_SEGURO_DECESOS")}
+    assert all(v <= {0, 1, None} for v in flags.values()) and any(v - {None} for v in flags.values()), flags
