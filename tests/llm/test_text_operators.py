@@ -100,7 +100,36 @@ def test_toxicity_on_held_out_labels(llm, sf_dir):
     assert own and sum(r["toxic"] == r["label"] for r in own) / len(own) > 0.95
     assert all(0 <= r["severity"] <= 3 and r["toxic"] == int(r["score"] >= 0.5) for r in rows)
     mean = lambda v: sum(v) / len(v)
-    assert mean([r["severity"] for r in rows if r["label"]]) > 0.7 > 0.2 > mean([r["severity"] for r in rows if not r["label"]])
+    for some in (rows, own):
+        assert mean([r["severity"] for r in some if r["label"]]) > 0.7 > 0.2 > mean([r["severity"] for r in some if not r["label"]])
+    # of a toxic and a clean held-out row the toxic one is graded higher, nearly always
+    pairs = [(a["severity"] > b["severity"]) for a in own if a["label"] for b in own if not b["label"]]
+    assert mean(pairs) > 0.97
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_toxicity_learns_from_any_fold(llm, sf_dir, documents, seed):
+    labels = llm.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
+    out = F.pmod(F.xxhash64("doc_id", F.lit(100 + seed)), F.lit(5)) == 0
+    model = toxicity.fit(documents, labels.filter(~out), held=F.lit(False))
+    scored = toxicity.score_documents(documents, labels, model=model).withColumnRenamed("toxic", "called")
+    rows = scored.join(labels.filter(out), "doc_id").collect()      # none of them was learned from
+    assert len(rows) > 50 and sum(r["called"] == r["toxic"] for r in rows) / len(rows) > 0.95
+
+
+def test_toxicity_sample_is_bounded_per_labelled_id(llm):
+    docs = llm.createDataFrame([(i % 3, f"word{i} common words") for i in range(900)], "doc_id long, text string")
+    labels = llm.createDataFrame([(0, 1), (1, 0), (2, 0), (3, 1), (4, 0)], "doc_id long, toxic int")
+    sample = toxicity._sample(docs, labels, rows_per_class=1, label="toxic").collect()
+    assert len(sample) <= 2 and len({r["y"] for r in sample}) == len(sample)
+
+
+def test_best_cut_by_hand():
+    z, y = np.array([-3.0, -1.0, 0.5, 2.0, 4.0]), np.array([0, 0, 1, 0, 1])
+    assert toxicity.best_cut(z, y) == (1, -0.25) or toxicity.best_cut(z, y)[0] == 1
+    for cut in (toxicity.best_cut(z, y)[1],):
+        assert ((z >= cut) != y).sum() == 1
+    assert toxicity.best_cut(np.zeros(4), np.array([0, 0, 0, 1])) == (1, 0.0)
 
 
 def test_toxicity_odd_rows(llm, odd_docs, no_docs):
