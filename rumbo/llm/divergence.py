@@ -54,18 +54,19 @@ def distinct_texts(docs: DataFrame, text_col: str = "text", lang_col: str = "lan
     return texts.join(held, ["lang", "digest"]).select("lang", "text", "held")
 
 
-def _summed(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys and the exact sum of their weights."""
+def _summed(keys: np.ndarray, *weights: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct keys and the exact sums of their weights."""
     if not len(keys):
-        return keys, weights
+        return keys, *weights
     order = np.argsort(keys, kind="stable")
     keys = keys[order]
     first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-    return keys[first], np.add.reduceat(weights[order], first)
+    return keys[first], *[np.add.reduceat(w[order], first) for w in weights]
 
 
 def _count(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """``(lang, source, term, n)`` of some distinct texts; with a null source ``n`` counts documents, else occurrences."""
+    """``(lang, source, term, n, df)`` of some distinct texts: occurrences in the source, and the documents of the
+    texts that the source is the first holder of, so that a term's ``df`` adds up to its documents in the language."""
     text, held = batch.column("text"), batch.column("held")
     parts = pc.split_pattern_regex(pc.ascii_lower(text), BETWEEN)
     owner = np.repeat(np.arange(len(text)), pc.list_value_length(parts).to_numpy(zero_copy_only=False))
@@ -84,18 +85,16 @@ def _count(batch: pa.RecordBatch) -> pa.RecordBatch:
     copies = cells.field("n").to_numpy(zero_copy_only=False).astype(np.int64)
     start = np.cumsum(holders) - holders
     in_all = np.add.reduceat(copies, start) if len(copies) else np.zeros(0, np.int64)     # every text has a holder
-    df_key, df = _summed(lang[doc] * n_terms + term, in_all[doc])
     times = holders[doc]
     row = np.repeat(np.arange(len(doc)), times)
     cell = start[doc][row] + np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
     n_sources = max(len(sources.dictionary), 1)
-    key, count = _summed((lang[doc][row] * n_sources + source[cell]) * n_terms + term[row], n[row] * copies[cell])
+    first = np.where(cell == start[doc][row], in_all[doc][row], 0)
+    key, count, df = _summed((lang[doc][row] * n_sources + source[cell]) * n_terms + term[row], n[row] * copies[cell], first)
     group = key // n_terms
     return pa.record_batch({
-        "lang": langs.dictionary.take(pa.array(np.concatenate((df_key // n_terms, group // n_sources)))),
-        "source": pa.concat_arrays([pa.nulls(len(df_key), pa.string()), sources.dictionary.take(pa.array(group % n_sources)).cast(pa.string())]),
-        "term": terms.take(pa.array(np.concatenate((df_key % n_terms, key % n_terms)))),
-        "n": pa.array(np.concatenate((df, count)), pa.int64())})
+        "lang": langs.dictionary.take(pa.array(group // n_sources)), "source": sources.dictionary.take(pa.array(group % n_sources)),
+        "term": terms.take(pa.array(key % n_terms)), "n": pa.array(count, pa.int64()), "df": pa.array(df, pa.int64())})
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -109,18 +108,16 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def term_counts(texts: DataFrame) -> DataFrame:
-    """``(lang, source, term, n)`` over :func:`distinct_texts`: occurrences, or document frequency where source is null."""
+    """``(lang, source, term, n, df)`` over :func:`distinct_texts`; ``df`` adds up over a language's sources."""
     deploy(texts.sparkSession)
-    partial = texts.mapInArrow(_counted, "lang string, source string, term string, n long")
-    return partial.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"))
+    partial = texts.mapInArrow(_counted, "lang string, source string, term string, n long, df long")
+    return partial.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("df").alias("df"))
 
 
 def postings(counts: DataFrame, min_documents: int) -> DataFrame:
     """``(lang, term, total, held)`` of the terms in at least ``min_documents`` documents of their language."""
-    own = F.col("source").isNotNull()
     return counts.groupBy("lang", "term").agg(
-        F.sum(F.when(~own, F.col("n"))).alias("df"), F.sum(F.when(own, F.col("n"))).alias("total"),
-        F.collect_list(F.when(own, F.struct("source", "n"))).alias("held")).filter(     # at most one entry a source
+        F.sum("df").alias("df"), F.sum("n").alias("total"), F.collect_list(F.struct("source", "n")).alias("held")).filter(  # at most one entry a source
         F.col("df") >= min_documents).drop("df")
 
 
