@@ -37,6 +37,7 @@ from .common import deploy, store
 # What lies between two terms: terms are runs of ASCII letters and of all characters beyond ASCII.
 BETWEEN = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 SLICE_BYTES = 8 << 20
+HELD_ROWS = 500_000
 
 
 def distinct_texts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
@@ -97,21 +98,43 @@ def _count(batch: pa.RecordBatch) -> pa.RecordBatch:
         "term": terms.take(pa.array(key % n_terms)), "n": pa.array(count, pa.int64()), "df": pa.array(df, pa.int64())})
 
 
+def _combined(parts: list[pa.RecordBatch]) -> pa.Table:
+    """The parts' counts added up by language, source and term."""
+    table = pa.Table.from_batches(parts).group_by(["lang", "source", "term"], use_threads=False).aggregate([("n", "sum"), ("df", "sum")])
+    return table.select(["lang", "source", "term", "n_sum", "df_sum"]).rename_columns(["lang", "source", "term", "n", "df"])
+
+
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of a task's texts, combined as they come; at most about ``2 * HELD_ROWS`` rows are held."""
+    held: list[pa.RecordBatch] = []
+    rows = 0
     for batch in batches:
         ends = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False).astype(np.int64))
         i = 0
         while i < batch.num_rows:       # at most SLICE_BYTES of text at once, or one longer text
             j = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + SLICE_BYTES, "right")))
-            yield _count(batch.slice(i, j - i))
+            held.append(_count(batch.slice(i, j - i)))
+            rows += held[-1].num_rows
             i = j
+            if rows > 2 * HELD_ROWS:
+                table = _combined(held)
+                held, rows = table.to_batches(), table.num_rows
+                if rows > HELD_ROWS:
+                    yield from held
+                    held, rows = [], 0
+    if held:
+        yield from _combined(held).to_batches(max_chunksize=100_000)
 
 
 def term_counts(texts: DataFrame) -> DataFrame:
-    """``(lang, source, term, n, df)`` over :func:`distinct_texts`; ``df`` adds up over a language's sources."""
+    """``(lang, source, term, n, df)`` over :func:`distinct_texts`; ``df`` adds up over a language's sources.
+
+    Rows are combined in their task, then dealt by language and term, which serves this sum and the
+    postings after it: a frequent term brings a task one row for each source and task.
+    """
     deploy(texts.sparkSession)
     partial = texts.mapInArrow(_counted, "lang string, source string, term string, n long, df long")
-    return partial.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("df").alias("df"))
+    return partial.repartition("lang", "term").groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("df").alias("df"))
 
 
 def postings(counts: DataFrame, min_documents: int) -> DataFrame:
