@@ -11,12 +11,15 @@ Parquet partition pruning and row-group skipping act statically.
 
 from __future__ import annotations
 
+import datetime as _dt
 import os
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.newest import UNKNOWN
+
 # How a newest value reaches the consumers: "subquery" (default) keeps it as
 # a lazy scalar subquery, run asynchronously when the query starts and used
 # for runtime partition pruning; "literal" collects the one-row aggregate
@@ -81,6 +84,36 @@ def keep_newest(df: DataFrame, column: str, control: DataFrame | None = None,
     return df.join(F.broadcast(ctl), F.col(column) == F.col("__newest"), "left_semi")
 
 
+def newest_of(src, table: str, column: str, at_most=None, equal: dict | None = None, mode: str | None = None) -> Column:
+    """Newest value of ``column`` not after ``at_most`` among the rows ``equal`` names, as a Column.
+
+    A literal where ``src`` can tell it without reading the table
+    (``src.newest``); otherwise the aggregate over the table, see :func:`newest_scalar`.
+    """
+    find = getattr(src, "newest", None)
+    value = find(table, column, at_most, equal) if find is not None else UNKNOWN
+    df = getattr(src, table)
+    if value is not UNKNOWN:
+        return F.lit(value).cast(df.schema[column].dataType)
+    conds = [F.col(c) == F.lit(v) for c, v in (equal or {}).items()]
+    conds += [F.col(column) <= F.lit(at_most)] if at_most is not None else []
+    return newest_scalar(df, column, reduce(lambda a, b: a & b, conds) if conds else None, mode)
+
+
+def newest_days_where(src, table: str, days: dict[str, str | None], until: _dt.date, where: Column,
+                      mode: str | None = None) -> list[Column]:
+    """Newest value not after ``until`` of several day columns over the rows ``where`` holds, as Columns.
+
+    ``days`` maps a column to the pattern of its text, or to None for a date.
+    """
+    df = getattr(src, table)
+    find = getattr(src, "newest_where", None)
+    if find is not None:
+        return [F.lit(v).cast(df.schema[c].dataType) for c, v in zip(days, find(table, days, until, where))]
+    bound = reduce(lambda a, b: a & b, [F.col(c) <= F.lit(until.strftime(p) if p else until) for c, p in days.items()])
+    return newest_scalars(df, list(days), where & bound, mode)
+
+
 def control_table(entries: list[tuple[str, DataFrame, str]], date_type: str = "date") -> DataFrame:
     """UNION ALL of (label, newest value) rows, one per source (``C1``, ``C2``).
 
@@ -99,3 +132,6 @@ def control_entry(control: DataFrame, label: str) -> DataFrame:
     return control.filter(F.col("C1") == label).select("C2")
 
 
+def control_row(spark, label: str, value: Column, date_type: str = "string") -> DataFrame:
+    """One ``(C1, C2)`` row of a control table from a known newest value."""
+    return spark.range(1).select(F.lit(label).alias("C1"), value.cast(date_type).alias("C2"))

@@ -97,13 +97,14 @@ def principal_rows(contracts: DataFrame) -> DataFrame:
         F.col("copemk").alias("tt"), "xcoemp", "copser", "idprig")
 
 
-def youth_accounts(balances: DataFrame, contracts: DataFrame, as_of: _dt.date) -> DataFrame:
+def youth_accounts(src, as_of: _dt.date) -> DataFrame:
     """Youth-product accounts on the newest balance day with their principal holder.
 
     Output ``(Persona, tt, copser, idprig)`` plus product-family 0/1 flags.
     The newest day is taken over the whole balance table up to ``as_of``.
     """
-    newest = control.newest_scalar(balances, "fevaig", F.col("fevaig") <= F.lit(as_of))
+    balances, contracts = src.account_balance, src.contracts
+    newest = control.newest_of(src, "account_balance", "fevaig", as_of)
     a = balances.filter((F.col("xcoemp") == P.ENTITY) & F.col("feigfi").isNull()
                         & (F.col("fevaig") == newest) & F.col("ffigco").isNull()
                         & (F.col("cosiig") == P.STATUS_ACTIVE) & F.col("copser").isin(*P.YOUTH_PRODUCTS)
@@ -119,19 +120,19 @@ def youth_accounts(balances: DataFrame, contracts: DataFrame, as_of: _dt.date) -
                     flag(s.isin(*P.YOUTH_PRODUCTS)).alias("total_cuentas"))
 
 
-def programme_newest(programme: DataFrame, as_of: _dt.date):
-    """[newest extraction, newest evaluation day] of the programme up to ``as_of``, as Columns of one scan."""
-    known = ((F.trim("clvpro") == P.PROGRAMME_KEY) & (F.col("fevaig") <= F.lit(as_of))
-             & (F.col("extractiondate") <= as_of.strftime("%Y%m%d")))
-    return control.newest_scalars(programme, ["extractiondate", "fevaig"], known)
+def programme_newest(src, as_of: _dt.date) -> list:
+    """[newest extraction, newest evaluation day] of the programme up to ``as_of``, as Columns."""
+    return control.newest_days_where(src, "programme", {"extractiondate": "%Y%m%d", "fevaig": None}, as_of,
+                                     F.trim("clvpro") == P.PROGRAMME_KEY)
 
 
-def programme_rows(programme: DataFrame, as_of: _dt.date, passing: bool, newest=None, distinct: bool = True) -> DataFrame:
+def programme_rows(src, as_of: _dt.date, passing: bool, newest=None, distinct: bool = True) -> DataFrame:
     """Programme evaluations of the newest run: all three criteria met
     (``passing``) or any of four failed.  ``newest`` shares the two newest
     values between calls; ``distinct=False`` when only existence matters."""
+    programme = src.programme
     key = F.trim("clvpro") == P.PROGRAMME_KEY
-    newest_ext, newest_eval = newest if newest is not None else programme_newest(programme, as_of)
+    newest_ext, newest_eval = newest if newest is not None else programme_newest(src, as_of)
     if passing:
         crit = (F.col("marin3") == "S") & (F.col("marin5") == "S") & (F.col("marin6") == "S")
     else:
@@ -143,9 +144,10 @@ def programme_rows(programme: DataFrame, as_of: _dt.date, passing: bool, newest=
     return out.distinct() if distinct else out
 
 
-def digital_profiles(customers: DataFrame, as_of: _dt.date) -> DataFrame:
+def digital_profiles(src, as_of: _dt.date) -> DataFrame:
     """Customers with every contact permission on the newest derivation day up to ``as_of``."""
-    newest = control.newest_scalar(customers, "fecha_derivado", F.col("fecha_derivado") <= F.lit(as_of))
+    customers = src.customers_daily
+    newest = control.newest_of(src, "customers_daily", "fecha_derivado", as_of)
     cond = ((F.col("fecha_derivado") == newest) & F.col("telefono_movil_1").isNotNull()
             & (F.col("ds_email") == "SI") & (F.col("ind_cr_electronica") == "S")
             & (F.col("ind_disp_moviles") == "S") & (F.col("ind_telemarketing") == "S")

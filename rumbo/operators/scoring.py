@@ -13,23 +13,21 @@ from ..functions import snapshot_is
 from . import control, dedupe, joins
 
 
-def newest_threshold_date(thresholds: DataFrame, as_of: _dt.date) -> Column:
-    """Newest extraction of the LATEST threshold table not after ``as_of`` (see ``control.scalar``)."""
-    return control.newest_scalar(thresholds, "extractiondate", snapshot_is(P.SNAPSHOT_LATEST)
-                                 & (F.col("extractiondate") <= as_of.strftime("%Y%m%d")))
+def newest_threshold_date(src, as_of: _dt.date) -> Column:
+    """Newest extraction of the LATEST threshold table not after ``as_of`` (see ``control.newest_of``)."""
+    return control.newest_of(src, "model_thresholds", "extractiondate", as_of.strftime("%Y%m%d"), {"snapshot": P.SNAPSHOT_LATEST})
 
 
 def propensity_flags(scores: DataFrame, thresholds: DataFrame, *, id_col: str, model_col: str,
                      score_col: str, date_col: str, models: Sequence[str], out_id: str,
-                     flag_name: str, as_of: _dt.date, use: str = P.MODEL_USE,
+                     flag_name: str, when: Column, use: str = P.MODEL_USE,
                      ids: DataFrame | None = None) -> DataFrame:
     """``(out_id, 1 AS flag_name)`` for customers with a score at or above the
-    threshold of the same model, both taken at the threshold table's newest date.
+    threshold of the same model, both taken at ``when``, the threshold table's newest date.
 
     Scores of a different date give no propensity at all (as in the source
     rule).  The threshold side is at most one row per listed model.
     """
-    when = newest_threshold_date(thresholds, as_of)
     s = scores.filter(F.col(date_col) == when)
     if ids is not None:       # only the trigger's customers, before the distinct
         who = ids.select(F.col(ids.columns[0]).alias("__i"))
@@ -41,38 +39,36 @@ def propensity_flags(scores: DataFrame, thresholds: DataFrame, *, id_col: str, m
 
 
 def propensity_a(scores_a: DataFrame, thresholds: DataFrame, models: Sequence[str], out_id: str,
-                 flag_name: str, as_of: _dt.date, ids: DataFrame | None = None) -> DataFrame:
+                 flag_name: str, when: Column, ids: DataFrame | None = None) -> DataFrame:
     return propensity_flags(scores_a, thresholds, id_col="idpers", model_col="idmode", score_col="nupropen",
-                            date_col="extractiondate", models=models, out_id=out_id, flag_name=flag_name, as_of=as_of, ids=ids)
+                            date_col="extractiondate", models=models, out_id=out_id, flag_name=flag_name, when=when, ids=ids)
 
 
 def propensity_b(scores_b: DataFrame, thresholds: DataFrame, models: Sequence[str], out_id: str,
-                 flag_name: str, as_of: _dt.date, ids: DataFrame | None = None) -> DataFrame:
+                 flag_name: str, when: Column, ids: DataFrame | None = None) -> DataFrame:
     return propensity_flags(scores_b, thresholds, id_col="co_cliente", model_col="modelid",
                             score_col="probabilidad", date_col="sessionid", models=models,
-                            out_id=out_id, flag_name=flag_name, as_of=as_of, ids=ids)
+                            out_id=out_id, flag_name=flag_name, when=when, ids=ids)
 
 
 WEB_COLUMNS = ["id_cliente", "co_canal", "tl_familia", "tl_seccion0_pagename", "tl_seccion1_pagename",
                "tl_seccion2_pagename", "tl_seccion3_pagename", "tl_seccion4_pagename", "tl_proceso_post"]
 
 
-def web_day(web_hits: DataFrame, as_of: _dt.date) -> Column:
+def web_day(src, as_of: _dt.date) -> Column:
     """Newest extraction day of the web hits not after ``as_of``."""
-    return control.newest_scalar(web_hits, "fe_adobe_extraction_dia",
-                                 F.col("fe_adobe_extraction_dia") <= as_of.strftime("%Y%m%d"))
+    return control.newest_of(src, "web_hits", "fe_adobe_extraction_dia", as_of.strftime("%Y%m%d"))
 
 
-def web_interest(web_hits: DataFrame, as_of: _dt.date, family: str,
-                 excluded_processes: Sequence[str] = (), day: str | None = None) -> DataFrame:
-    """Best web hit per customer in a product family on the newest web day.
+def web_interest(web_hits: DataFrame, day: str | Column, family: str,
+                 excluded_processes: Sequence[str] = ()) -> DataFrame:
+    """Best web hit per customer in a product family on a web day (the newest, :func:`web_day`).
 
     Business sections and "my products" pages are excluded, as are the listed
     processes (a NULL process fails ``NOT IN`` and is dropped, as in SQL).
     Ties are broken by the remaining columns so the choice is deterministic.
     """
-    d = F.lit(day) if day is not None else web_day(web_hits, as_of)
-    cond = ((F.col("fe_adobe_extraction_dia") == d) & (F.col("tl_familia") == family)
+    cond = ((F.col("fe_adobe_extraction_dia") == (F.lit(day) if isinstance(day, str) else day)) & (F.col("tl_familia") == family)
             & (F.col("tl_seccion1_pagename") != P.WEB_EXCLUDED_SECTION1)
             & (F.col("tl_seccion2_pagename") != P.WEB_EXCLUDED_SECTION2))
     if excluded_processes:

@@ -21,8 +21,7 @@ def customer_core(src, as_of: _dt.date, dt: int | None = None, dedupe_details: b
     ``dedupe_details`` keeps one per customer.
     """
     cust = src.customers_daily
-    part = F.lit(dt) if dt is not None else control.newest_scalar(
-        cust, "dt", F.col("dt") <= int(as_of.strftime("%Y%m")))
+    part = F.lit(dt) if dt is not None else control.newest_of(src, "customers_daily", "dt", int(as_of.strftime("%Y%m")))
     latest = people.latest_customers(cust, part).filter(F.col("fecha_fallecimiento").isNull())
     managers = people.manager_contacts(src.managers, src.manager_contacts)
     det1 = src.customer_attrs.filter(snapshot_is(P.SNAPSHOT_LATEST) & (F.col("xcoemp") == P.ENTITY)).select(
@@ -31,8 +30,8 @@ def customer_core(src, as_of: _dt.date, dt: int | None = None, dedupe_details: b
     det2 = src.value_managers.filter(snapshot_is(P.SNAPSHOT_LATEST) & F.col("ffcpmk").isNull()).select(
         F.col("copemk").alias("CodCliente2"), F.col("cogsmk").alias("CodGestor_Valor"))
     if dedupe_details:
-        det1 = det1.dropDuplicates(["codCliente"])
-        det2 = det2.dropDuplicates(["CodCliente2"])
+        det1 = dedupe.first_row_per_key(det1, ["codCliente"], [F.col(c).asc_nulls_last() for c in det1.columns[1:]])
+        det2 = dedupe.first_row_per_key(det2, ["CodCliente2"], [F.col("CodGestor_Valor").asc_nulls_last()])
     j = (latest.join(managers, latest.idgestor == managers.codgestor, "left")
          .join(det1, latest.idcliente == det1.codCliente, "left"))
     # value-manager rows fan out per customer (as the rule reads them): a hot

@@ -9,6 +9,7 @@ grain the sources give (no de-duplication), as the drafts were written.
 from __future__ import annotations
 
 import datetime as _dt
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,23 +25,26 @@ MONTHLY_ACCOUNTS = "tbl_IGV0_CP_AHCAD_M"
 CONTRACTING = "tbl_BGTMD_PB150_INICIOCONTRATACIONPRODUCTO_D"
 
 
-def _until(df: DataFrame, column: str, as_of: _dt.date) -> DataFrame:
-    """Rows of day partitions (``yyyyMMdd``) up to the run date."""
-    return df.filter(F.col(column) <= as_of.strftime("%Y%m%d"))
+# FIXED VALUES: control label -> table and its day partition.
+CONTROL_SOURCES = {DOMICILIATIONS: ("account_domiciliations", "extractiondate"), BOARD: ("monthly_board", "process_date"),
+                   MONTHLY_ACCOUNTS: ("monthly_accounts", "extractiondate"), CONTRACTING: ("contracting_events", "dt")}
 
 
 def control_dates(src, labels: list[str], as_of: _dt.date) -> DataFrame:
     """Control table ``(C1 label, C2 newest partition up to as_of)`` for the listed sources."""
-    by_label = {DOMICILIATIONS: (src.account_domiciliations, "extractiondate"),
-                BOARD: (src.monthly_board, "process_date"),
-                MONTHLY_ACCOUNTS: (src.monthly_accounts, "extractiondate"),
-                CONTRACTING: (src.contracting_events, "dt")}
-    return control.control_table([(lab, _until(*by_label[lab], as_of), by_label[lab][1]) for lab in labels],
-                                 date_type="string")
+    return reduce(DataFrame.unionByName, [control.control_row(getattr(src, CONTROL_SOURCES[label][0]).sparkSession, label, newest_day(src, label, as_of))
+                                         for label in labels])
 
 
-def _newest(ctl: DataFrame, label: str):
-    return control.scalar(control.control_entry(ctl, label))
+def newest_day(src, label: str, as_of: _dt.date):
+    """The newest day partition of a control label's table up to the run date, as a Column.
+
+    Sources with load marks (``src.marks``) have it from the control table; others from the table's partitions.
+    """
+    marks = getattr(src, "marks", None)
+    if marks is not None:
+        return F.lit(marks.newest(label, as_of, as_of.strftime("%Y%m%d")))
+    return control.newest_of(src, *CONTROL_SOURCES[label], as_of.strftime("%Y%m%d"))
 
 
 def _managers(src) -> DataFrame:
@@ -50,7 +54,6 @@ def _managers(src) -> DataFrame:
 
 def young_retention_draft(src, as_of: _dt.date) -> DataFrame:
     """Customers whose birthday (26th) falls on the same day next month."""
-    ctl = control_dates(src, [DOMICILIATIONS, BOARD, MONTHLY_ACCOUNTS, CONTRACTING], as_of)
     pb = src.person_board.filter(snapshot_is(P.SNAPSHOT_LATEST)
                                  & people.birthday_by_parts("fenac9", as_of, P.DRAFT_AGE_YEARS))
     g = _managers(src)
@@ -58,18 +61,18 @@ def young_retention_draft(src, as_of: _dt.date) -> DataFrame:
         F.col("copemk").alias("Persona"), F.col("fenac9").alias("FechaNacimiento"), "EMAIL_GESTOR",
         flag(F.col("in82mk") == "1").alias("TenenciaPorSerTu"), flag(F.col("in94mk") == "1").alias("ClienteDigital"))
     dom = src.account_domiciliations
-    b = dom.filter((F.col("extractiondate") == _newest(ctl, DOMICILIATIONS))
+    b = dom.filter((F.col("extractiondate") == newest_day(src, DOMICILIATIONS, as_of))
                    & F.col("copser").isin(*P.DRAFT_DOMICILED_PRODUCTS)
                    & (F.col("coddmc") == P.DRAFT_DOMICILE_OFFICE)).select(
         F.col("copemk").alias("__b"),
         flag(F.col("copser") == "10600").alias("TENENCIA_CUENTA_FACIL"),
         flag(F.col("copser") == "11594").alias("TENENCIA_CUENTA_ON"),
         flag(F.col("copser") == "11229").alias("NOMINA_DOMICILIADA"))
-    c = control.keep_newest(_until(src.monthly_board, "process_date", as_of), "process_date").select(
+    c = src.monthly_board.filter(F.col("process_date") == newest_day(src, BOARD, as_of)).select(
         F.col("co_codpers_mt").alias("__c"), F.col("im_saldfinmestotvolrecur_mt").alias("ImporteRecursos"))
-    d = control.keep_newest(_until(src.monthly_accounts, "extractiondate", as_of), "extractiondate").select(
+    d = src.monthly_accounts.filter(F.col("extractiondate") == newest_day(src, MONTHLY_ACCOUNTS, as_of)).select(
         flag(F.col("co1504").isin(*P.DRAFT_INCOME_CODES)).alias("INGRESOS_DOMICILIADOS"), F.col("copemk").alias("__d"))
-    ev = control.keep_newest(_until(src.contracting_events, "dt", as_of), "dt")
+    ev = src.contracting_events.filter(F.col("dt") == newest_day(src, CONTRACTING, as_of))
     f = ev.filter(F.col("co_producto_ursus") == P.DRAFT_ON_CONTRACTING_PRODUCT).select(
         flag(F.col("co_producto_ursus") == P.DRAFT_ON_CONTRACTING_PRODUCT).alias("CONTRATACION_CUENTA_ON"),
         F.col("co_cliente").alias("__f"))
@@ -98,9 +101,9 @@ def own_policies_due(src, as_of: _dt.date) -> DataFrame:
         "feprnz", "copemk", "idcoas", "copser")
 
 
-def insurance_tenure(src, ctl: DataFrame) -> DataFrame:
+def insurance_tenure(src, as_of: _dt.date) -> DataFrame:
     """Car, health and funeral insurance flags of the newest monthly board, by ``__d``."""
-    m = src.monthly_board.filter(F.col("process_date") == _newest(ctl, BOARD))
+    m = src.monthly_board.filter(F.col("process_date") == newest_day(src, BOARD, as_of))
     return m.select(
         flag((F.col("in_tensegurauto_mt") == "1") | (F.col("in_tensegurvehisegurauto_mt") == "1")).alias("TENENCIA_SEGURO_AUTO"),
         flag((F.col("in_tensegursaludindem_mt") == "1") | (F.col("in_tensegursaludreemb_mt") == "1")
@@ -113,7 +116,7 @@ def insurance_tenure(src, ctl: DataFrame) -> DataFrame:
 def own_policy_expiry(src, as_of: _dt.date) -> DataFrame:
     """D38 with D40: own home policies expiring in 56 days and their holders' tenure flags."""
     a = reuse(own_policies_due(src, as_of))
-    d = insurance_tenure(src, control_dates(src, [BOARD], as_of))
+    d = insurance_tenure(src, as_of)
     d = joins.semi(d, a.select(F.col("copemk").alias("__holder")), [("__d", "__holder")])
     return a.join(d, a.copemk == d.__d, "left").select(
         "copemk", "feprnz", "idcoas", "copser", "TENENCIA_SEGURO_AUTO", "TENENCIA_SEGURO_SALUD", "TENENCIA_SEGURO_DECESOS")
@@ -122,7 +125,6 @@ def own_policy_expiry(src, as_of: _dt.date) -> DataFrame:
 def home_insurance_draft(src, as_of: _dt.date) -> DataFrame:
     """Own home policies expiring in 56 days, with portfolio, payroll, tenure,
     consumer-loan and home-purchase propensity indicators (distinct rows)."""
-    ctl = control_dates(src, [BOARD, CONTRACTING], as_of)
     a = own_policies_due(src, as_of)
     g = _managers(src)
     # every enrichment is reduced to the day's policy holders before it is grouped or joined
@@ -139,9 +141,9 @@ def home_insurance_draft(src, as_of: _dt.date) -> DataFrame:
     c = src.payroll_amounts.filter(snapshot_is(P.SNAPSHOT_LATEST)).select(
         flag(F.col("copser").isin(*P.DRAFT_PAYROLL_SERVICES)).alias("TENENCIA_SERVICIO_NOMINA"),
         "imulig", F.col("copemk").alias("__c"))
-    d = insurance_tenure(src, ctl)
+    d = insurance_tenure(src, as_of)
     ev = src.contracting_events
-    e = ev.filter((F.col("dt") == _newest(ctl, CONTRACTING))
+    e = ev.filter((F.col("dt") == newest_day(src, CONTRACTING, as_of))
                   & (F.col("co_producto_ursus") == P.DRAFT_CONSUMER_LOAN_PRODUCT)
                   & (F.col("co_empresa_cont") == "0")).select(
         flag(F.col("co_producto_ursus") == P.DRAFT_CONSUMER_LOAN_PRODUCT).alias("CONTRATACION_PRESTAMO_CONSUMO"),

@@ -202,14 +202,15 @@ def worst_overdraft(spark, sf_dir):
 @register
 def web_interest_trigger(spark, sf_dir):
     """Best funds web hit per customer with the process exclusions."""
-    return scoring.web_interest(_src(spark, sf_dir).web_hits, AS_OF, P.WEB_FAMILY_FUNDS,
-                                P.FUND_EXCLUDED_PROCESSES)
+    s = _src(spark, sf_dir)
+    return scoring.web_interest(s.web_hits, scoring.web_day(s, AS_OF), P.WEB_FAMILY_FUNDS, P.FUND_EXCLUDED_PROCESSES)
 
 
 @register
 def web_priority_row(spark, sf_dir):
     """Best pensions web hit per customer (no process exclusion)."""
-    return scoring.web_interest(_src(spark, sf_dir).web_hits, AS_OF, P.WEB_FAMILY_PENSIONS)
+    s = _src(spark, sf_dir)
+    return scoring.web_interest(s.web_hits, scoring.web_day(s, AS_OF), P.WEB_FAMILY_PENSIONS)
 
 
 # ---------------------------------------------------------------------- joins
@@ -288,7 +289,7 @@ def anti_join_composite(spark, sf_dir):
 @register
 def latest_date_semi(spark, sf_dir):
     """Programme rows of the newest evaluation meeting the criteria."""
-    return people.programme_rows(_src(spark, sf_dir).programme, AS_OF, passing=True)
+    return people.programme_rows(_src(spark, sf_dir), AS_OF, passing=True)
 
 
 # ------------------------------------------------------------ overdraft ops
@@ -344,7 +345,7 @@ def propensity_multi_model(spark, sf_dir):
     """Customers over the threshold of the same model (fund and pension models)."""
     s = _src(spark, sf_dir)
     return scoring.propensity_a(s.scores_a, s.model_thresholds, P.FUND_MODELS_A + P.PENSION_MODELS_A,
-                                "ID_CLIENTE", "PROPENSION", AS_OF)
+                                "ID_CLIENTE", "PROPENSION", scoring.newest_threshold_date(s, AS_OF))
 
 
 @register
@@ -352,7 +353,7 @@ def propensity_single_model(spark, sf_dir):
     """Customers over the single overdraft model's threshold."""
     s = _src(spark, sf_dir)
     return scoring.propensity_b(s.scores_b, s.model_thresholds, [P.OVERDRAFT_MODEL_SCORES_B],
-                                "ID_CLIENTE", "PROPENSION", AS_OF)
+                                "ID_CLIENTE", "PROPENSION", scoring.newest_threshold_date(s, AS_OF))
 
 
 @register
@@ -366,8 +367,7 @@ def score_pivot(spark, sf_dir):
 def yearly_contributions(spark, sf_dir):
     """Contributions of the run year per plan account, under-7000 flag."""
     c = accounts.yearly_contributions(_src(spark, sf_dir).plan_operations, AS_OF)
-    # amounts have 4 decimals: rounding to 4 makes the float sum order-independent
-    return c.select("idprig", F.round("APORTACION_ANUAL", 4).alias("APORTACION_ANUAL"),
+    return c.select("idprig", F.round("APORTACION_ANUAL", 4).cast("double").alias("APORTACION_ANUAL"),
                     flag(F.col("APORTACION_ANUAL") < P.CONTRIBUTION_LIMIT).alias("IND_APORTACION_MENOR_7000"))
 
 
@@ -375,8 +375,7 @@ def yearly_contributions(spark, sf_dir):
 @register
 def product_family_flags(spark, sf_dir):
     """Youth-product accounts with family flags."""
-    s = _src(spark, sf_dir)
-    return people.youth_accounts(s.account_balance, s.contracts, AS_OF)
+    return people.youth_accounts(_src(spark, sf_dir), AS_OF)
 
 
 @register

@@ -14,13 +14,14 @@ from ..operators.reuse import reuse
 
 
 def _interest(src, as_of: _dt.date, family: str, excluded: tuple, owners_for, models_a, models_b) -> DataFrame:
-    hits = scoring.web_interest(src.web_hits, as_of, family, excluded)
+    hits = scoring.web_interest(src.web_hits, scoring.web_day(src, as_of), family, excluded)
     hits = reuse(hits.join(accounts.natural_persons(src.person_board, active_only=True),
                            hits.id_cliente == F.col("copemk"), "left_semi"))
     who = hits.select("id_cliente")     # one web day's customers: enrichments are reduced to them first
     owners = owners_for(who)
-    prop_a = scoring.propensity_a(src.scores_a, src.model_thresholds, models_a, "__pa", "PROPENSION_SAS", as_of, ids=who)
-    prop_b = scoring.propensity_b(src.scores_b, src.model_thresholds, models_b, "__pb", "PROPENSION_BD", as_of, ids=who)
+    when = scoring.newest_threshold_date(src, as_of)
+    prop_a = scoring.propensity_a(src.scores_a, src.model_thresholds, models_a, "__pa", "PROPENSION_SAS", when, ids=who)
+    prop_b = scoring.propensity_b(src.scores_b, src.model_thresholds, models_b, "__pb", "PROPENSION_BD", when, ids=who)
     # ownership rows fan out per customer (one per account, as the rule reads them)
     return (joins.left_join_skew_safe(hits, owners, [("id_cliente", "TITULAR")])
             .join(prop_a, F.col("id_cliente") == prop_a.__pa, "left")

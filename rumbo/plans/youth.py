@@ -21,7 +21,7 @@ def young_retention(src, as_of: _dt.date, month_end: str = "last_day") -> DataFr
     with a digital profile who also hold a non-"easy" account.  Only holders
     reaching the milestone age remain.
     """
-    all_x = people.youth_accounts(src.account_balance, src.contracts, as_of)
+    all_x = people.youth_accounts(src, as_of)
     y = people.milestone_birthdays(src.person_board, as_of, month_end)
     # Only holders reaching the milestone survive (inner join with y), so the
     # exclusions are computed for them alone: x = their account rows, and the
@@ -30,18 +30,18 @@ def young_retention(src, as_of: _dt.date, month_end: str = "last_day") -> DataFr
     x = reuse(all_x.join(y.select(F.col("copemk").alias("tt")), "tt", "left_semi"))
     x_accounts = people.principal_rows(src.contracts).join(     # both sides are entity 0
         x.select("copser", "idprig"), ["copser", "idprig"], "left_semi")
-    newest = people.programme_newest(src.programme, as_of)
-    z = people.programme_rows(src.programme, as_of, passing=True, newest=newest).select(
+    newest = people.programme_newest(src, as_of)
+    z = people.programme_rows(src, as_of, passing=True, newest=newest).select(
         F.col("copemk").alias("__z"), F.col("marin6").alias("dom_ingresos_pst"),
         F.col("marin3").alias("accionistas_pst"), F.col("marin5").alias("racs_pst"),
         F.col("marin1").alias("joven_menos_18_pst"), F.col("marin2").alias("joven_18_25_pst"))
     payroll = people.live_payroll(src.payroll_contracts).join(
         x.select(F.col("tt").alias("copemk")), "copemk", "left_semi")
     u = joins.presence(payroll, "copemk", "INDICADOR_DOMICILIACION_INGRESOS_D", as_key="__u")
-    digital = people.digital_profiles(src.customers_daily, as_of)
+    digital = people.digital_profiles(src, as_of)
     v = (digital.join(x.select(F.col("tt").alias("id_cliente")), "id_cliente", "left_semi")
          .select(F.col("id_cliente").alias("__v")).withColumn("PERFIL_DIGITAL", F.lit(1)))
-    failing = people.programme_rows(src.programme, as_of, passing=False, newest=newest, distinct=False).select(
+    failing = people.programme_rows(src, as_of, passing=False, newest=newest, distinct=False).select(
         F.col("copemk").alias("tt"))
     w = x_accounts.join(failing, "tt", "inner").select("copser", "idprig")        # anti-join keys
     t = (x.filter(F.col("cuenta_facil") == 0).join(digital, x.tt == digital.id_cliente, "inner")

@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .newest import NewestValues, Partition, catalog_partitions
+
 # FIXED VALUES: warehouse table of each logical table.
 WAREHOUSE_TABLES = {
     "account_balance": "STANDARD.IGV0_CP_AHCA_D",
@@ -46,7 +48,7 @@ WAREHOUSE_TABLES = {
 }
 
 
-class CatalogSources:
+class CatalogSources(NewestValues):
     """Warehouse tables through the session catalog (``database.table``)."""
 
     def __init__(self, spark: SparkSession, tables: dict[str, str] | None = None):
@@ -63,3 +65,7 @@ class CatalogSources:
         if name.startswith("_") or name not in self.tables:
             raise AttributeError(name)
         return self.table(name)
+
+    def partitions(self, name: str, equal=None) -> list[Partition] | None:
+        """As the metastore lists them (``SHOW PARTITIONS``); None for a view or a table without partitions."""
+        return catalog_partitions(self.spark, self.tables[name], self.table(name).schema, equal)

@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..session import ensure_checkpoint_dir
+from .marks import LoadMarks
+from .newest import NewestValues, Partition, folder_partitions
 from .standins import StandinSources
 
 # table -> partition columns (the bank's partitioning; [] = unpartitioned).
@@ -54,7 +56,7 @@ LAYOUT: dict[str, list[str]] = {
     "account_domiciliations": ["extractiondate"],
     "monthly_board": ["process_date"],
     "monthly_accounts": ["extractiondate"],
-    "contracting_events": [],
+    "contracting_events": ["dt"],
     "payroll_amounts": ["snapshot"],
 }
 # Row-group size of the written files, near a storage block; tests set a small
@@ -63,14 +65,15 @@ ROW_GROUP_BYTES = int(os.environ.get("RUMBO_ROW_GROUP_BYTES", str(128 * 1024 * 1
 # Tables sorted (within each written file) on the column their readers filter
 # on, so row-group min/max statistics let Parquet skip most of each file.
 SORT_BY = {"catalogue": ["extractiondate"], "programme": ["fevaig"], "plan_operations": ["idprig"],
-           "contracting_events": ["dt"], "customers_daily": ["fecha_derivado"], "receipts": ["qfaope"]}
+           "customers_daily": ["fecha_derivado"], "receipts": ["qfaope"]}
 
 
-class WarehouseSources:
+class WarehouseSources(NewestValues):
     """Banking tables read from ``root/<table>`` Parquet folders."""
 
-    def __init__(self, spark: SparkSession, root: str, schemas: dict[str, T.StructType] | None = None):
-        self.spark, self.root, self.schemas = spark, root.rstrip("/"), schemas or {}
+    def __init__(self, spark: SparkSession, root: str, schemas: dict[str, T.StructType] | None = None,
+                 marks: LoadMarks | None = None):
+        self.spark, self.root, self.schemas, self.marks = spark, root.rstrip("/"), schemas or {}, marks
         self._cache: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
@@ -86,6 +89,9 @@ class WarehouseSources:
             raise AttributeError(name)
         return self.table(name)
 
+    def partitions(self, name: str, equal=None) -> list[Partition]:
+        return folder_partitions(self.spark, f"{self.root}/{name}", self.table(name).schema, equal)
+
 
 def _exists(spark: SparkSession, path: str) -> bool:
     jvm = spark._jvm
