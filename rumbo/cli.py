@@ -14,7 +14,7 @@ from pyspark.sql import SparkSession
 from .plans import core, drafts, insurance, overdraft, web_interest, youth
 from .session import ensure_checkpoint_dir, tune_session
 from .sources.registry import CatalogSources
-from .sources.sinks import write_run
+from .sources.sinks import run_journey
 from .sources.warehouse import WarehouseSources, standin_warehouse
 
 JOURNEYS = {
@@ -52,8 +52,7 @@ def main(argv: list[str] | None = None) -> None:
     args = ap.parse_args(argv)
     spark = tune_session(SparkSession.builder.appName(f"rumbo-{args.journey}").getOrCreate())
     ensure_checkpoint_dir(spark)
-    df = JOURNEYS[args.journey](open_sources(spark, args.source), args.as_of)
-    write_run(df, args.out, args.as_of)
+    run_journey(spark, JOURNEYS[args.journey], open_sources(spark, args.source), args.as_of, args.out)
 
 
 if __name__ == "__main__":

@@ -192,7 +192,7 @@ def owners_of(product_contracts: DataFrame, contracts: DataFrame, holder_codes:
 
 def yearly_contributions(operations: DataFrame, as_of: _dt.date, accounts: DataFrame | None = None) -> DataFrame:
     """Sum of contribution operations dated in the run year, per plan account
-    (optionally only for the given plan accounts)."""
+    (optionally only for the given plan accounts); a decimal, exact in any order."""
     year = as_of.year
     cond = ((F.col("xcoemp") == P.ENTITY) & F.col("cox1b7").isin(*P.CONTRIBUTION_OPERATION_TYPES)
             & ((F.year("fecaig") == year) | (F.year("feopen") == year)))
@@ -201,7 +201,7 @@ def yearly_contributions(operations: DataFrame, as_of: _dt.date, accounts: DataF
         key = ["copser", "idcoec", "idprig", "xcoemp"]
         ops = ops.join(accounts.select(*key), key, "left_semi")
     return ops.groupBy("copser", "idcoec", "idprig", "xcoemp").agg(
-        F.sum("cacv7j").alias("APORTACION_ANUAL"))
+        agg.exact_sum("cacv7j").alias("APORTACION_ANUAL"))
 
 
 def days_overdrawn(balances: DataFrame, as_of: _dt.date) -> DataFrame:

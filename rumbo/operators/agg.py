@@ -21,9 +21,20 @@ def max_per_key(df: DataFrame, keys: Sequence[str], value: str, alias: str) -> D
     return df.groupBy(*keys).agg(F.max(value).alias(alias))
 
 
+# Amounts are summed as decimals: a sum of doubles depends on the order of its
+# rows, and tests of its sign or against a limit hang on it.  28 digits, 6 of them decimals,
+# leave the sum 38 digits: no group of fewer than 10**10 rows can overflow.
+AMOUNT = "decimal(28,6)"
+
+
+def exact_sum(value: str | Column) -> Column:
+    """Sum of an amount in decimal arithmetic, the same in every order of the rows."""
+    return F.sum((F.col(value) if isinstance(value, str) else value).cast(AMOUNT))
+
+
 def sum_sign_flag(df: DataFrame, key: str, value: str, alias: str) -> DataFrame:
-    """``CASE WHEN SUM(value) > 0 THEN 1 ELSE 0 END`` per key."""
-    return df.groupBy(key).agg(flag(F.sum(value) > 0).alias(alias))
+    """``CASE WHEN SUM(value) > 0 THEN 1 ELSE 0 END`` per key, exact."""
+    return df.groupBy(key).agg(flag(exact_sum(value) > 0).alias(alias))
 
 
 def pivot_max(df: DataFrame, key: str, pivot_col: str, value: str,
