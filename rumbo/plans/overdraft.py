@@ -13,13 +13,15 @@ from ..operators import accounts, dedupe, scoring
 from ..operators.reuse import reuse
 
 
-def overdraft_master(src, as_of: _dt.date, compare_abs: bool = False) -> DataFrame:
+def overdraft_master(src, as_of: _dt.date, compare_abs: bool = False, history: DataFrame | None = None) -> DataFrame:
     """Every account overdrawn yesterday, of a natural-person principal holder,
     with days overdrawn (dropped when no non-negative day in the last 15),
     loan / card cover and payroll-advance flags.
 
     ``compare_abs`` compares limits with the overdrawn amount instead of the
     (negative) balance; the rule as written compares with the balance.
+    ``history`` gives the last non-negative days from carried state
+    (``streaming.balance_state``) in place of the 15 partitions.
     """
     bal = src.account_balance
     a = accounts.overdrawn_accounts(bal, as_of).select(
@@ -29,7 +31,8 @@ def overdraft_master(src, as_of: _dt.date, compare_abs: bool = False) -> DataFra
     a = a.join(accounts.natural_persons(src.person_board),
                a.CODIGO_PERSONA == F.col("copemk"), "left_semi")
     a = reuse(a)                        # read by the history, loan and card branches
-    lp = accounts.last_positive_day(bal, as_of, accounts=a).withColumnRenamed("copemk", "CODIGO_PERSONA")
+    lp = accounts.last_positive_day(bal, as_of, accounts=a) if history is None else history
+    lp = lp.withColumnRenamed("copemk", "CODIGO_PERSONA")
     # NUM_DIAS_DESCUBIERTO IS NOT NULL keeps only accounts with a positive day.
     a = a.join(lp, ["CODIGO_PERSONA", *accounts.ACCOUNT_KEY], "inner")
     a = a.withColumn("NUM_DIAS_DESCUBIERTO", F.datediff("FECHA_DESCUBIERTO", "MAX_DIA_SALDO_POSITIVO"))
@@ -58,10 +61,11 @@ def overdraft_journey(src, as_of: _dt.date, compare_abs: bool = False) -> DataFr
     who = trig.select("ID_URSUS")      # the day's new overdrafts: every enrichment is reduced to them first
     cards = accounts.best_credit_card_limit(src.cards, who).withColumnRenamed("copemk", "__cc")
     loans = accounts.preapproved_loans(src.loans, who).withColumnRenamed("copemk", "__lc")
+    when = scoring.newest_threshold_date(src, as_of)
     prop_a = scoring.propensity_a(src.scores_a, src.model_thresholds, [P.OVERDRAFT_MODEL_SCORES_A],
-                                  "__pa", "PROPENSION_LPP_SAS", as_of, ids=who)
+                                  "__pa", "PROPENSION_LPP_SAS", when, ids=who)
     prop_b = scoring.propensity_b(src.scores_b, src.model_thresholds, [P.OVERDRAFT_MODEL_SCORES_B],
-                                  "__pb", "PROPENSION_LPP_BD", as_of, ids=who)
+                                  "__pb", "PROPENSION_LPP_BD", when, ids=who)
     w = worst
     j = (w.join(cover, w.ID_URSUS == cover.__tc, "left")
          .join(cards, w.ID_URSUS == cards.__cc, "left")
