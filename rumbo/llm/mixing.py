@@ -11,14 +11,17 @@ gives the draw, so reruns agree), documents are ordered by key within the
 source and their sizes are prefix-summed up to the budget.
 
 The prefix sum is two-level, so a source holding a third of all rows is not
-sorted by one task: a monotone function of the key gives ordered buckets of
-about ``ROWS_PER_BUCKET`` rows, the bucket totals are summed first, and rows are
-summed one by one only in the bucket where a source's budget ends.
+sorted by one task: rows are range-partitioned by source and order key, the partitions'
+totals are summed first, and rows are summed one by one only in the partition where a
+source's budget ends.  The last order key is the row's number in the written
+rows, so repeated rows (same id and text, hence the same draw) are distinct: a budget may end among them, and a
+partition holds about ``ROWS_PER_BUCKET`` rows whatever the weights or the copies.
 
 Defined cases: null text has size 0; a null source is a source of its own and
-sorts last; a source without words has target 0; repeated rows (same id and
-text) share their key and are taken or left together; the last document is
-taken if that brings the source nearer to its target.
+sorts last; a source without words has target 0; of repeated rows as many are taken as the
+budget has room for, and it makes no difference which; the last document is
+taken if that brings the source nearer to its target; a very long text is counted whole; an empty table
+gives no rows; extra columns are never read, and kept by :func:`mixed_documents`, whatever their names.
 """
 
 from __future__ import annotations
@@ -28,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .common import WORD, fresh, store
 
-ROWS_PER_BUCKET = 2000
+ROWS_PER_BUCKET = 50_000
 
 
 def word_count(text: Column) -> Column:
@@ -71,71 +74,95 @@ def _drawn(df: DataFrame, text: Column, id_col: str, weight: Column, seed: int,
     return df.withColumn(h, F.xxhash64(F.lit(seed), F.col(id_col), text)).withColumn(key, -F.log(draw) / weight)
 
 
-def _plan(slim: DataFrame, weights: tuple[float, ...], max_epochs: int) -> DataFrame:
-    """Per source: size, target, epochs, and the last order key that the rest of the target takes."""
-    per = slim.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"), F.avg("weight").alias("mean"))
+KEY = ("key", "id", "h")
+
+
+def _plan(slim: DataFrame, weights: tuple[float, ...], max_epochs: int) -> tuple[DataFrame, DataFrame]:
+    """The rows in order, and per source: size, target, epochs, the last order key ``cut`` that the rest of the target
+    takes, and how many of the ``cut_n`` rows of that key (id and text) it takes, ``cut_k``."""
+    per = slim.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
     t = targets(per.select("source", "source_size"), weights, max_epochs)
-    s = per.select(F.col("source").alias("s2"), "n", "mean").join(t, F.col("s2").eqNullSafe(F.col("source"))).select(
-        F.monotonically_increasing_id().alias("sid"), "source", "source_size", "target", "n", "mean")
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("int")
-    s = s.withColumn("epochs", epochs).withColumn("budget", F.col("target") - F.col("epochs") * F.col("source_size"))
-    s = store(s.withColumn("buckets", F.ceil(F.col("n") / ROWS_PER_BUCKET)), "mix-sources")
-    keys = s.select("sid", F.col("source").alias("s2"), "mean", "buckets", "budget")
-    # increasing in the key, and about even: keys of mean weight are exponential
-    bucket = F.least(F.col("buckets") - 1, F.floor(F.col("buckets") * (1 - F.exp(-F.col("key") * F.col("mean")))))
-    placed = slim.join(keys, F.col("source").eqNullSafe(F.col("s2"))).withColumn("bucket", bucket)
-    totals = placed.groupBy("sid", "bucket").agg(F.sum("size").alias("total"), F.first("budget").alias("budget"))
-    order = Window.partitionBy("sid").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    ends = totals.withColumn("before", F.coalesce(F.sum("total").over(order), F.lit(0))).filter(
-        (F.col("before") < F.col("budget")))
-    ends = store(ends.select("sid", "bucket", "before"), "mix-buckets")
-    last = ends.groupBy("sid").agg(F.max("bucket").alias("b"), F.max_by("before", "bucket").alias("before"))
-    inside = placed.join(last.withColumnRenamed("sid", "sid2"), (F.col("sid") == F.col("sid2")) & (F.col("bucket") == F.col("b")))
-    up_to = Window.partitionBy("sid").orderBy("key", "id", "h").rowsBetween(Window.unboundedPreceding, -1)
-    room = F.col("budget") - F.col("before") - F.coalesce(F.sum("size").over(up_to), F.lit(0))
-    cut = inside.withColumn("room", room).filter((F.col("room") > 0) & (F.col("room") * 2 >= F.col("size")))
-    cut = cut.groupBy("sid").agg(F.max(F.struct("key", "id", "h")).alias("cut"))
-    # nothing of the last bucket fits: everything before that bucket is taken
-    return s.join(last.select(F.col("sid").alias("sid3"), "b"), F.col("sid") == F.col("sid3"), "left").join(
-        cut.withColumnRenamed("sid", "sid4"), F.col("sid") == F.col("sid4"), "left").select(
-        F.col("source").alias("s2"), "source_size", "target", "epochs", "mean", "buckets", "b", "cut")
-
-
-def _copies(key: Column, id_: Column, h: Column, prefix: str = "") -> Column:
-    """Times a row is taken, from its order key and its source's plan (columns named with ``prefix``)."""
-    plan = lambda c: F.col(prefix + c)
-    bucket = F.least(plan("buckets") - 1, F.floor(plan("buckets") * (1 - F.exp(-key * plan("mean")))))
-    inside = F.coalesce(F.struct(key.alias("key"), id_.alias("id"), h.alias("h")) <= plan("cut"), F.lit(False))
-    chosen = F.coalesce((bucket < plan("b")) | ((bucket == plan("b")) & inside), F.lit(False))
-    return plan("epochs") + chosen.cast("int")
+    s = t.withColumn("epochs", epochs).withColumn("budget", F.col("target") - F.col("epochs") * F.col("source_size"))
+    s = store(s.select(F.monotonically_increasing_id().alias("sid"), F.col("source").alias("s2"), "source_size", "target", "epochs", "budget"),
+              "mix-sources")
+    line = F.struct(*KEY, "row")
+    rows = int(slim.count())
+    placed = slim.join(s.select("sid", "s2"), F.col("source").eqNullSafe(F.col("s2"))).drop("s2")
+    # the partition number is written with its rows
+    placed = store(placed.repartitionByRange(max(1, -(-rows // ROWS_PER_BUCKET)), "sid", *KEY, "row").withColumn("part", F.spark_partition_id()),
+                   "mix-ranges")
+    totals = placed.groupBy("sid", "part").agg(F.sum("size").alias("total"), F.max(line).alias("last"))
+    before = Window.partitionBy("sid").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = store(totals.withColumn("before", F.coalesce(F.sum("total").over(before), F.lit(0))).withColumn(
+        "until", F.max("last").over(before)), "mix-parts")
+    b = F.broadcast(s.select(F.col("sid").alias("sid2"), "budget"))       # one row per source: its size is known
+    reached = parts.join(b, F.col("sid") == F.col("sid2")).filter(F.col("before") < F.col("budget"))
+    ends = reached.groupBy("sid").agg(F.max_by(F.struct("part", "before", "until", "budget"), "part").alias("e")).select(
+        F.col("sid").alias("sid3"), F.col("e.part").alias("b"), F.col("e.before").alias("taken_before"), F.col("e.until").alias("until"),
+        F.col("e.budget").alias("budget"))
+    ends = store(ends, "mix-ends")
+    inside = placed.join(ends, (F.col("sid") == F.col("sid3")) & (F.col("part") == F.col("b")))
+    up_to = Window.partitionBy("sid").orderBy(*KEY, "row").rowsBetween(Window.unboundedPreceding, -1)      # one partition a source
+    room = F.col("budget") - F.col("taken_before") - F.coalesce(F.sum("size").over(up_to), F.lit(0))
+    fits = inside.withColumn("room", room).filter((F.col("room") > 0) & (F.col("room") * 2 >= F.col("size")))
+    # nothing of the last partition fits: everything before it is taken
+    cut = ends.join(fits.groupBy("sid").agg(F.max(line).alias("cut")), F.col("sid3") == F.col("sid"), "left").select(
+        "sid3", F.coalesce("cut", "until").alias("cut")).filter(F.col("cut").isNotNull())
+    cut = store(cut, "mix-cuts")
+    same = placed.join(cut, (F.col("sid") == F.col("sid3")) & F.struct(*KEY).eqNullSafe(F.struct(*[F.col(f"cut.{c}") for c in KEY])))
+    copies = same.groupBy("sid").agg(F.count("*").alias("cut_n"), F.count_if(F.col("row") <= F.col("cut.row")).alias("cut_k"))
+    plan = s.join(cut, F.col("sid") == F.col("sid3"), "left").join(copies.withColumnRenamed("sid", "sid4"), F.col("sid") == F.col("sid4"), "left")
+    return placed, store(plan.select("sid", "s2", "source_size", "target", "epochs", "cut", "cut_n", "cut_k"), "mix-plan")
 
 
 def _slim(docs: DataFrame, weight: Column, seed: int, id_col: str, text_col: str, source_col: str) -> DataFrame:
-    rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), F.col(text_col).alias("text"),
-                       word_count(F.col(text_col)).alias("size"), weight.cast("double").alias("weight"))
-    return store(_drawn(rows, F.col("text"), "id", F.col("weight"), seed, "h", "key").drop("text"), "mix-documents")
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{source_col}`").alias("source"), F.col(f"`{text_col}`").alias("text"),
+                       word_count(F.col(f"`{text_col}`")).alias("size"), weight.cast("double").alias("weight"))
+    drawn = _drawn(rows, F.col("text"), "id", F.col("weight"), seed, "h", "key")
+    return store(drawn.select("id", "source", "size", "h", "key", F.monotonically_increasing_id().alias("row")), "mix-documents")
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), max_epochs: int = 3, seed: int = 2024, weight: Column | None = None,
         id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """``(id, size, source_size, target, taken)`` for every row."""
-    slim = _slim(docs, quality_weight(F.col(text_col)) if weight is None else weight, seed, id_col, text_col, source_col)
-    plan = store(_plan(slim, weights, max_epochs), "mix-plan")
-    copies = _copies(F.col("key"), F.col("id"), F.col("h"))
-    return slim.join(plan, F.col("source").eqNullSafe(F.col("s2"))).select(
-        F.col("id").alias(id_col), "size", "source_size", "target", (F.col("size") * copies).alias("taken"))
+    slim = _slim(docs, quality_weight(F.col(f"`{text_col}`")) if weight is None else weight, seed, id_col, text_col, source_col)
+    placed, plan = _plan(slim, weights, max_epochs)
+    chosen = F.coalesce(F.struct(*KEY, "row") <= F.col("cut"), F.lit(False))
+    return placed.withColumnRenamed("sid", "sid1").join(plan, F.col("sid1") == F.col("sid")).select(
+        F.col("id").alias(id_col), "size", "source_size", "target", (F.col("size") * (F.col("epochs") + chosen.cast("int"))).alias("taken"))
 
 
 def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), max_epochs: int = 3, seed: int = 2024,
                     weight: Column | None = None, id_col: str = "doc_id", text_col: str = "text",
                     source_col: str = "source") -> DataFrame:
     """The mix itself: each document as often as it is taken, with its columns unchanged."""
-    weight = quality_weight(F.col(text_col)) if weight is None else weight
-    plan = store(_plan(_slim(docs, weight, seed, id_col, text_col, source_col), weights, max_epochs), "mix-plan")
-    h, key, w, n = fresh(docs, "mix_hash", "mix_key", "mix_weight", "mix_copies")
-    plan = plan.select(*[F.col(c).alias(f"__mix_{c}") for c in plan.columns])
-    drawn = _drawn(docs.withColumn(w, weight.cast("double")), F.col(text_col), id_col, F.col(w), seed, h, key)
-    joined = drawn.join(plan, F.col(source_col).eqNullSafe(F.col("__mix_s2")))
-    copies = _copies(F.col(key), F.col(id_col), F.col(h), "__mix_")
-    return joined.withColumn(n, copies).filter(F.col(n) > 0).withColumn(
-        n, F.explode(F.sequence(F.lit(1), F.col(n)))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    weight = quality_weight(F.col(f"`{text_col}`")) if weight is None else weight
+    _, plan = _plan(_slim(docs, weight, seed, id_col, text_col, source_col), weights, max_epochs)
+    h, key, w, n, plan_col = fresh(docs, "mix_hash", "mix_key", "mix_weight", "mix_copies", "mix_plan")
+    plan = plan.select(F.struct("*").alias(plan_col))
+    of = lambda c: F.col(f"`{plan_col}`.{c}")
+    source, own = F.col(f"`{source_col}`"), [F.col(f"`{c}`") for c in docs.columns]
+    drawn = _drawn(docs.withColumn(w, weight.cast("double")), F.col(f"`{text_col}`"), f"`{id_col}`", F.col(w), seed, h, key)
+    joined = drawn.join(plan, source.eqNullSafe(of("s2")))
+    mine = F.struct(F.col(key).alias("key"), F.col(f"`{id_col}`").alias("id"), F.col(h).alias("h"))
+    last = F.struct(*[of("cut")[c].alias(c) for c in KEY])
+    at_cut = of("cut").isNotNull() & mine.eqNullSafe(last)
+    # repeated rows among which a budget ends: one of them stands for those taken
+    whole = of("cut").isNotNull() & ((mine < last) | (at_cut & (of("cut_k") == of("cut_n"))))
+    copies = joined.withColumn(n, of("epochs") + F.coalesce(whole, F.lit(False)).cast("int"))
+    out = _repeated(copies, n, own)
+    if plan.filter(of("cut_k") < of("cut_n")).limit(1).count():
+        split = joined.filter(at_cut & (of("cut_k") < of("cut_n"))).withColumn(n, of("cut_k"))
+        # at most one such group for each source; its rows are equal in id, text and source, not in other columns
+        one = split.groupBy(of("sid").alias(h)).agg(F.first(F.struct(*own)).alias(key), F.first(n).alias(n))
+        blocks = one.withColumn(w, F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(n) - 1) / F.lit(ROWS_PER_BUCKET)))))
+        size = F.least(F.lit(ROWS_PER_BUCKET).cast("long"), F.col(n) - F.col(w) * ROWS_PER_BUCKET)
+        dealt = blocks.withColumn(n, size).repartition(F.col(h), F.col(w))
+        out = out.unionByName(_repeated(dealt, n, [F.col(key)[c].alias(c) for c in docs.columns]))
+    return out
+
+
+def _repeated(df: DataFrame, n: str, columns: list[Column]) -> DataFrame:
+    """Each row ``n`` times."""
+    return df.filter(F.col(n) > 0).withColumn(n, F.explode(F.sequence(F.lit(1).cast("long"), F.col(n).cast("long")))).select(*columns)

@@ -165,12 +165,12 @@ def keep_one(docs: DataFrame, radius: int = 4, words: int = 4, id_col: str = "do
     Of rows that share that id the first one read stays; in a component of null
     ids only, its first row stays.
     """
-    fp, row = fresh(docs, "simhash_fp", "simhash_row")
-    marked = store(docs.withColumn(fp, fingerprint(F.col(text_col), words)).withColumn(row, F.monotonically_increasing_id()), "simhash-docs")
+    fp, row, kept = fresh(docs, "simhash_fp", "simhash_row", "simhash_kept")
+    marked = store(docs.withColumn(fp, fingerprint(F.col(f"`{text_col}`"), words)).withColumn(row, F.monotonically_increasing_id()), "simhash-docs")
     # smaller structs first: rows with an id, by id, then by place
     place = F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), F.col(row).alias("row"))
     nodes = store(marked.groupBy(F.col(fp).alias("fp")).agg(F.min(place).alias("best")), "simhash-nodes")
     parts = store(connected_components(links(nodes.select("fp"), radius), "a", "b"), "simhash-parts")
     stay = nodes.join(parts, nodes["fp"] == parts["node"], "left").groupBy(F.coalesce("component", "fp").alias("c")).agg(
-        F.min("best").alias("best")).select(F.col("best.row").alias("stay"))
-    return marked.join(stay, F.col(row) == F.col("stay"), "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+        F.min("best").alias("best")).select(F.col("best.row").alias(kept))
+    return marked.join(stay, F.col(row) == F.col(kept), "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

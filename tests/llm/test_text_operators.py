@@ -299,6 +299,8 @@ def test_simhash_odd_rows(odd_docs, no_docs):
     assert kept.columns == odd_docs.columns
     assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in kept.collect()) == [(False, 1), (False, 3), (False, 6), (False, 7), (True, 0)]
     assert simhash.keep_one(no_docs).count() == 0
+    clash = odd_docs.withColumns({"stay": F.lit(1), "simhash_kept": F.lit(2), "best": F.lit(3), "component": F.lit(4)})
+    assert simhash.keep_one(clash).columns == clash.columns and simhash.keep_one(clash).count() == kept.count()
 
 
 # ---- 6 packing ---------------------------------------------------------------
