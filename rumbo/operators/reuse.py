@@ -69,16 +69,22 @@ def _delete(spark: SparkSession, path: str) -> None:
     fs.cancelDeleteOnExit(target)
 
 
-def reuse(df: DataFrame, mode: str | None = None) -> DataFrame:
-    if (mode or REUSE_MODE) == "off":
-        return df
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/reuse-{uuid.uuid4().hex}"
+def scratch_folder(spark: SparkSession, label: str = "reuse") -> str:
+    """A new folder name below the shared checkpoint folder, owned by the open scope or else by the application."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
     # owned before it is written: a failed write leaves a folder too
     scope = _SCOPE.get()
     if scope is not None:
         scope.folders.append(path)
     fs, target = _target(spark, path)
     fs.deleteOnExit(target)
+    return path
+
+
+def reuse(df: DataFrame, mode: str | None = None) -> DataFrame:
+    if (mode or REUSE_MODE) == "off":
+        return df
+    spark = df.sparkSession
+    path = scratch_folder(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

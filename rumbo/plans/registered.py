@@ -8,7 +8,9 @@ tables.  All read whole tables: no id subsets, samples or row caps.
 from __future__ import annotations
 
 import datetime as _dt
+import hashlib
 import os
+from functools import reduce
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,9 +21,15 @@ from ..functions import (account_hash, add_months, code_label, concat_key, flag,
                          home_receipt_label, insurer_name, language_label, last_chars,
                          strip_leading_zeros, tax_id_of)
 from ..operators import accounts, agg, control, dedupe, insurance, joins, people, scoring
+from ..operators.reuse import scratch_folder
+from ..sources.bucketed import write_bucketed
+from ..sources.sinks import write_run
 from ..sources.standins import AS_OF, StandinSources
 from ..sources.testdata import TestTables
-from ..sources.warehouse import standin_warehouse
+from ..sources.typed import TypedSources
+from ..sources.untyped import UntypedStandins
+from ..sources.warehouse import LAYOUT, standin_warehouse
+from ..streaming.balance_state import LastPositiveState
 from . import core, drafts, insurance as ins_plan, overdraft, web_interest, youth
 
 ORDERS_AS_OF = _dt.date(2001, 8, 1)      # newest order day of the raw test tables
@@ -29,8 +37,8 @@ ORDERS_AS_OF = _dt.date(2001, 8, 1)      # newest order day of the raw test tabl
 # no upper bound, as written); a run 11 days before the data ends covers 11 days.
 DAILY_LOAD_AS_OF = AS_OF - _dt.timedelta(days=11)
 BIRTHDAY_DRAFT_AS_OF = _dt.date(2024, 2, 1)
-# A day whose trigger finds own home policies at every scale (5 at sf0.01).
-OWN_EXPIRY_AS_OF = _dt.date(2024, 4, 7)
+# 56 days before a day on which the stand-ins' policies expire.
+OWN_EXPIRY_AS_OF = _dt.date(2024, 3, 31)
 SCORE_PIVOT_MODELS = {"MSGHCHX1": "COMPRA_SH_CLIENTE_SINPRESTAMO", "MSGHSHX1": "COMPRA_SH_CLIENTE_PRESTAMO"}
 # Priority digit of an order -> youth product (5 has none), for the account-mix operator.
 PRIORITY_PRODUCT = {"1": "11594", "2": "11239", "3": "10300", "4": "10600"}
@@ -56,6 +64,27 @@ def _src(spark, sf_dir):
     return standin_warehouse(spark, sf_dir)
 
 
+def _warehouse(spark, sf_dir):
+    """The stand-in warehouse, for queries about its partitions."""
+    return standin_warehouse(spark, sf_dir)
+
+
+BUCKETS = 8
+BUCKETED_TABLES = ("contracts", "person_board", "loans", "cards", "scores_a", "scores_b")
+
+
+def _bucketed(spark, sf_dir):
+    """The stand-ins with :data:`BUCKETED_TABLES` in catalog tables of this session, written once."""
+    name = "bucketed_" + hashlib.sha1(sf_dir.rstrip("/").encode()).hexdigest()[:12]
+    if (spark.sparkContext.applicationId, name) not in _BUCKETED:
+        _BUCKETED[spark.sparkContext.applicationId, name] = write_bucketed(
+            standin_warehouse(spark, sf_dir), name, BUCKETS, BUCKETED_TABLES, LAYOUT, location=scratch_folder(spark, "buckets"))
+    return _BUCKETED[spark.sparkContext.applicationId, name]
+
+
+_BUCKETED: dict[tuple[str, str], object] = {}
+
+
 # ---------------------------------------------------------------- journeys
 @register
 def customer_core(spark, sf_dir):
@@ -170,6 +199,75 @@ def active_accounts(spark, sf_dir):
     return live.select("copemk", "copser", "idprig", "coprbs")
 
 
+@register
+def newest_control(spark, sf_dir):
+    """The drafts' control table, from partition listings alone."""
+    return drafts.control_dates(_warehouse(spark, sf_dir), list(drafts.CONTROL_SOURCES), AS_OF)
+
+
+@register
+def last_positive_state(spark, sf_dir):
+    """The same days as ``historic_window_max``, carried from run to run over the window's days."""
+    src = _warehouse(spark, sf_dir)
+    state = LastPositiveState(spark, scratch_folder(spark, "balance-state"))
+    for back in (9, 2, 0):           # a first run, one a week later, one after a missed day
+        state.run(src, AS_OF - _dt.timedelta(days=back))
+    return state.view(src, AS_OF)
+
+
+@register
+def run_sink(spark, sf_dir):
+    """The overdraft master written for two run dates, the newer one twice, and read back."""
+    src, path = _src(spark, sf_dir), scratch_folder(spark, "run-sink")
+    for as_of in (AS_OF - _dt.timedelta(days=1), AS_OF, AS_OF):
+        write_run(overdraft.overdraft_master(src, AS_OF), path, as_of)
+    return spark.read.parquet(path)
+
+
+# ------------------------------------------------------------ untyped sources
+def _typed(spark, sf_dir) -> TypedSources:
+    # the stand-ins' plan contributions have 4 decimals
+    return TypedSources(UntypedStandins(_src(spark, sf_dir)), decimals=4)
+
+
+@register
+def quarantined_rows(spark, sf_dir):
+    """Rows of the untyped extract that do not fit their declared types, by table, column and reason."""
+    src = _typed(spark, sf_dir)
+    rows = [src.quarantine(n).select("table_name", F.explode("faults").alias("f")) for n in ("contracts", "account_balance", "plan_operations")]
+    return reduce(DataFrame.unionByName, rows).groupBy("table_name", F.col("f.column").alias("column_name"),
+                                                       F.col("f.reason").alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@register
+def contract_initial_load_typed(spark, sf_dir):
+    """The initial contract load from padded and non-numeric codes."""
+    return core.contract_initial_load(_typed(spark, sf_dir), AS_OF)
+
+
+@register
+def total_balance_cover_typed(spark, sf_dir):
+    """The sign of the customers' balances, summed as decimals read from text."""
+    s = _typed(spark, sf_dir)
+    trig = accounts.overdraft_trigger(s.account_balance, s.contracts, s.person_board, AS_OF)
+    return accounts.total_balance_cover(trig, s.contracts, s.account_balance)
+
+
+@register
+def yearly_contributions_typed(spark, sf_dir):
+    """Contributions of the run year as decimals read from text."""
+    c = accounts.yearly_contributions(_typed(spark, sf_dir).plan_operations, AS_OF)
+    return c.select("idprig", F.col("APORTACION_ANUAL").cast("double").alias("APORTACION_ANUAL"),
+                    flag(F.col("APORTACION_ANUAL") < P.CONTRIBUTION_LIMIT).alias("IND_APORTACION_MENOR_7000"))
+
+
+# ------------------------------------------------------------ bucketed tables
+@register
+def overdraft_journey_bucketed(spark, sf_dir):
+    """The overdraft journey with its customer tables bucketed by customer."""
+    return overdraft.overdraft_journey(_bucketed(spark, sf_dir), AS_OF)
+
+
 # ------------------------------------------------------------ top-1 / windows
 @register
 def latest_row_per_key(spark, sf_dir):
