@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.newest import UNKNOWN
+from . import observe
 
 # How a newest value reaches the consumers: "subquery" (default) keeps it as
 # a lazy scalar subquery, run asynchronously when the query starts and used
@@ -93,6 +94,8 @@ def newest_of(src, table: str, column: str, at_most=None, equal: dict | None = N
     find = getattr(src, "newest", None)
     value = find(table, column, at_most, equal) if find is not None else UNKNOWN
     df = getattr(src, table)
+    if value is None:
+        observe.note(f"nothing in {table} up to {at_most}")
     if value is not UNKNOWN:
         return F.lit(value).cast(df.schema[column].dataType)
     conds = [F.col(c) == F.lit(v) for c, v in (equal or {}).items()]

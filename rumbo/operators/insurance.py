@@ -8,14 +8,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import params as P
-from ..functions import add_months, flag, home_receipt_label, insurer_name, snapshot_is, tax_id_of
+from ..functions import add_months, classify_text, flag, insurer_name, snapshot_is, tax_id_of
+from . import observe
 
 
-def expiring_receipts(receipts: DataFrame, as_of: _dt.date, month_end: str = "last_day") -> DataFrame:
+def expiring_receipts(receipts: DataFrame, as_of: _dt.date, month_end: str = "last_day", home_label: str = P.HOME_LABEL) -> DataFrame:
     """Prepaid insurance receipts paid exactly ``RECEIPT_AGE_MONTHS`` ago.
 
     Output: Persona, FECHA_VENCIMIENTO (+12 months), Concepto (text without
-    commas), COMPANIA (insurer from the creditor tax id), RAMO (home label).
+    commas), COMPANIA (insurer from the creditor tax id), RAMO (``home_label``
+    for home receipts, else NULL).
     """
     paid = F.to_date("qfaope")
     tax_id = tax_id_of("idprac")
@@ -26,12 +28,14 @@ def expiring_receipts(receipts: DataFrame, as_of: _dt.date, month_end: str = "la
             & (F.col("qmnopd") > P.RECEIPT_MIN_AMOUNT)
             & (F.col("qfaope") == add_months(F.lit(as_of), -P.RECEIPT_AGE_MONTHS, month_end)))
     text = F.concat("qncnes", "qncne1")
-    return receipts.filter(cond).select(
+    out = receipts.filter(cond).select(
         F.col("cope14").alias("Persona"),
         add_months("qfaope", P.POLICY_TERM_MONTHS, month_end).alias("FECHA_VENCIMIENTO"),
         F.regexp_replace(text, ",", "").alias("Concepto"),
         insurer_name(tax_id).alias("COMPANIA"),
-        home_receipt_label(text).alias("RAMO"))
+        classify_text(text, P.HOME_INCLUDE_PATTERNS, P.HOME_EXCLUDE_PATTERNS, home_label).alias("RAMO"))
+    return observe.watch(out, "insurers", lambda got: f"{got['unnamed']} receipts of insurers without a name" if got["unnamed"] else None,
+                         unnamed=F.count_if(F.col("COMPANIA").isNull()))
 
 
 def own_policies(policies: DataFrame) -> DataFrame:

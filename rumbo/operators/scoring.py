@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from .. import params as P
 from ..functions import snapshot_is
-from . import control, dedupe, joins
+from . import control, dedupe, joins, observe
 
 
 def newest_threshold_date(src, as_of: _dt.date) -> Column:
@@ -29,6 +29,7 @@ def propensity_flags(scores: DataFrame, thresholds: DataFrame, *, id_col: str, m
     rule).  The threshold side is at most one row per listed model.
     """
     s = scores.filter(F.col(date_col) == when)
+    observe.note_if_empty(s, f"no scores of the thresholds' newest date: models {', '.join(models)} give no propensity")
     if ids is not None:       # only the trigger's customers, before the distinct
         who = ids.select(F.col(ids.columns[0]).alias("__i"))
         s = s.join(who, s[id_col] == who["__i"], "left_semi")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from .. import params as P
 from ..functions import flag, snapshot_is
-from ..operators import agg, control, joins, people
+from ..operators import agg, control, joins, observe, people
 from ..operators.reuse import reuse
 
 BOARD = "tbl_BGTTB_TABLON_CLIENTES_MES_TT"
@@ -43,7 +43,10 @@ def newest_day(src, label: str, as_of: _dt.date):
     """
     marks = getattr(src, "marks", None)
     if marks is not None:
-        return F.lit(marks.newest(label, as_of, as_of.strftime("%Y%m%d")))
+        mark = marks.newest(label, as_of, as_of.strftime("%Y%m%d"))
+        if mark is None:
+            observe.note(f"control table without a row: {label} up to {as_of}")
+        return F.lit(mark)
     return control.newest_of(src, *CONTROL_SOURCES[label], as_of.strftime("%Y%m%d"))
 
 
@@ -52,8 +55,13 @@ def _managers(src) -> DataFrame:
         F.col("codgestor").alias("COD_GESTOR"), F.col("emailgestor").alias("EMAIL_GESTOR"))
 
 
-def young_retention_draft(src, as_of: _dt.date) -> DataFrame:
-    """Customers whose birthday (26th) falls on the same day next month."""
+def young_retention_draft(src, as_of: _dt.date, products: tuple[str, str, str] = P.DRAFT_DOMICILED_PRODUCTS,
+                          contracting_product: str = P.DRAFT_ON_CONTRACTING_PRODUCT) -> DataFrame:
+    """Customers whose birthday (26th) falls on the same day next month.
+
+    ``products``: the easy, the online and the payroll account; ``contracting_product``: the online account in the contracting events.
+    """
+    easy, online, payroll = products
     pb = src.person_board.filter(snapshot_is(P.SNAPSHOT_LATEST)
                                  & people.birthday_by_parts("fenac9", as_of, P.DRAFT_AGE_YEARS))
     g = _managers(src)
@@ -62,19 +70,19 @@ def young_retention_draft(src, as_of: _dt.date) -> DataFrame:
         flag(F.col("in82mk") == "1").alias("TenenciaPorSerTu"), flag(F.col("in94mk") == "1").alias("ClienteDigital"))
     dom = src.account_domiciliations
     b = dom.filter((F.col("extractiondate") == newest_day(src, DOMICILIATIONS, as_of))
-                   & F.col("copser").isin(*P.DRAFT_DOMICILED_PRODUCTS)
+                   & F.col("copser").isin(*products)
                    & (F.col("coddmc") == P.DRAFT_DOMICILE_OFFICE)).select(
         F.col("copemk").alias("__b"),
-        flag(F.col("copser") == "10600").alias("TENENCIA_CUENTA_FACIL"),
-        flag(F.col("copser") == "11594").alias("TENENCIA_CUENTA_ON"),
-        flag(F.col("copser") == "11229").alias("NOMINA_DOMICILIADA"))
+        flag(F.col("copser") == easy).alias("TENENCIA_CUENTA_FACIL"),
+        flag(F.col("copser") == online).alias("TENENCIA_CUENTA_ON"),
+        flag(F.col("copser") == payroll).alias("NOMINA_DOMICILIADA"))
     c = src.monthly_board.filter(F.col("process_date") == newest_day(src, BOARD, as_of)).select(
         F.col("co_codpers_mt").alias("__c"), F.col("im_saldfinmestotvolrecur_mt").alias("ImporteRecursos"))
     d = src.monthly_accounts.filter(F.col("extractiondate") == newest_day(src, MONTHLY_ACCOUNTS, as_of)).select(
         flag(F.col("co1504").isin(*P.DRAFT_INCOME_CODES)).alias("INGRESOS_DOMICILIADOS"), F.col("copemk").alias("__d"))
     ev = src.contracting_events.filter(F.col("dt") == newest_day(src, CONTRACTING, as_of))
-    f = ev.filter(F.col("co_producto_ursus") == P.DRAFT_ON_CONTRACTING_PRODUCT).select(
-        flag(F.col("co_producto_ursus") == P.DRAFT_ON_CONTRACTING_PRODUCT).alias("CONTRATACION_CUENTA_ON"),
+    f = ev.filter(F.col("co_producto_ursus") == contracting_product).select(
+        flag(F.col("co_producto_ursus") == contracting_product).alias("CONTRATACION_CUENTA_ON"),
         F.col("co_cliente").alias("__f"))
     # every enrichment is reduced to the day's persons first; domiciliation and
     # monthly-account rows fan out per person: skew-safe joins

@@ -16,6 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.observe import RuleMetrics
 from ..operators.reuse import Scope
 
 
@@ -26,7 +27,11 @@ def write_run(df: DataFrame, path: str, as_of: _dt.date, fmt: str = "parquet",
      .partitionBy(partition_col).format(fmt).save(path))
 
 
-def run_journey(spark: SparkSession, plan: Callable[..., DataFrame], src, as_of: _dt.date, path: str, **params) -> None:
-    """``plan(src, as_of, **params)`` written as the ``as_of`` partition; leaves no scratch folder behind."""
-    with Scope(spark):
+def run_journey(spark: SparkSession, plan: Callable[..., DataFrame], src, as_of: _dt.date, path: str, **params) -> list[str]:
+    """``plan(src, as_of, **params)`` written as the ``as_of`` partition; leaves no scratch folder behind.
+
+    Logs and returns the warnings of the rules' run-time metrics.
+    """
+    with Scope(spark), RuleMetrics() as metrics:
         write_run(plan(src, as_of, **params), path, as_of)
+        return metrics.report()
