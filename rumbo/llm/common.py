@@ -11,6 +11,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 import zipfile
@@ -58,6 +59,23 @@ def deploy(spark: SparkSession | None = None) -> None:
     _deployed.add(sc.applicationId)
 
 
+try:
+    _malloc_trim = ctypes.CDLL(None).malloc_trim
+except (AttributeError, OSError):            # another C library: nothing to hand back
+    _malloc_trim = None
+
+
+def trim() -> None:
+    """Hand memory that a batch has used back to the system.
+
+    Spark keeps idle Python workers for the next stage; without this each of
+    them keeps the most that any batch of any stage has needed.
+    """
+    pa.default_memory_pool().release_unused()
+    if _malloc_trim is not None:
+        _malloc_trim(0)
+
+
 def scratch(spark: SparkSession, label: str) -> str:
     """A new folder name below the shared checkpoint folder, removed when the application ends."""
     deploy(spark)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Text, deploy, fresh, store
+from .common import Text, deploy, fresh, store, trim
 
 PIECES_PER_PACKER = 40_000
 UNIT_CACHE = 300_000           # distinct units that a worker remembers
@@ -171,6 +171,7 @@ def _cut(batches: Iterator[pa.RecordBatch], path: str, length: int, end_id: int,
                 lens.append(len(part) // 4)
                 crc.append(zlib.crc32(part))
         cells = [batch.column(0).take(pa.array(row, pa.int32())), piece, starts, lens, crc]
+        trim()
         yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(cells, schema)], schema=schema)
 
 

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from .common import Text, deploy, fresh, store
+from .common import Text, deploy, fresh, store, trim
 
 STATISTICS = [
     "chars", "words", "lines", "word_length", "upper", "digits", "marks", "symbols", "bangs", "pipes",
@@ -99,6 +99,7 @@ def text_statistics(texts: pa.Array) -> pa.Array:
     text = Text.of(texts)
     parts = [_measure(t) for _, _, t in text.slices()] or [np.zeros((len(STATISTICS), 0))]
     flat = np.ascontiguousarray(np.concatenate(parts, axis=1).T).ravel()
+    trim()
     return pa.ListArray.from_arrays(pa.array(np.arange(text.n + 1, dtype=np.int32) * len(STATISTICS)), pa.array(flat))
 
 

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from .common import Text, deploy, fresh, store
+from .common import Text, deploy, fresh, store, trim
 from .graph import connected_components
 
 BITS = 64
@@ -63,7 +63,10 @@ def fingerprint(texts: Column, words: int = 4) -> Column:
     def simhash(array: pa.Array) -> pa.Array:
         text = Text.of(array)
         raw, off = text.data.tobytes(), text.offsets.tolist()
-        return pa.array(np.array([fingerprint_of(raw[a:b], words) for a, b in zip(off, off[1:])], np.uint64).view(np.int64))
+        found = np.array([fingerprint_of(raw[a:b], words) for a, b in zip(off, off[1:])], np.uint64)
+        del text, raw
+        trim()
+        return pa.array(found.view(np.int64))
 
     deploy()
     return arrow_udf(simhash, "long")(texts)

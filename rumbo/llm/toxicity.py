@@ -47,7 +47,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from .common import deploy, fresh, store
+from .common import deploy, fresh, store, trim
 from .quality import held_out
 
 STEMS = (4, 5, 6)
@@ -114,6 +114,7 @@ def link_column(model: OrdinalModel, text: Column) -> Column:
         out = []
         for i in range(0, len(texts), 256):
             out += [model.link(t) for t in pc.fill_null(texts.slice(i, 256), "").to_pylist()]
+        trim()
         return pa.array(out, pa.float64())
 
     return arrow_udf(ordinal_link, "double")(text)
@@ -121,15 +122,21 @@ def link_column(model: OrdinalModel, text: Column) -> Column:
 
 def term_counts(texts: pa.Array) -> pa.Array:
     """Terms of each text as ``array<struct<t: string, n: int>>``."""
-    terms, counts, offsets = [], [], [0]
-    for i in range(0, len(texts), 256):
-        for text in pc.fill_null(texts.slice(i, 256), "").to_pylist():
+    kind = pa.list_(pa.struct([("t", pa.string()), ("n", pa.int32())]))
+    parts = []
+    for i in range(0, len(texts), 64):            # few texts' terms are Python objects at a time
+        terms, counts, offsets = [], [], [0]
+        for text in pc.fill_null(texts.slice(i, 64), "").to_pylist():
             found = terms_of(text)
             terms += found
             counts += found.values()
             offsets.append(len(terms))
-    cells = pa.StructArray.from_arrays([pa.array(terms, pa.string()), pa.array(counts, pa.int32())], ["t", "n"])
-    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), cells)
+        cells = pa.StructArray.from_arrays([pa.array(terms, pa.string()), pa.array(counts, pa.int32())], ["t", "n"])
+        parts.append(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), cells))
+    out = pa.chunked_array(parts, kind).combine_chunks() if parts else pa.array([], kind)
+    del parts
+    trim()
+    return out
 
 
 def sigmoid(z: np.ndarray) -> np.ndarray:
