@@ -37,6 +37,7 @@ are each scored; extra columns are kept and not read.
 
 from __future__ import annotations
 
+import math
 import re
 from dataclasses import dataclass
 
@@ -245,7 +246,7 @@ def _sample(docs: DataFrame, labels: DataFrame, rows_per_class: int, label: str,
                              arrow_udf(term_counts, "array<struct<t:string,n:int>>")(F.col("__t")).alias("terms")), "toxic-terms")
 
 
-def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = 6000, choice_rows: int = 1500,
+def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = 3000, choice_rows: int = 1500,
         cuts: tuple[int, ...] = (2, 5), label: str = "toxic", held: Column | None = None) -> OrdinalModel:
     """Learn from at most ``rows_per_class`` labelled rows of each label; folds use at most about ``2 * choice_rows``, in the labels' shares.
 
@@ -256,14 +257,28 @@ def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = 6000, choice_r
     total = lambda y, without: sum(k for (a, f), k in seen.items() if a == y and f != without)
     if not total(1, None) or not total(0, None):
         return OrdinalModel({}, (40.0, 41.0, 42.0))
-    flat = train.select("r", "y", "fold", F.explode("terms").alias("c")).select("r", "y", "fold", "c.t", "c.n")
+    flat = train.select("r", "y", "fold", F.col("n").alias("place"), F.explode("terms").alias("c")).select("r", "y", "fold", "place", "c.t", "c.n")
+    # the same part of both labels, in hash order, for the choice by folds
+    each = {y: total(y, None) for y in (0, 1)}
+    part_of = min(1.0, 2 * choice_rows / sum(each.values()))
+    last = {y: math.ceil(k * part_of) for y, k in each.items()}
+    by_folds = {(int(r["y"]), int(r["fold"])): int(r["count"]) for r in train.filter(
+        F.col("n") <= F.when(F.col("y") == 1, last[1]).otherwise(last[0])).groupBy("y", "fold").count().collect()}
     held = F.least("n", F.lit(CAP))
-    counts = flat.groupBy("t").agg(*[F.sum(F.when((F.col("y") == y) & (F.col("fold") != f), held).otherwise(0)).alias(f"{name}{f}")
-                                     for f in range(-1, FOLDS) for y, name in ((1, "a"), (0, "b"))]).filter(F.col("a-1") + F.col("b-1") >= 3)
-    counts = store(counts.toDF(*[c.replace("-1", "_all") for c in counts.columns]), "toxic-counts")
+    tally = lambda y, when, name: F.sum(F.when((F.col("y") == y) & when, held).otherwise(0)).alias(name)
+    in_all = store(flat.groupBy("t").agg(tally(1, F.lit(True), "a_all"), tally(0, F.lit(True), "b_all")).filter(
+        F.col("a_all") + F.col("b_all") >= 3), "toxic-counts")
+    some = flat.filter(F.col("place") <= F.when(F.col("y") == 1, last[1]).otherwise(last[0]))
+    in_folds = store(some.groupBy("t").agg(*[tally(y, F.col("fold") != f, f"{name}{f}") for f in range(FOLDS) for y, name in ((1, "a"), (0, "b"))]),
+                     "toxic-fold-counts")
 
     def ranked(fold: str, without: int | None) -> DataFrame:
-        pos, neg, a, b = total(1, without), total(0, without), F.col(f"a{fold}"), F.col(f"b{fold}")
+        if without is None:
+            pos, neg = each[1], each[0]
+        else:
+            pos, neg = (max(1, sum(k for (y, f), k in by_folds.items() if y == label_ and f != without)) for label_ in (1, 0))
+        a, b = F.col(f"a{fold}"), F.col(f"b{fold}")
+        counts = in_all if without is None else in_folds
         part = lambda k, e: F.when(k > 0, k * F.log(k / e)).otherwise(0.0)
         both = a + b
         llr = part(a, both * pos / (pos + neg)) + part(b, both * neg / (pos + neg))
@@ -290,9 +305,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = 6000, choice_r
         marks[cols[((part["odds"] >= 3.0) & ~part["t"].str.endswith("*")).to_numpy()]] = True
         order.append(cols)
         cue.append(marks)
-    # the same part of both labels, in hash order
-    each = np.array([total(0, None), total(1, None)])
-    few = got["n"].to_numpy() <= np.ceil(each * min(1.0, 2 * choice_rows / each.sum()))[rows.y]
+    few = got["n"].to_numpy() <= np.where(rows.y == 1, last[1], last[0])
     at = np.cumsum(few) - 1
     part = _Rows(rows.y[few], rows.fold[few], at[rows.row[few[rows.row]]], rows.col[few[rows.row]], rows.n[few[rows.row]])
     size, penalty, cut = choose(part, order, cue, cuts)
