@@ -192,7 +192,7 @@ BAND_DAYS = 4096
 def band(df: DataFrame, days: Mapping[str, str | None], low: _dt.date | None, until: _dt.date | None) -> DataFrame:
     """Rows with any of the day columns in ``[low, until]`` (all of them not after ``until``).
 
-    ``days`` maps a column to the pattern of its text (``%Y%m%d``), or to None for a date.
+    ``days`` maps a column to the pattern of its text (``%Y%m%d``), or to None for a date or a time.
     """
     def text(c: str, day: _dt.date) -> Any:
         return day.strftime(days[c]) if days[c] else day
@@ -204,6 +204,10 @@ def band(df: DataFrame, days: Mapping[str, str | None], low: _dt.date | None, un
     return df
 
 
+def _day(value: Any) -> Any:
+    return value.date() if isinstance(value, _dt.datetime) else value
+
+
 def newest_in_bands(df: DataFrame, days: Mapping[str, str | None], start: _dt.date, until: _dt.date | None = None,
                     where: Column | None = None) -> list[Any]:
     """Newest value of each of some day columns over the rows ``where`` holds, none later than ``until``.
@@ -221,7 +225,7 @@ def newest_in_bands(df: DataFrame, days: Mapping[str, str | None], start: _dt.da
         got = band(bounded, unknown, low, None).agg(*[F.max(c).alias(c) for c in unknown]).first()
         # a row is in the band for any of the columns: a value before it may have a newer one outside
         at_least = {c: (low.strftime(p) if p else low) if low is not None else None for c, p in unknown.items()}
-        found |= {c: got[c] for c in unknown if low is None or got[c] is not None and got[c] >= at_least[c]}
+        found |= {c: got[c] for c in unknown if low is None or got[c] is not None and _day(got[c]) >= at_least[c]}
         back = back * 2 if back is not None and back * 2 <= BAND_DAYS else None
     return [found[c] for c in days]
 

@@ -2,7 +2,7 @@
 
 ``WarehouseSources(spark, root)`` reads ``root/<table>`` with a declared
 schema (partition columns keep their string / int types instead of being
-re-inferred).  ``standin_warehouse`` writes the test-data stand-ins once into
+re-inferred).  ``standin_warehouse`` writes each test-data stand-in once, when it is first read, into
 that layout under the shared checkpoint folder (``spark.checkpoint.dir``):
 the derivation runs once per data set, lineage is cut at a durable table
 that survives executor loss, and every journey then reads only the partitions
@@ -118,44 +118,50 @@ def _publish(spark: SparkSession, tmp: str, path: str) -> None:
         fs.delete(src, True)
 
 
-def _signature(sf_dir: str) -> str:
-    """Data set + stand-in code version: a changed rule never reads a stale build."""
-    h = hashlib.sha1(os.path.abspath(sf_dir).encode())
+def _signature(spark: SparkSession, sf_dir: str) -> str:
+    """Data set + stand-in code version: changed files (wherever they lie) or a changed rule never read a stale build."""
+    h = hashlib.sha1(sf_dir.rstrip("/").encode())
     here = os.path.dirname(os.path.abspath(__file__))
     for f in ("standins.py", "warehouse.py", "testdata.py"):
         with open(os.path.join(here, f), "rb") as fh:
             h.update(fh.read())
-    if os.path.isdir(sf_dir):
-        for f in sorted(os.listdir(sf_dir)):
-            st = os.stat(os.path.join(sf_dir, f))
-            h.update(f"{f}:{st.st_size}:{int(st.st_mtime)}".encode())
+    target = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(target):
+        found = [(f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in fs.listStatus(target)]
+        for name, size, changed in sorted(found):
+            h.update(f"{name}:{size}:{changed // 1000}".encode())
     return h.hexdigest()[:16]
 
 
-_BUILT: dict[tuple[int, str], WarehouseSources] = {}
-_LOCK = threading.Lock()
-BUILD_SECONDS: dict[str, float] = {}
+class StandinWarehouse(WarehouseSources):
+    """The stand-in tables in the warehouse layout; each is written when it is first read."""
 
+    def __init__(self, spark: SparkSession, sf_dir: str, root: str):
+        super().__init__(spark, root)
+        self._standins, self._lock = StandinSources(spark, sf_dir), threading.RLock()
 
-def standin_warehouse(spark: SparkSession, sf_dir: str, root: str | None = None) -> WarehouseSources:
-    """Write (once) and open the stand-in warehouse for the tables in ``sf_dir``."""
-    key = (id(spark), os.path.abspath(sf_dir))
-    with _LOCK:
-        if key in _BUILT and root is None:
-            return _BUILT[key]
-        return _build(spark, sf_dir, root, key)
-
-
-def _build(spark: SparkSession, sf_dir: str, root: str | None, key) -> WarehouseSources:
-    root = root or f"{ensure_checkpoint_dir(spark).rstrip('/')}/standin-warehouse/{_signature(sf_dir)}"
-    src = StandinSources(spark, sf_dir)
-    schemas = {}
-    for name, parts in LAYOUT.items():
-        df = getattr(src, name)
-        schemas[name] = df.schema
-        path = f"{root}/{name}"
-        if _exists(spark, f"{path}/_SUCCESS"):
-            continue
+    def table(self, name: str) -> DataFrame:
+        with self._lock:
+            if name not in self._cache:
+                self._write(name)
+            return super().table(name)
+
+    def partitions(self, name: str, equal=None) -> list[Partition]:
+        self.table(name)
+        return super().partitions(name, equal)
+
+    def build_all(self) -> StandinWarehouse:
+        for name in LAYOUT:
+            self.table(name)
+        return self
+
+    def _write(self, name: str) -> None:
+        df, parts = getattr(self._standins, name), LAYOUT[name]
+        self.schemas[name] = df.schema
+        path = f"{self.root}/{name}"
+        if _exists(self.spark, f"{path}/_SUCCESS"):
+            return
         # REBALANCE clusters rows by partition value; AQE then splits a hot
         # value (a day holding a third of the rows) over several tasks and
         # merges small ones, so files stay near the advisory size.
@@ -166,11 +172,23 @@ def _build(spark: SparkSession, sf_dir: str, root: str | None, key) -> Warehouse
         # Write to a private folder, then publish it with one directory rename
         # (atomic on HDFS and local disks): another process building the same
         # data set never sees, or overwrites, a half-written table.
-        tmp = f"{root}/_inprogress-{uuid.uuid4().hex[:12]}-{name}"
+        tmp = f"{self.root}/_inprogress-{uuid.uuid4().hex[:12]}-{name}"
         (out.write.mode("overwrite").option("parquet.block.size", ROW_GROUP_BYTES)
          .partitionBy(*parts).parquet(tmp))
-        _publish(spark, tmp, path)
+        _publish(self.spark, tmp, path)
         BUILD_SECONDS[name] = round(time.perf_counter() - t0, 3)
-    wh = WarehouseSources(spark, root, schemas)
-    _BUILT[key] = wh
-    return wh
+
+
+_BUILT: dict[tuple[str, str], StandinWarehouse] = {}
+_LOCK = threading.Lock()
+BUILD_SECONDS: dict[str, float] = {}
+
+
+def standin_warehouse(spark: SparkSession, sf_dir: str, root: str | None = None) -> StandinWarehouse:
+    """Open the stand-in warehouse for the tables in ``sf_dir``; one for each application and data set."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    with _LOCK:
+        if key not in _BUILT or root is not None:
+            folder = root or f"{ensure_checkpoint_dir(spark).rstrip('/')}/standin-warehouse/{_signature(spark, sf_dir)}"
+            _BUILT[key] = StandinWarehouse(spark, sf_dir, folder)
+        return _BUILT[key]

@@ -58,7 +58,7 @@ def test_results_are_the_same_with_metrics(spark, tmp_path):
 
 
 def test_unnamed_insurers_and_missing_loads_are_reported(spark, tmp_path):
-    src = standin_warehouse(spark, SF)
+    src = standin_warehouse(spark, SF).build_all()
     marks = LoadMarks(spark, str(tmp_path / "marks"))
     marks.append(drafts.BOARD, dt.date(2024, 1, 31), "20240131")
     with RuleMetrics() as m:

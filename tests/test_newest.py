@@ -68,7 +68,7 @@ def test_partition_values_open_no_file(spark, tmp_path):
     (root / "account_balance" / "snapshot=HISTORIC" / "extractiondate=20240131" / "part-0.parquet").write_bytes(b"")   # empty
     (root / "account_balance" / "snapshot=HISTORIC" / "extractiondate=20240131" / "_SUCCESS").write_bytes(b"x")        # no data file
     (root / "account_balance" / "snapshot=HISTORIC" / "extractiondate=__HIVE_DEFAULT_PARTITION__").mkdir()
-    schema = standin_warehouse(spark, SF).schemas["account_balance"]
+    schema = standin_warehouse(spark, SF).account_balance.schema
     src = WarehouseSources(spark, str(root), {"account_balance": schema})
     assert src.newest("account_balance", "extractiondate", "20240201", {"snapshot": "HISTORIC"}) == "20240129"
     assert src.newest("account_balance", "extractiondate", None, {"snapshot": "HISTORIC"}) == "20240215"
@@ -141,6 +141,19 @@ def test_a_band_reads_the_newest_row_groups_only(spark, tmp_path):
     assert read and read[0] < 20_000
 
 
+def test_any_start_finds_the_newest_time(spark):
+    from rumbo.plans.registered import ORDERS_AS_OF
+    from rumbo.sources.testdata import TestTables
+    o = TestTables(spark, SF).orders
+    want = o.agg(F.max("o_orderdate")).first()[0]
+    for start in (ORDERS_AS_OF, dt.date(1990, 1, 1), dt.date(2004, 5, 6)):
+        assert N.newest_in_bands(o, {"o_orderdate": None}, start) == [want]
+    assert N.newest_in_bands(o.filter("o_orderkey < 0"), {"o_orderdate": None}, ORDERS_AS_OF) == [None]
+    newest = REGISTRY["newest_partition"](spark, SF)
+    assert formatted(newest).count("Scan parquet") == 2 and "Subquery" not in formatted(newest)     # the tree and its entry: one scan
+    assert newest.count() == o.filter(F.col("o_orderdate") == F.lit(want)).count()
+
+
 def test_newest_under_a_condition_reads_partitions_newest_first(spark):
     rows = [(p, v, k) for p, v, k in [("p1", 10, True), ("p1", 3, True), ("p2", 30, False), ("p2", 9, True), ("p3", 20, False), ("p4", 5, True)]]
     df = spark.createDataFrame(rows, "p string, v int, k boolean")

@@ -19,7 +19,7 @@ SF = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="module")
 def src(spark):
-    return standin_warehouse(spark, SF)
+    return standin_warehouse(spark, SF).build_all()
 
 
 def rows(df):
