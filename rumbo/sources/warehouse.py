@@ -17,6 +17,8 @@ import os
 import threading
 import time
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -68,6 +70,28 @@ SORT_BY = {"catalogue": ["extractiondate"], "programme": ["fevaig"], "plan_opera
            "customers_daily": ["fecha_derivado"], "receipts": ["qfaope"]}
 
 
+# Partition values that a writing task keeps open at once.  Up to so many, Spark writes the rows as
+# they come; the rows of further values it sorts by value first.
+OPEN_FILES = 100
+_WRITING = threading.RLock()
+
+
+@contextmanager
+def _open_files(spark: SparkSession, most: int) -> Iterator[None]:
+    """Writes inside keep up to ``most`` files a task open instead of sorting a task's rows by partition value."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    with _WRITING:
+        before = spark.conf.get(key, None)
+        spark.conf.set(key, str(most))
+        try:
+            yield
+        finally:
+            if before is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, before)
+
+
 class WarehouseSources(NewestValues):
     """Banking tables read from ``root/<table>`` Parquet folders."""
 
@@ -162,19 +186,17 @@ class StandinWarehouse(WarehouseSources):
         path = f"{self.root}/{name}"
         if _exists(self.spark, f"{path}/_SUCCESS"):
             return
-        # REBALANCE clusters rows by partition value; AQE then splits a hot
-        # value (a day holding a third of the rows) over several tasks and
-        # merges small ones, so files stay near the advisory size.
-        out = df.hint("rebalance", *parts) if parts else df.hint("rebalance")
-        if name in SORT_BY:
-            out = out.sortWithinPartitions(*SORT_BY[name])
+        # Each task writes the rows that it derives: no exchange, whatever a partition
+        # value holds, and one file for each value and task.
+        out = df.sortWithinPartitions(*SORT_BY[name]) if name in SORT_BY else df
         t0 = time.perf_counter()
         # Write to a private folder, then publish it with one directory rename
         # (atomic on HDFS and local disks): another process building the same
         # data set never sees, or overwrites, a half-written table.
         tmp = f"{self.root}/_inprogress-{uuid.uuid4().hex[:12]}-{name}"
-        (out.write.mode("overwrite").option("parquet.block.size", ROW_GROUP_BYTES)
-         .partitionBy(*parts).parquet(tmp))
+        with _open_files(self.spark, OPEN_FILES):
+            (out.write.mode("overwrite").option("parquet.block.size", ROW_GROUP_BYTES)
+             .partitionBy(*parts).parquet(tmp))
         _publish(self.spark, tmp, path)
         BUILD_SECONDS[name] = round(time.perf_counter() - t0, 3)
 
