@@ -32,6 +32,19 @@ def tables(spark, tmp_path_factory):
         (n * 31.5 - 900).alias("c_acctbal"),
         F.element_at(F.array(*map(F.lit, ("BUILDING", "AUTOMOBILE", "MACHINERY", "HOUSEHOLD", "FURNITURE"))), (n % 5 + 1).cast("int"))
         .alias("c_mktsegment")).write.parquet(f"{path}/customer.parquet")
+    # order lines from the last key to the first
+    spark.range(2 * ORDERS).coalesce(1).select(
+        (ORDERS - 1 - F.floor(n / 2)).alias("l_orderkey"), (n * 13 % 40).alias("l_partkey"), n.alias("l_suppkey"), (n % 7).cast("int").alias("l_linenumber"),
+        (n * 1.0).alias("l_quantity"), (n * 20.0).alias("l_extendedprice"), F.lit(0.0).alias("l_discount"), F.lit(0.0).alias("l_tax"),
+        F.lit("N").alias("l_returnflag"), F.lit("O").alias("l_linestatus"), day.alias("l_shipdate")).write.parquet(f"{path}/lineitem.parquet")
+    spark.range(40).select(
+        n.alias("p_partkey"), F.concat(F.lit("part "), n.cast("string")).alias("p_name"), F.concat(F.lit("Brand#"), (n % 25 + 1).cast("string")).alias("p_brand"),
+        F.element_at(F.array(*map(F.lit, ("STANDARD", "PROMO"))), (n % 2 + 1).cast("int")).alias("p_type"), n.cast("int").alias("p_size"),
+        (n * 1.0).alias("p_retailprice")).write.parquet(f"{path}/part.parquet")
+    spark.range(900).select(
+        n.alias("event_id"), F.to_timestamp_ntz(F.date_add(F.lit(dt.date(2024, 1, 1)), (n % 30).cast("int")).cast("string")).alias("ts"), (n % 25).alias("user_id"),
+        F.element_at(F.array(*map(F.lit, ("view", "purchase"))), (F.floor(n / 30) % 2 + 1).cast("int")).alias("event_type"), (n * 1.5).alias("value"),
+        F.lit("p").alias("props")).write.parquet(f"{path}/events.parquet")
     return path
 
 
@@ -56,7 +69,7 @@ def rows(df):
 
 
 @pytest.mark.parametrize("name", ["account_domiciliations", "monthly_accounts", "monthly_board", "contracting_events",
-                                  "contracts", "policies", "programme"])
+                                  "contracts", "policies", "programme", "plan_operations", "catalogue"])
 def test_projected_tables_are_written_without_an_exchange(spark, tables, tmp_path, name):
     wh = built(spark, tables, tmp_path)
     assert stages_of(spark, lambda: wh.table(name)) == 1
@@ -100,3 +113,10 @@ def test_files_of_sorted_tables_are_sorted(spark, tables, tmp_path):
     for f in files:
         days = [d for d in pq.read_table(f, partitioning=None)["fecha_derivado"].to_pylist() if d is not None]
         assert days == sorted(days)
+
+
+def test_plan_operations_stay_in_the_order_of_their_lines(spark, tables, tmp_path):
+    built(spark, tables, tmp_path).table("plan_operations")
+    (f,) = glob.glob(f"{tmp_path}/root/plan_operations/*.parquet")
+    numbers = pq.read_table(f)["idprig"].to_pylist()
+    assert numbers == sorted(numbers, reverse=True) and len(numbers) == 2 * ORDERS
