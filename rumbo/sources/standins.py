@@ -148,16 +148,27 @@ class StandinSources:
         ev = self.t.events
         signed = F.when(F.col("event_type").isin("purchase", "error"), -F.col("value")).otherwise(F.col("value"))
         daily = ev.groupBy("user_id", F.to_date("ts").alias("day")).agg(F.round(F.sum(signed), 2).alias("flow"))
-        newest_day = daily.agg(F.max("day")).scalar()
+        newest_day = ev.agg(F.max(F.to_date("ts"))).scalar()
         c = self._accounts()
         j = daily.join(c.withColumn("user", F.floor(F.col("c_custkey") / CUSTOMERS_PER_USER)), daily.user_id == F.col("user"), "inner")
         flow = F.round(F.when(_rest("c_custkey", 2, 0), F.col("flow")).otherwise(-F.col("flow")) + F.col("c_custkey") % 7 * 3, 2)
         turn = F.col("c_custkey") + F.dayofmonth("day") + 3 * F.col("place")        # a status changes by day and account
-        rows = j.select(
+        # some accounts are in the other snapshot too, with a balance that has been corrected since; both rows from one pass
+        newest = F.coalesce(F.col("day") == newest_day, F.lit(False))
+        j = j.select("*", newest.alias("newest"), F.when(F.col("place") == 1, flow).otherwise(F.round(15 - 0.6 * flow, 2)).alias("amount"))
+        newest = F.col("newest")
+
+        def entry(amount: Column, latest: Column) -> Column:
+            return F.struct(amount.alias("cavt20"), F.when(latest, F.lit("LATEST")).otherwise(F.lit("HISTORIC")).alias("snapshot"))
+
+        own, other = entry(F.col("amount"), newest), entry(-F.col("amount"), ~newest)
+        twice = (newest & _rest("c_custkey", 4, 1)) | (~newest & _rest("c_custkey", 4, 2))
+        j = j.select("*", F.explode(F.when(twice, F.array(own, other)).otherwise(F.array(own))).alias("entry"))
+        return j.select(
             _entity("c_custkey").alias("xcoemp"), "copser", "idcoec", "idprig",
             F.col("c_custkey").alias("copemk"),
             F.col("day").alias("fevaig"),
-            F.when(F.col("place") == 1, flow).otherwise(F.round(15 - 0.6 * flow, 2)).alias("cavt20"),
+            "entry.cavt20",
             F.when(F.col("c_acctbal") > 5000, 1).otherwise(0).alias("inz120"),
             F.when(F.col("c_nationkey") < 5, 1).otherwise(0).alias("inz121"),
             F.when(_rest("c_custkey", 5, 0), 1).otherwise(0).alias("inz122"),
@@ -166,13 +177,8 @@ class StandinSources:
             F.when(turn % 13 == 9, F.lit(_dt.date(2023, 6, 30))).alias("feigfi"),
             F.when(turn % 17 == 4, F.lit(_dt.date(2023, 6, 30))).alias("ffigco"),
             date_key("day").alias("extractiondate"),
-            F.when(F.col("day") == newest_day, F.lit("LATEST")).otherwise(F.lit("HISTORIC")).alias("snapshot"),
+            "entry.snapshot",
         )
-        # some accounts are in the other snapshot too, with a balance that has been corrected since
-        newest = F.col("snapshot") == "LATEST"
-        other = rows.filter((newest & _rest("copemk", 4, 1)) | (~newest & _rest("copemk", 4, 2))).withColumns({
-            "cavt20": -F.col("cavt20"), "snapshot": F.when(newest, "HISTORIC").otherwise("LATEST")})
-        return rows.unionByName(other)
 
     @cached_property
     def contracts(self) -> DataFrame:

@@ -120,3 +120,13 @@ def test_plan_operations_stay_in_the_order_of_their_lines(spark, tables, tmp_pat
     (f,) = glob.glob(f"{tmp_path}/root/plan_operations/*.parquet")
     numbers = pq.read_table(f)["idprig"].to_pylist()
     assert numbers == sorted(numbers, reverse=True) and len(numbers) == 2 * ORDERS
+
+
+def test_balances_of_both_snapshots_come_from_one_join(spark, tables, tmp_path):
+    balances = StandinSources(spark, tables).account_balance
+    plan = balances._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join Inner") == 1
+    key = ["copemk", "copser", "idcoec", "idprig", "fevaig"]
+    twice = balances.groupBy(*key).agg(F.count_distinct("snapshot").alias("s"), F.sum("cavt20").alias("sum"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    assert twice.count() > 0 and twice.filter("n <> 2 OR s <> 2 OR sum <> 0").isEmpty()
+    assert rows(built(spark, tables, tmp_path).table("account_balance")) == rows(balances)
