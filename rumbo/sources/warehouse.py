@@ -66,9 +66,9 @@ LAYOUT: dict[str, list[str]] = {
 ROW_GROUP_BYTES = int(os.environ.get("RUMBO_ROW_GROUP_BYTES", str(128 * 1024 * 1024)))
 # Tables sorted (within each written file) on the column their readers filter
 # on, so row-group min/max statistics let Parquet skip most of each file.
-# A sort of a task's rows costs memory and spills: columns that are only joined on get none.
-SORT_BY = {"catalogue": ["extractiondate"], "programme": ["fevaig"], "customers_daily": ["fecha_derivado"],
-           "receipts": ["qfaope"]}
+# A sort of a task's rows costs memory and spills: columns that are only joined on get none, nor do
+# receipts, whose rows come out of two joins.
+SORT_BY = {"catalogue": ["extractiondate"], "programme": ["fevaig"], "customers_daily": ["fecha_derivado"]}
 
 
 # Partition values that a writing task keeps open at once.  Up to so many, Spark writes the rows as

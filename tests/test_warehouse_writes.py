@@ -122,6 +122,19 @@ def test_plan_operations_stay_in_the_order_of_their_lines(spark, tables, tmp_pat
     assert numbers == sorted(numbers, reverse=True) and len(numbers) == 2 * ORDERS
 
 
+def test_receipts_are_written_by_the_tasks_that_join_them(spark, tables, tmp_path):
+    wh, derived = built(spark, tables, tmp_path), StandinSources(spark, tables).receipts
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        # no more stages than the joins have
+        assert stages_of(spark, lambda: wh.table("receipts")) == stages_of(spark, lambda: derived.write.format("noop").mode("overwrite").save())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert rows(wh.table("receipts")) == rows(derived)
+    assert "receipts" not in warehouse.SORT_BY
+
+
 def test_balances_of_both_snapshots_come_from_one_join(spark, tables, tmp_path):
     balances = StandinSources(spark, tables).account_balance
     plan = balances._jdf.queryExecution().optimizedPlan().toString()
